@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import div, key_contig
 from .skew import lookup_join
 
+# The functions below travel to executors whole, so those need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Buckets per page of the two-level prefix sum.
 PAGE_BUCKETS = 1_024
 
