@@ -33,7 +33,7 @@ def dedup_bucket(
     """
     block = ["chunk", "key"]
     large = keyed_reads.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_lines).select(*block)
-    hot = {"min_rows": min_hot_rows, "max_keys": max_hot_keys}
+    hot = {"min_rows": min_hot_rows, "max_keys": max_hot_keys, "spread": [line_order]}
     untouched = salted_join(keyed_reads, large, block, "left_anti", **hot).select(*keyed_reads.columns)
     firsts = (
         salted_join(keyed_reads, large, block, "left_semi", **hot)
@@ -45,14 +45,13 @@ def dedup_bucket(
 
 
 def with_duplicate_key(reads: DataFrame) -> DataFrame:
-    """Add what identifies a duplicate group (null for unmapped reads) and the read's score."""
+    """Add what identifies a duplicate group; ``five_prime`` is null for unmapped reads."""
     flag, cigar = F.col("flag"), F.col("cigar")
     return (
         with_alignment_end(reads)
         .withColumn("five_prime", C.unclipped_five_prime(flag, F.col("pos"), F.col("aend"), cigar))
         .withColumn("five_prime", F.when(F.col("aend").isNotNull(), F.col("five_prime")))
         .withColumn("reverse", C.is_reverse(flag))
-        .withColumn("score", F.when(F.col("aend").isNotNull(), duplicate_score(F.col("qual"))))
         .drop("aend")
     )
 
@@ -67,10 +66,11 @@ def mark_duplicates(
     keyed = with_duplicate_key(reads)
     best = (
         keyed.where(F.col("five_prime").isNotNull())
+        .withColumn("score", duplicate_score(F.col("qual")))
         .groupBy(*DUPLICATE_KEY)
         .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), "qname"))["qname"].alias("_best"))
     )
-    joined = salted_join(keyed, best, DUPLICATE_KEY, "left", min_hot_rows, max_hot_keys)
+    joined = salted_join(keyed, best, DUPLICATE_KEY, "left", min_hot_rows, max_hot_keys, spread=["qname"])
     flag = F.when(F.col("qname") != F.col("_best"), F.col("flag").bitwiseOR(F.lit(FLAG_DUPLICATE)))
     return joined.withColumn("flag", F.coalesce(flag, F.col("flag"))).select(*reads.columns)
 

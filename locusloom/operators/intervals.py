@@ -1,9 +1,10 @@
 """Merging intervals by position, without a task that has to see a whole contig.
 
 Intervals are (contig, start, end). Merging depends only on the running maximum of ``end`` in start
-order, so rows with one start are folded into one first (on the map side as well), and the running
-maximum is taken inside tiles of fixed width, with the maximum of all earlier tiles carried in. A
-tile holds at most ``tile_width`` distinct starts, and the carry is computed on one row per tile.
+order, and it is taken inside tiles of fixed width. A span is copied to every tile it reaches; in the
+tiles behind its own all such spans fold into one row without a start that holds their largest end. Rows
+with one start are folded as well (on the map side first), so a tile has at most ``tile_width`` + 1
+rows however many reads pile up in it, and the input is read once.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ TILE_WIDTH = 50_000
 
 
 def with_previous_end(spans: DataFrame, tile_width: int = TILE_WIDTH) -> DataFrame:
-    """Add ``tile`` and ``prev_end``, the largest end of all spans of the contig that start earlier.
+    """Add ``prev_end``, the largest end of all spans of the contig that start earlier.
 
-    Starts must be distinct within a contig.
+    Meant for merged interval lists: starts must be distinct within a contig, and ``spans`` is read
+    twice. The maximum of earlier tiles is computed on one row per tile and carried into each tile.
     """
     tiled = spans.withColumn("tile", div(F.col("start"), tile_width))
     in_order = Window.partitionBy("contig").orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
@@ -35,21 +37,29 @@ def with_previous_end(spans: DataFrame, tile_width: int = TILE_WIDTH) -> DataFra
     return (
         tiled.join(carries, ["contig", "tile"])
         .withColumn("prev_end", F.greatest(F.max("end").over(in_tile), F.col("_carry")))
-        .drop("_carry")
+        .drop("_carry", "tile")
     )
 
 
 def merge_spans(spans: DataFrame, gap: int = 0, tile_width: int = TILE_WIDTH) -> DataFrame:
     """Merge spans while ``start <= running end + gap``: (contig, start, end, n_merged)."""
-    points = spans.groupBy("contig", "start").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("_n"))
+    reach = F.sequence(div(F.col("start"), tile_width), div(F.greatest("start", F.col("end") + F.lit(gap)), tile_width))
+    at_home = div(F.col("start"), tile_width) == F.col("tile")
+    points = (
+        spans.withColumn("tile", F.explode(reach))
+        .withColumn("_own", at_home)
+        .withColumn("start", F.when(F.col("_own"), F.col("start")))
+        .groupBy("contig", "tile", "start")
+        .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("_n"))
+    )
     tile = Window.partitionBy("contig", "tile")
+    in_order = tile.orderBy(F.col("start").asc_nulls_first())
+    earlier_end = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.col("start").isNotNull() & (earlier_end.isNull() | (F.col("start") > earlier_end + F.lit(gap)))
     fragments = (
-        with_previous_end(points, tile_width)
-        .withColumn(
-            "_opens",
-            F.when(F.col("prev_end").isNull() | (F.col("start") > F.col("prev_end") + F.lit(gap)), 1).otherwise(0),
-        )
-        .withColumn("_no", F.sum("_opens").over(tile.orderBy("start").rowsBetween(Window.unboundedPreceding, 0)))
+        points.withColumn("_opens", opens.cast("int"))
+        .withColumn("_no", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        .where(F.col("start").isNotNull())
         .groupBy("contig", "tile", "_no")
         .agg(
             F.min("start").alias("start"),

@@ -50,25 +50,19 @@ def variant_calls(
     """
     ref = F.col("ref")
     counts = {b: F.col(f"n_{b.lower()}") for b in BASES}
-    n_ref = sum((F.when(ref == b, counts[b]).otherwise(0) for b in BASES), F.lit(0))
-    # Ordered by count, then by place in the alphabet; the reference base itself cannot win.
-    candidates = [
-        F.struct(
-            F.when(ref == b, -1).otherwise(counts[b]).cast("bigint").alias("n"),
-            F.lit(-i).alias("rank"),
-            F.lit(b).alias("base"),
-        )
-        for i, b in enumerate(BASES)
-    ]
+    others = {b: F.when(ref != b, n) for b, n in counts.items()}
+    n_ref = F.coalesce(*[F.when(ref == b, n) for b, n in counts.items()], F.lit(0))
+    n_alt = F.greatest(*others.values())
+    # First of the alphabet among the most frequent ones.
+    alt = F.coalesce(*[F.when(n == n_alt, b) for b, n in others.items()])
     right, wrong, half = math.log10(1 - BASE_ERROR), math.log10(BASE_ERROR), math.log10(0.5)
     r, a = F.col("ref_count").cast("double"), F.col("alt_count").cast("double")
-    return (
+    scored = (
         pileup.join(contigs.select("contig", "contig_index"), "contig")
         .withColumn("ref", reference_base(F.col("contig_index"), F.col("pos")))
         .withColumn("ref_count", n_ref.cast("bigint"))
-        .withColumn("_alt", F.greatest(*candidates))
-        .withColumn("alt", F.col("_alt.base"))
-        .withColumn("alt_count", F.col("_alt.n"))
+        .withColumn("alt", alt)
+        .withColumn("alt_count", n_alt.cast("bigint"))
         .withColumn("_rr", r * right + a * wrong)
         .withColumn("_ra", (r + a) * half)
         .withColumn("_aa", r * wrong + a * right)
@@ -78,8 +72,10 @@ def variant_calls(
             F.when(F.col("_best") == F.col("_rr"), "0/0").when(F.col("_best") == F.col("_ra"), "0/1").otherwise("1/1"),
         )
         .withColumn("confidence", F.lit(10.0) * (F.col("_best") - F.col("_rr")))
-        .where((F.col("genotype") != "0/0") & (F.col("confidence") >= min_confidence))
-        .select(
-            "contig", "contig_index", "pos", "ref", "alt", "depth", "ref_count", "alt_count", "genotype", "confidence"
-        )
+    )
+    # Inlining one struct changes no row; it keeps Catalyst from moving the filter below the
+    # expressions and evaluating copies of all of them there.
+    columns = ["contig", "contig_index", "pos", "ref", "alt", "depth", "ref_count", "alt_count", "genotype", "confidence"]
+    return scored.select(F.inline(F.array(F.struct(*columns)))).where(
+        (F.col("genotype") != "0/0") & (F.col("confidence") >= min_confidence)
     )

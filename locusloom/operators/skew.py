@@ -45,13 +45,15 @@ def salted_join(
     how: str = "inner",
     min_rows: int = MIN_HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi-join in which rows of ``big`` with a hot key are spread over several tasks.
 
     Each hot key gets as many slices as its row count asks for; the matching rows of ``other`` are
     copied once per slice. Every pair still meets exactly once, so the result is that of a plain
     join. ``how`` may be any type that keeps or drops rows of ``big``: inner, left, left_semi,
-    left_anti.
+    left_anti. Rows are dealt to slices by a hash of ``spread`` (default: all columns), which should
+    tell rows of one key apart.
     """
     keys = list(keys)
     hot = F.broadcast(hot_keys(big.select(*keys).dropna(), keys, min_rows, max_keys))
@@ -59,7 +61,7 @@ def salted_join(
     slices = F.when(no_key, NULL_KEY_SLICES).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
     cut = (
         big.join(hot, keys, "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(*big.columns), slices).cast("int"))
+        .withColumn("_slice", F.pmod(F.xxhash64(*(spread or big.columns)), slices).cast("int"))
         .drop("_slices")
     )
     copies = (

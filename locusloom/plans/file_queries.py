@@ -194,7 +194,8 @@ def sink_vcf_single(inp: Inputs) -> DataFrame:
 def published_chunks(inp: Inputs, reads: DataFrame) -> tuple[str, DataFrame]:
     """Reads as one folder per chunk, and the stream over them."""
     folder = scratch_dir(inp.spark, "arrivals")
-    reads.withColumn("file_chunk", F.col("chunk")).write.partitionBy("file_chunk").parquet(folder)
+    one_file_each = reads.withColumn("file_chunk", F.col("chunk")).repartition("file_chunk")
+    one_file_each.write.partitionBy("file_chunk").parquet(folder)
     return folder, chunks.stream_chunks(inp.spark, folder, reads.schema, chunks_per_batch=4)
 
 

@@ -114,6 +114,9 @@ BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
 )
 
+# Tables that become reads, sites and sequences, with a column to spread them by.
+LARGE_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id"}
+
 
 def needs(sql: str) -> list[str]:
     """Names in braces, in order of appearance."""
@@ -134,9 +137,18 @@ class Inputs:
                 sql = VIEWS[name]
                 self._known[name] = self.spark.sql(sql, **{n: self[n] for n in needs(sql)})
             else:
-                self._known[name] = self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+                self._known[name] = self._table(name)
         return self._known[name]
 
+    def _table(self, name: str) -> DataFrame:
+        """A driver table. One that comes in fewer splits than there are cores (a single small file, as
+        in the tests) is spread over them; a large table is read as it lies."""
+        table = self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in LARGE_TABLES and table.rdd.getNumPartitions() < cores:
+            return table.repartition(cores, LARGE_TABLES[name])
+        return table
+
 
 def with_views(sql: str) -> str:
     """DuckDB text of an oracle: the views it names in braces (and theirs) become leading CTEs."""
