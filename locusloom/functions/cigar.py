@@ -16,6 +16,11 @@ def is_reverse(flag: Column) -> Column:
     return flag.bitwiseAND(F.lit(FLAG_REVERSE)) != 0
 
 
+def is_aligned(flag: Column, cigar: Column) -> Column:
+    """Mapped, with an alignment to speak of: exactly the reads that have an alignment end."""
+    return ~is_unmapped(flag) & (cigar != "*")
+
+
 def _sum_lengths(cigar: Column, pattern: str) -> Column:
     lengths = F.regexp_extract_all(cigar, F.lit(pattern), F.lit(1))
     return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda total, n: total + n.cast("bigint"))
@@ -28,8 +33,7 @@ def reference_span(cigar: Column) -> Column:
 
 def alignment_end(flag: Column, pos: Column, cigar: Column) -> Column:
     """Last reference base of a read, 1-based; null when it is unmapped."""
-    mapped = ~is_unmapped(flag) & (cigar != "*")
-    return F.when(mapped, pos + reference_span(cigar) - F.lit(1))
+    return F.when(is_aligned(flag, cigar), pos + reference_span(cigar) - F.lit(1))
 
 
 def leading_clip(cigar: Column) -> Column:

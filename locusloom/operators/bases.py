@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..constants import PHRED_OFFSET
 from ..functions import cigar as C
 from ..functions.keys import div
-from .filters import with_alignment_end
+from .filters import aligned_reads
 from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, salted_join
 
 # Width of the tiles on which reads meet known sites; also the most sites one tile can list.
@@ -63,8 +63,7 @@ def mask_known_sites(
     """
     tile_start = F.col("tile") * F.lit(tile_width)
     pieces = (
-        with_alignment_end(reads)
-        .where(F.col("aend").isNotNull())
+        aligned_reads(reads)
         .withColumn("tile", F.explode(F.sequence(div(F.col("pos"), tile_width), div(F.col("aend"), tile_width))))
     )
     placed = salted_join(

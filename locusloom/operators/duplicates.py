@@ -49,8 +49,10 @@ def with_duplicate_key(reads: DataFrame) -> DataFrame:
     flag, cigar = F.col("flag"), F.col("cigar")
     return (
         with_alignment_end(reads)
-        .withColumn("five_prime", C.unclipped_five_prime(flag, F.col("pos"), F.col("aend"), cigar))
-        .withColumn("five_prime", F.when(F.col("aend").isNotNull(), F.col("five_prime")))
+        .withColumn(
+            "five_prime",
+            F.when(C.is_aligned(flag, cigar), C.unclipped_five_prime(flag, F.col("pos"), F.col("aend"), cigar)),
+        )
         .withColumn("reverse", C.is_reverse(flag))
         .drop("aend")
     )
@@ -65,7 +67,7 @@ def mark_duplicates(
     """
     keyed = with_duplicate_key(reads)
     best = (
-        keyed.where(F.col("five_prime").isNotNull())
+        keyed.where(C.is_aligned(F.col("flag"), F.col("cigar")))
         .withColumn("score", duplicate_score(F.col("qual")))
         .groupBy(*DUPLICATE_KEY)
         .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), "qname"))["qname"].alias("_best"))

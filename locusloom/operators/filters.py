@@ -87,6 +87,11 @@ def with_alignment_end(reads: DataFrame) -> DataFrame:
     return reads.withColumn("aend", C.alignment_end(F.col("flag"), F.col("pos"), F.col("cigar")))
 
 
+def aligned_reads(reads: DataFrame) -> DataFrame:
+    """Reads that have an alignment end, which is added. (Tested without working the end out.)"""
+    return with_alignment_end(reads.where(C.is_aligned(F.col("flag"), F.col("cigar"))))
+
+
 def with_quality_encoding(reads: DataFrame) -> DataFrame:
     return reads.withColumn("max_quality", Q.max_quality(F.col("qual"))).withColumn(
         "encoding", Q.quality_encoding(F.col("qual"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..constants import MERGE_GAP
 from ..functions import cigar as C
 from ..functions.keys import bed_start, div, region_string
-from .filters import with_alignment_end
+from .filters import aligned_reads
 
 TILE_WIDTH = 50_000
 
@@ -84,8 +84,7 @@ def merge_spans(spans: DataFrame, gap: int = 0, tile_width: int = TILE_WIDTH) ->
 def read_spans(reads: DataFrame) -> DataFrame:
     """Mapped reads as 1-based closed spans (contig, start, end)."""
     return (
-        with_alignment_end(reads)
-        .where(F.col("aend").isNotNull())
+        aligned_reads(reads)
         .select(F.col("rname").alias("contig"), F.col("pos").alias("start"), F.col("aend").alias("end"))
     )
 

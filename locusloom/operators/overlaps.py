@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import div
-from .filters import with_alignment_end
+from .filters import aligned_reads
 from .intervals import merge_spans, with_previous_end
 from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, salted_join
 
@@ -21,8 +21,7 @@ OVERLAP_BIN = 10_000
 def read_intervals(reads: DataFrame) -> DataFrame:
     """Aligned reads with half-open ``start``/``end`` and ``contig`` next to their own columns."""
     return (
-        with_alignment_end(reads)
-        .where(F.col("aend").isNotNull())
+        aligned_reads(reads)
         .withColumn("contig", F.col("rname"))
         .withColumn("start", F.col("pos") - 1)
         .withColumn("end", F.col("aend"))
