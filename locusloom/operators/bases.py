@@ -13,7 +13,7 @@ from ..constants import PHRED_OFFSET
 from ..functions import cigar as C
 from ..functions.keys import div
 from .filters import aligned_reads
-from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, salted_join
+from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
 
 # Width of the tiles on which reads meet known sites; also the most sites one tile can list.
 SITE_TILE = 1_000
@@ -66,9 +66,9 @@ def mask_known_sites(
         aligned_reads(reads)
         .withColumn("tile", F.explode(F.sequence(div(F.col("pos"), tile_width), div(F.col("aend"), tile_width))))
     )
-    placed = salted_join(
-        pieces, site_tiles(sites, tile_width), ["rname", "tile"], "left", min_hot_rows, max_hot_keys
-    )
+    crowded = aligned_reads(reads).select("rname", div(F.col("pos"), tile_width).alias("tile"))
+    hot = hot_keys(crowded, ["rname", "tile"], min_hot_rows, max_hot_keys)
+    placed = salted_join(pieces, site_tiles(sites, tile_width), ["rname", "tile"], "left", hot=hot)
     return (
         explode_bases(placed, tile_start, tile_start + F.lit(tile_width - 1))
         .where(F.col("_sites").isNull() | ~F.array_contains("_sites", F.col("ref_pos")))

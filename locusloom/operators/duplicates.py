@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 
 from ..constants import DEDUP_MIN_LINES, FLAG_DUPLICATE
 from ..functions import cigar as C
+from ..functions.keys import div
 from ..functions.quality import duplicate_score
 from .filters import with_alignment_end
-from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, salted_join
+from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
 
 COPY_COLUMNS = ("pos", "mapq", "cigar", "rnext", "pnext")
+# Width of the stretches by which crowded positions are found.
+HOT_CELL = 1_000
+
 DUPLICATE_KEY = ["library", "rname", "five_prime", "reverse"]
 
 
@@ -66,13 +70,17 @@ def mark_duplicates(
     A group shares library, contig, unclipped 5' position and strand. Unmapped reads pass unchanged.
     """
     keyed = with_duplicate_key(reads)
+    # Counted by stretches of the genome: that gives few groups, and a hot group makes its stretch hot.
+    cell = ["rname", "_cell"]
+    keyed = keyed.withColumn("_cell", div(F.col("five_prime"), HOT_CELL))
     best = (
         keyed.where(C.is_aligned(F.col("flag"), F.col("cigar")))
         .withColumn("score", duplicate_score(F.col("qual")))
-        .groupBy(*DUPLICATE_KEY)
+        .groupBy(*DUPLICATE_KEY, "_cell")
         .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), "qname"))["qname"].alias("_best"))
     )
-    joined = salted_join(keyed, best, DUPLICATE_KEY, "left", min_hot_rows, max_hot_keys, spread=["qname"])
+    hot = hot_keys(keyed.select(*cell).dropna(), cell, min_hot_rows, max_hot_keys)
+    joined = salted_join(keyed, best, [*DUPLICATE_KEY, "_cell"], "left", spread=["qname"], hot=hot)
     flag = F.when(F.col("qname") != F.col("_best"), F.col("flag").bitwiseOR(F.lit(FLAG_DUPLICATE)))
     return joined.withColumn("flag", F.coalesce(flag, F.col("flag"))).select(*reads.columns)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import div
 from .filters import aligned_reads
 from .intervals import merge_spans, with_previous_end
-from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, salted_join
+from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
 
 OVERLAP_BIN = 10_000
 
@@ -28,6 +28,11 @@ def read_intervals(reads: DataFrame) -> DataFrame:
     )
 
 
+def _hot_bins(df: DataFrame, start: str, width: int, min_rows: int, max_keys: int) -> DataFrame:
+    """Crowded bins, by the starts alone: needs no interval ends and no copies."""
+    return hot_keys(df.select("contig", div(F.col(start), width).alias("_bin")), ["contig", "_bin"], min_rows, max_keys)
+
+
 def _to_bins(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
     last = F.greatest(F.col(end) - 1, F.col(start))
     return df.withColumn("_bin", F.explode(F.sequence(div(F.col(start), width), div(last, width))))
@@ -52,8 +57,7 @@ def interval_intersect(
         _to_bins(left, "_ls", "_le", bin_width),
         _to_bins(right, "_rs", "_re", bin_width),
         ["contig", "_bin"],
-        min_rows=min_hot_rows,
-        max_keys=max_hot_keys,
+        hot=_hot_bins(left, "_ls", bin_width, min_hot_rows, max_hot_keys),
     )
     start = F.greatest("_ls", "_rs")
     return (
@@ -81,13 +85,12 @@ def interval_semi(
     disjoint = with_previous_end(merge_spans(intervals, 0)).select(
         "contig", "start", "end", "prev_end"
     )
-    spans = read_intervals(reads)
+    spans = read_intervals(reads).withColumnRenamed("start", "_ls").withColumnRenamed("end", "_le")
     hits = salted_join(
-        _to_bins(spans.withColumnRenamed("start", "_ls").withColumnRenamed("end", "_le"), "_ls", "_le", bin_width),
+        _to_bins(spans, "_ls", "_le", bin_width),
         _to_bins(disjoint.withColumnRenamed("start", "_rs").withColumnRenamed("end", "_re"), "_rs", "_re", bin_width),
         ["contig", "_bin"],
-        min_rows=min_hot_rows,
-        max_keys=max_hot_keys,
+        hot=_hot_bins(spans, "_ls", bin_width, min_hot_rows, max_hot_keys),
     )
     return (
         hits.where((F.col("_ls") < F.col("_re")) & (F.col("_rs") < F.col("_le")))

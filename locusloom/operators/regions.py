@@ -131,7 +131,10 @@ def balanced_regions(histogram: DataFrame, n_regions: int) -> DataFrame:
     it into the count carried out of it in only as many ways as it has possible first cuts. The
     histogram is split into about sqrt(n_regions) stretches of equal read count. Each stretch works
     out its outcomes on its own, one small group chains the stretches, and each stretch then numbers
-    its buckets. The result is that of the plain walk.
+    its buckets. The result is that of the plain walk. No group depends on the number of reads: the
+    histogram has a row per 5,000 bases of genome, and a group sees about its sqrt(n_regions)-th part.
+
+    ``histogram`` is read several times, so pass a materialized one.
     """
     stretch_regions = max(1, math.isqrt(n_regions))
     target = histogram.agg(

@@ -46,6 +46,7 @@ def salted_join(
     min_rows: int = MIN_HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
     spread: Sequence[str] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which rows of ``big`` with a hot key are spread over several tasks.
 
@@ -54,18 +55,25 @@ def salted_join(
     join. ``how`` may be any type that keeps or drops rows of ``big``: inner, left, left_semi,
     left_anti. Rows are dealt to slices by a hash of ``spread`` (default: all columns), which should
     tell rows of one key apart.
+
+    ``hot`` replaces the count of ``big`` by key. Its columns other than ``_slices`` must be functions of
+    the key that both sides carry, so it can be coarser than the key and cheaper to count; it must
+    come from ``hot_keys``, which bounds its size.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(big.select(*keys).dropna(), keys, min_rows, max_keys))
+    if hot is None:
+        hot = hot_keys(big.select(*keys).dropna(), keys, min_rows, max_keys)
+    cells = [c for c in hot.columns if c != "_slices"]
+    hot = F.broadcast(hot)
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     slices = F.when(no_key, NULL_KEY_SLICES).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
     cut = (
-        big.join(hot, keys, "left")
+        big.join(hot, cells, "left")
         .withColumn("_slice", F.pmod(F.xxhash64(*(spread or big.columns)), slices).cast("int"))
         .drop("_slices")
     )
     copies = (
-        other.join(hot, keys, "left")
+        other.join(hot, cells, "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
         .drop("_slices")
     )

@@ -163,9 +163,9 @@ def sink_sorted_reads(inp: Inputs) -> DataFrame:
 
 
 def written_vcf(inp: Inputs) -> str:
-    """The lines of every file, written in file order under ``file=<n>``."""
+    """The lines of every file, written in file order under ``file_no=<n>`` (a large one in several parts)."""
     folder = scratch_dir(inp.spark, "vcf")
-    rows = inp["vcf_lines"].repartition("file_no").sortWithinPartitions("file_no", "line_no")
+    rows = inp["vcf_lines"].repartitionByRange("file_no", "line_no").sortWithinPartitions("file_no", "line_no")
     rows.select("file_no", F.col("line").alias("value")).write.partitionBy("file_no").text(folder)
     return folder
 
@@ -192,10 +192,10 @@ def sink_vcf_single(inp: Inputs) -> DataFrame:
 
 
 def published_chunks(inp: Inputs, reads: DataFrame) -> tuple[str, DataFrame]:
-    """Reads as one folder per chunk, and the stream over them."""
+    """Reads as files in one folder per chunk, and the stream over them."""
     folder = scratch_dir(inp.spark, "arrivals")
-    one_file_each = reads.withColumn("file_chunk", F.col("chunk")).repartition("file_chunk")
-    one_file_each.write.partitionBy("file_chunk").parquet(folder)
+    ranged = reads.withColumn("file_chunk", F.col("chunk")).repartitionByRange("file_chunk", "qname")
+    ranged.write.partitionBy("file_chunk").parquet(folder)
     return folder, chunks.stream_chunks(inp.spark, folder, reads.schema, chunks_per_batch=4)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.ordering import distinct_variants, merge_vcf, regroup_reads
 
 # A variant file with no more lines than this is written by one task, as one file.
-SINGLE_FILE_ROWS = 20_000_000
+SINGLE_FILE_ROWS = 1_000_000
 
 
 def sink_histogram(histogram: DataFrame, path: str) -> None:
