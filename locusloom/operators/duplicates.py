@@ -72,14 +72,15 @@ def mark_duplicates(
     keyed = with_duplicate_key(reads)
     # Counted by stretches of the genome: that gives few groups, and a hot group makes its stretch hot.
     cell = ["rname", "_cell"]
-    keyed = keyed.withColumn("_cell", div(F.col("five_prime"), HOT_CELL))
+    # (Never null, so that Catalyst does not work the position out once more to filter on it.)
+    keyed = keyed.withColumn("_cell", F.coalesce(div(F.col("five_prime"), HOT_CELL), F.lit(-1)))
+    aligned = keyed.where(C.is_aligned(F.col("flag"), F.col("cigar")))
     best = (
-        keyed.where(C.is_aligned(F.col("flag"), F.col("cigar")))
-        .withColumn("score", duplicate_score(F.col("qual")))
+        aligned.withColumn("score", duplicate_score(F.col("qual")))
         .groupBy(*DUPLICATE_KEY, "_cell")
         .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), "qname"))["qname"].alias("_best"))
     )
-    hot = hot_keys(keyed.select(*cell).dropna(), cell, min_hot_rows, max_hot_keys)
+    hot = hot_keys(aligned.select(*cell), cell, min_hot_rows, max_hot_keys)
     joined = salted_join(keyed, best, [*DUPLICATE_KEY, "_cell"], "left", spread=["qname"], hot=hot)
     flag = F.when(F.col("qname") != F.col("_best"), F.col("flag").bitwiseOR(F.lit(FLAG_DUPLICATE)))
     return joined.withColumn("flag", F.coalesce(flag, F.col("flag"))).select(*reads.columns)

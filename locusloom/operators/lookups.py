@@ -31,10 +31,14 @@ def decode_bucket_key(df: DataFrame) -> DataFrame:
     return df.withColumn("contig_index", key_contig(F.col("key"))).withColumn("bucket", key_bucket(F.col("key")))
 
 
+def used_contigs(contigs: DataFrame) -> DataFrame:
+    """Contigs that are not ignored and have a readable length."""
+    return contigs.where(~F.col("ignored") & F.col("length").isNotNull())
+
+
 def contig_array_index(contigs: DataFrame) -> DataFrame:
-    """Rank of each contig among those that are not ignored (dictionary-sized window)."""
-    used = contigs.where(~F.col("ignored"))
-    return used.withColumn("array_index", F.row_number().over(Window.orderBy("contig_index")) - 1)
+    """Rank of each contig among those in use (dictionary-sized window)."""
+    return used_contigs(contigs).withColumn("array_index", F.row_number().over(Window.orderBy("contig_index")) - 1)
 
 
 def genome_bins(contigs: DataFrame, bin_width: int = BIN_WIDTH) -> DataFrame:
@@ -43,7 +47,7 @@ def genome_bins(contigs: DataFrame, bin_width: int = BIN_WIDTH) -> DataFrame:
     before = Window.orderBy("contig_index").rowsBetween(Window.unboundedPreceding, -1)
     n_bins = F.greatest(F.lit(1).cast("bigint"), div(F.col("length"), bin_width))
     return (
-        contigs.where(~F.col("ignored"))
+        used_contigs(contigs)
         .withColumn("n_bins", n_bins)
         .withColumn("first_bin", F.coalesce(F.sum("n_bins").over(before), F.lit(0)))
         .withColumn("total_bins", F.sum("n_bins").over(whole))

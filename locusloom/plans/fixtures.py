@@ -123,6 +123,43 @@ def needs(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
 
+def _reads_dup(inp: Inputs) -> DataFrame:
+    """The view of that name from one scan: a read with a planted copy becomes two rows."""
+    reads = inp["reads"]
+    names = F.when(F.col("mapq") % 5 == 0, F.array("qname", F.concat("qname", F.lit("_d")))).otherwise(F.array("qname"))
+    return reads.withColumn("qname", F.explode_outer(names)).select(*reads.columns)
+
+
+def _sam_lines(inp: Inputs) -> DataFrame:
+    """The view of that name from one scan: a read becomes its line and, for some, a bad line as well."""
+
+    def text(*fields: Column | str) -> Column:
+        return F.concat_ws("\t", *[F.col(f).cast("string") if isinstance(f, str) else f for f in fields])
+
+    line = text("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
+    malformed = text("qname", F.lit("x"), "rname", F.lit("y"))
+    unknown = text(
+        "qname", F.lit("0"), F.lit("NATION_99"), F.lit("7"), F.lit("9"), F.lit("32M"), F.lit("="), F.lit("7"),
+        F.lit("0"), "seq", "qual",
+    )
+    forward = F.col("flag") == 0
+    lines = (
+        F.when(forward & (F.col("mapq") == 13), F.array(line, malformed))
+        .when(forward & (F.col("mapq") == 17), F.array(line, unknown))
+        .otherwise(F.array(line))
+    )
+    header = F.concat_ws("\t", F.lit("@SQ"), F.concat(F.lit("SN:"), F.col("contig")), F.concat(F.lit("LN:"), F.col("length")))
+    return (
+        inp["reads"]
+        .select("chunk", F.explode_outer(lines).alias("line"))
+        .unionByName(inp["contigs"].select(F.lit(0).cast("bigint").alias("chunk"), header.alias("line")))
+    )
+
+
+# Views whose SQL reads the reads several times; Spark gets the same rows from one scan.
+SINGLE_SCAN = {"reads_dup": _reads_dup, "sam_lines": _sam_lines}
+
+
 class Inputs:
     """Tables and views of one data folder as DataFrames, e.g. ``Inputs(spark, path)["reads"]``."""
 
@@ -133,7 +170,9 @@ class Inputs:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._known:
-            if name in VIEWS:
+            if name in SINGLE_SCAN:
+                self._known[name] = SINGLE_SCAN[name](self)
+            elif name in VIEWS:
                 sql = VIEWS[name]
                 self._known[name] = self.spark.sql(sql, **{n: self[n] for n in needs(sql)})
             else:
