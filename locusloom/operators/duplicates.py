@@ -14,7 +14,7 @@ from ..functions import cigar as C
 from ..functions.keys import div
 from ..functions.quality import duplicate_score
 from .filters import with_alignment_end
-from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
+from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, hot_of_counts, key_counts, salted_join
 
 COPY_COLUMNS = ("pos", "mapq", "cigar", "rnext", "pnext")
 # Width of the stretches by which crowded positions are found.
@@ -36,8 +36,9 @@ def dedup_bucket(
     is first. Smaller groups are left alone.
     """
     block = ["chunk", "key"]
-    large = keyed_reads.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_lines).select(*block)
-    hot = {"min_rows": min_hot_rows, "max_keys": max_hot_keys, "spread": [line_order]}
+    sizes = key_counts(keyed_reads, block)
+    large = sizes.where(F.col("_n") > min_lines).select(*block)
+    hot = {"spread": [line_order], "hot": hot_of_counts(sizes, min_hot_rows, max_hot_keys)}
     untouched = salted_join(keyed_reads, large, block, "left_anti", **hot).select(*keyed_reads.columns)
     firsts = (
         salted_join(keyed_reads, large, block, "left_semi", **hot)

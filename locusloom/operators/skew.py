@@ -20,24 +20,39 @@ NULL_KEY_SLICES = 1_024
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    min_rows: int = MIN_HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """The hot keys of ``df`` with the number of slices (``_slices``) each should be cut into."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key (``_n``), null keys left out.
+
+    The keys come out as non-null columns: a join on them would otherwise add null filters below one
+    use of the counts but not below another, and the uses could no longer share one pass over ``df``.
+    """
+    filler = {"string": "", "boolean": False}
+    known = [F.coalesce(F.col(k), F.lit(filler.get(t, 0))).alias(k) for k, t in df.select(*keys).dtypes]
+    return df.select(*keys).dropna().select(*known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def hot_of_counts(counts: DataFrame, min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """The hot keys of ``key_counts`` with the number of slices (``_slices``) each should be cut into."""
     limit = counts.agg(
         F.greatest(F.lit(min_rows).cast("double"), F.sum("_n") / F.lit(max_keys)).alias("_limit")
     )
     return (
         counts.crossJoin(F.broadcast(limit))  # one row
         .where(F.col("_n") > F.col("_limit"))
-        .select(*keys, F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias("_slices"))
+        .withColumn("_slices", F.ceil(F.col("_n") / F.col("_limit")).cast("int"))
+        .drop("_n", "_limit")
     )
 
 
+def hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    min_rows: int = MIN_HOT_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    return hot_of_counts(key_counts(df, keys), min_rows, max_keys)
+
+
 def salted_join(
     big: DataFrame,
     other: DataFrame,
@@ -62,7 +77,7 @@ def salted_join(
     """
     keys = list(keys)
     if hot is None:
-        hot = hot_keys(big.select(*keys).dropna(), keys, min_rows, max_keys)
+        hot = hot_keys(big, keys, min_rows, max_keys)
     cells = [c for c in hot.columns if c != "_slices"]
     hot = F.broadcast(hot)
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])

@@ -11,7 +11,7 @@ from ..session import materialize, scratch_dir
 from ..sources import dictionary, fastq, intervals, lines, sam, vcf
 from ..streaming import chunks
 from .fixtures import Inputs
-from .interval_queries import KEYED_LINES, target_list
+from .interval_queries import KEYED_LINES
 from .read_queries import (
     BINS,
     HISTOGRAM,

@@ -1,7 +1,7 @@
 """The whole job: alignment lines to balanced, sorted, recalibrated regions and merged variant lines.
 
 Every step is a lazy DataFrame. What is small and used by several later steps (histogram, region map,
-recalibration table) is materialized; reads are not, until the region sink.
+recalibration table) is materialized, and so are the reads once duplicates are marked.
 """
 
 from __future__ import annotations
@@ -47,9 +47,9 @@ def region_intervals(reads: DataFrame, targets: DataFrame | None = None) -> Data
 
 
 def prepare_reads(reads: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Clean, give a read group, mark duplicates."""
+    """Clean, give a read group, mark duplicates. Stored, since recalibration and calling read them again."""
     cleaned = filters.clean_reads(reads, contigs).drop("aend", "past_end")
-    return duplicates.mark_duplicates(filters.set_read_group(cleaned))
+    return materialize(duplicates.mark_duplicates(filters.set_read_group(cleaned)), "prepared")
 
 
 def recalibrate(reads: DataFrame, known_sites: DataFrame, reference_base: ReferenceBase) -> DataFrame:
