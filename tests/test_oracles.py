@@ -25,10 +25,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query(spark, con, name):
     got = entry.queries()[name](spark, FOLDER).toPandas()
     want = con.execute(entry.oracle_sql()[name]).fetchdf()
