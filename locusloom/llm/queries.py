@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, quality_rules, secret_scan
+from . import line_crf, mixing, packing, pii, quality_rules, secret_scan
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,22 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op4_quality_rules)}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(table(spark, sf_dir, "documents"))
+    return planned.select("doc_id", "size", "source_size", "target", "taken", "copies", "position", "position_again")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op3_quality_classifier, op4_quality_rules, op8_packing, op9_mixing)}
 ORACLES: dict[str, str] = {}
