@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_crf, mixing, packing, pii, quality_rules, secret_scan
+from . import line_crf, mixing, ngram_join, packing, pii, quality_rules, secret_scan, substring_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -37,5 +45,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken", "copies", "position", "position_again")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op3_quality_classifier, op4_quality_rules, op8_packing, op9_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op3_quality_classifier, op4_quality_rules, op5_ngram_join, op6_substring_dedup, op8_packing, op9_mixing)}
 ORACLES: dict[str, str] = {}
