@@ -6,7 +6,8 @@ matrix with its transpose has the overlaps; it is computed only where a link is
 1. Equal sets become one row of the matrix (by a 128-bit signature of the set).
 2. Columns are ordered from rare to frequent. In a set of n, at least ceil(LIKE * n / 100) columns take part in any
    link, so two linked rows meet in the first n - ceil(LIKE * n / 100) + 1 columns of both (the prefix). Rows that
-   meet in a prefix column form blocks: the components of the graph that ties the rows of each column together.
+   meet in a prefix column form blocks: the components of the graph that ties together the rows of each column whose
+   sizes allow a link, each to the next by size.
 3. A block is cut into tiles of ``TILE`` rows by size. A pair of tiles is multiplied in one task if its sizes allow a link;
    overlaps are accumulated over bands of columns, and pairs are discarded whose overlap so far and columns left
    can't reach the bound that follows from both sizes. Links that don't join anything new within a tile
@@ -36,17 +37,20 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
-from .sorted_groups import gather, list_offsets, shared
+from .sorted_groups import list_offsets, long_lists
 from .wordhash import hash_windows, hash_words, mix, slices
 
 WIDTH, LIKE = 4, 85
-TILE = 512
+TILE = 512  # rows of a tile at most; fewer where they are long
+TILE_KEYS = 500 * TILE
 # Blocks with more rows than this are compared with a pivot first; a matter of speed only.
 PIVOT_FROM = 4 * TILE
 CELLS = 1 << 22
 FREQUENT = 200_000
 # A task reports a cell when it holds that many shingles more than the mean one.
-STANDS_OUT = 8
+STANDS_OUT = 6
+# Size classes between sets of which the smaller has just LIKE percent of the larger, and one for rounding.
+CLASSES_APART = 5
 SLACK = 1e-9
 
 
@@ -134,20 +138,44 @@ def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
     return docs.mapInArrow(run, "doc bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>")
 
 
-def _columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Prefix entries by column; rows of a batch in one column become one row."""
-    for batch in batches:
-        keys, counts = list_offsets(batch.column("prefix"))
-        doc = np.repeat(batch.column("doc").to_numpy(), counts)
-        keys, (head,), (more,) = gather(keys, doc)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(head), more], ["column", "doc", "doc_more"])
+def _size_class(n: np.ndarray, like: int) -> np.ndarray:
+    """Sizes that allow a link lie at most ``CLASSES_APART`` classes apart."""
+    return np.floor(np.log(np.maximum(n, 1)) / (np.log(100 / like) / (CLASSES_APART - 1))).astype(np.int64)
+
+
+def _columns(like: int):
+    """Prefix entries by column and size class; rows of a batch that agree in both become one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, counts = list_offsets(batch.column("prefix"))
+            doc = np.repeat(batch.column("doc").to_numpy(), counts)
+            size = np.repeat(_size_class(batch.column("n").to_numpy(), like), counts)
+            order = np.lexsort((doc, size, keys))
+            keys, size, doc = keys[order], size[order], doc[order]
+            head = np.ones(len(keys), bool)
+            head[1:] = (keys[1:] != keys[:-1]) | (size[1:] != size[:-1])
+            more = np.diff(np.append(np.flatnonzero(head), len(keys))) - 1
+            arrays = [pa.array(x[head]) for x in (keys, size, doc)]
+            yield pa.RecordBatch.from_arrays([*arrays, long_lists(doc[~head], more, more == 0)], ["column", "size", "doc", "doc_more"])
+
+    return run
 
 
 def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every row of a column tied to the column's first one."""
-    for _, (doc,), least in shared(batches, "column", ["doc"]):
-        pairs = np.unique(np.rec.fromarrays((doc[doc > least], least[doc > least])))
+    """In each column, every row tied to the one before it by size, unless their sizes rule a link out."""
+    last = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        column, size, doc = (batch.column(c).to_numpy() for c in ("column", "size", "doc"))
+        more, n_more = list_offsets(batch.column("doc_more"))
+        column, size, before = (np.concatenate(([x], y)) if last else y for x, y in zip(last or (0, 0, 0), (column, size, doc), strict=True))
+        near = (column[1:] == column[:-1]) & (size[1:] - size[:-1] <= CLASSES_APART)
+        a, b = np.concatenate((before[1:][near], more)), np.concatenate((before[:-1][near], np.repeat(doc, n_more)))
+        pairs = np.unique(np.rec.fromarrays((np.maximum(a, b), np.minimum(a, b))))
         yield pa.RecordBatch.from_arrays([pa.array(pairs["f0"]), pa.array(pairs["f1"])], ["a", "b"])
+        last = (column[-1], size[-1], doc[-1])
 
 
 def _sets(width: int):
@@ -168,27 +196,42 @@ def _links(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, like: int) -> np.n
 def multiply(left: list[np.ndarray], right: list[np.ndarray], like: int, band: int = 4096) -> np.ndarray:
     """Overlaps of the rows of two tiles; 0 where a link is out of reach.
 
-    Columns that both tiles have are taken in bands; a band is a small dense block of each tile. After a band, pairs
-    that can't reach the overlap asked by their sizes are dropped; when none is left, so are further bands.
+    Columns that both tiles have (or, of a tile with itself, two rows) are taken in bands; a band is a small dense
+    block of each tile. Pairs that can't reach the overlap asked by their sizes are dropped before each
+    band; when none is left, so are further bands.
     """
     n, m = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
-    rows, others = [np.searchsorted(both, x[np.isin(x, both)]) for x in left], [np.searchsorted(both, x[np.isin(x, both)]) for x in right]
+    keys = [np.concatenate(left), np.concatenate(right)]
+    if left is right:
+        found, count = np.unique(keys[0], return_counts=True)
+        both = found[count > 1]
+    else:
+        both = np.intersect1d(*keys)
     need = -(-like * (n[:, None] + m[None, :]) // (100 + like))
     total = np.zeros((len(left), len(right)), np.float32)
     alive = (100 * n[:, None] >= like * m[None, :]) & (100 * m[None, :] >= like * n[:, None])
-    rest_n, rest_m = np.array([len(x) for x in rows]), np.array([len(x) for x in others])
+    if len(both) == 0:
+        return np.zeros(total.shape, np.int64)
+    sides = []
+    for all_keys, sizes in zip(keys, (n, m), strict=True):
+        column = np.minimum(np.searchsorted(both, all_keys), len(both) - 1)
+        mine = both[column] == all_keys
+        row, column = np.repeat(np.arange(len(sizes)), sizes)[mine], column[mine]
+        order = np.argsort(column, kind="stable")
+        sides.append((row[order], column[order], np.bincount(row, minlength=len(sizes))))
+    (row_a, col_a, rest_a), (row_b, col_b, rest_b) = sides
     for start in range(0, len(both), band):
-        alive &= total + np.minimum(rest_n[:, None], rest_m[None, :]) >= need
+        alive &= total + np.minimum(rest_a[:, None], rest_b[None, :]) >= need
         if not alive.any():
             break
-        a, b = np.zeros((len(left), band), np.float32), np.zeros((len(right), band), np.float32)
-        for block, items, rest in ((a, rows, rest_n), (b, others, rest_m)):
-            for i, x in enumerate(items):
-                mine = x[np.searchsorted(x, start) : np.searchsorted(x, start + band)] - start
-                block[i, mine] = 1
-                rest[i] -= len(mine)
-        total += a @ b.T
+        blocks = []
+        for row, col, rest in ((row_a, col_a, rest_a), (row_b, col_b, rest_b)):
+            part = slice(np.searchsorted(col, start), np.searchsorted(col, start + band))
+            block = np.zeros((len(rest), min(band, len(both) - start)), np.float32)
+            block[row[part], col[part] - start] = 1
+            rest -= np.bincount(row[part], minlength=len(rest))
+            blocks.append(block)
+        total += blocks[0] @ blocks[1].T
     return np.where(alive, total, 0).astype(np.int64)
 
 
@@ -220,9 +263,10 @@ def _tile_links(like: int):
         sets = [keys[a:b].view(np.uint64) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         docs, side = group.column("doc").to_numpy(), group.column("side").to_numpy()
         first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if len(second) == 0:
-            second = first
-        overlap = multiply([sets[i] for i in first], [sets[i] for i in second], like)
+        left = [sets[i] for i in first]
+        right = [sets[i] for i in second] if len(second) else left
+        second = second if len(second) else first
+        overlap = multiply(left, right, like)
         hit = _links(counts[first][:, None], counts[second][None, :], overlap, like) & (docs[first][:, None] != docs[second][None, :])
         i, j = np.nonzero(hit)
         a, b = docs[first][i], docs[second][j]
@@ -247,8 +291,9 @@ def _is_link(common, n, m, like: int):
 
 def _tiles(sets: DataFrame, order: str) -> DataFrame:
     """Rows numbered by ``order`` within their block and cut into tiles; per tile the least and greatest of it."""
-    w = Window.partitionBy("block").orderBy(order, "doc")
-    return sets.withColumn("tile", F.floor((F.row_number().over(w) - 1) / TILE).cast("long"))
+    w = Window.partitionBy("block").orderBy(order, "doc").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.greatest("n", F.lit(TILE_KEYS // TILE))).over(w), F.lit(0))
+    return sets.withColumn("tile", F.floor(before / TILE_KEYS).cast("long"))
 
 
 def _tile_pairs(tiles: DataFrame, like: int) -> DataFrame:
@@ -285,8 +330,8 @@ def join(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame:
     vertices = rows.where("n > 0 and doc is not null")
     classes = materialize(vertices.groupBy("s1", "s2").agg(F.min("doc").alias("doc")), "classes")
     # A row stands for its class; a doc with rows of several classes ties these.
-    columns = rows.join(classes, ["doc", "s1", "s2"]).dropDuplicates(["doc", "s1", "s2"]).select("doc", "prefix").mapInArrow(_columns, "column bigint, doc bigint, doc_more array<bigint>")
-    ties = columns.repartition("column").sortWithinPartitions("column", "doc").mapInArrow(_ties, "a bigint, b bigint")
+    columns = rows.join(classes, ["doc", "s1", "s2"]).dropDuplicates(["doc", "s1", "s2"]).select("doc", "n", "prefix").mapInArrow(_columns(like), "column bigint, size bigint, doc bigint, doc_more array<bigint>")
+    ties = columns.repartition("column").sortWithinPartitions("column", "size", "doc").mapInArrow(_ties, "a bigint, b bigint")
     blocks = materialize(components(ties).select(F.col("node").alias("doc"), F.col("component").alias("block")), "blocks")
     needed = own.join(blocks.hint("merge"), "doc")
     sets = materialize(needed.mapInArrow(_sets(width), "doc bigint, block bigint, n bigint, keys array<bigint>").where("n > 0").dropDuplicates(["doc", "n", "keys"]), "sets")
