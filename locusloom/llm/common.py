@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,15 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array."""
-    return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
+    bare = F.btrim(text, F.lit(SPACES))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_CLASS + "++"))
 
 
 def n_words(text: Column) -> Column:

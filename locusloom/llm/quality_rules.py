@@ -19,69 +19,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import documents, words
+from .common import SPACES, documents, let, words
 
 WINDOW = 8
 KEEP = 0.5
 ROUNDS = 100
 SMOOTH = 2.0
-# Bounds on what EM may believe of a rule: better than chance, never certain.
-LEAST, MOST = 0.55, 0.995
+# What EM may believe of a rule. On good documents: the rules' limits lie outside ordinary prose, so they accuse
+# hardly any of these. On bad ones a rule sees only its own fault among many, so its good vote is weak evidence.
+GOOD_LEAST, GOOD_MOST = 0.998, 0.999
+BAD_LEAST, BAD_MOST = 0.05, 0.4
+START = (0.998, 0.3)
 # Documents judged bad before any vote; EM moves it within these bounds.
 PRIOR, PRIOR_LEAST, PRIOR_MOST = 0.8, 0.5, 0.98
 
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_distinct bigint, n_marks bigint, n_lines bigint"
 
 
-def repeat_words(items: Column) -> Column:
-    """Words that lie in a window of ``WINDOW`` words found twice or more in the array ``items``.
+def repeat_words(ones: Column) -> Column:
+    """Words that lie in a window of ``WINDOW`` words found twice or more, from the words' hashes.
 
-    Hashes of 1, 2, 4 and 8 words come from each other by pairing neighbours. Only where some window hash repeats,
+    Hashes of 2, 4 and 8 words come from each other by pairing neighbours. Only where some window hash repeats,
     windows are sorted by (hash, place); equal neighbours are the repeated ones, and the words they
     cover are counted by the distances between their places.
     """
-    n = F.size(items)
 
     def pair(a: Column, step: int) -> Column:
-        m = F.greatest(F.size(a) - step, F.lit(0))
+        m = F.size(a) - step
         return F.zip_with(F.slice(a, 1, m), F.slice(a, step + 1, m), lambda x, y: F.xxhash64(x, y))
 
-    ones = F.transform(items, lambda w: F.xxhash64(w))
-    windows = pair(pair(pair(ones, 1), 2), 4)
-    repeated = F.size(windows) > F.size(F.array_distinct(windows))
-    sorted_windows = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-
     def covered(s: Column) -> Column:
-        m = F.size(s)
-        later = F.zip_with(F.slice(s, 1, m - 1), F.slice(s, 2, m - 1), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
-        places = F.array_sort(F.array_distinct(F.flatten(F.filter(later, lambda x: x.isNotNull()))))
-        k = F.size(places)
-        gaps = F.zip_with(F.slice(places, 1, k - 1), F.slice(places, 2, k - 1), lambda a, b: F.least(b - a, F.lit(WINDOW)))
+        m = F.size(s) - 1
+        later = F.zip_with(F.slice(s, 1, m), F.slice(s, 2, m), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
+        return let(F.array_sort(F.array_distinct(F.flatten(F.filter(later, lambda x: x.isNotNull())))), union)
+
+    def union(places: Column) -> Column:
+        k = F.size(places) - 1
+        gaps = F.zip_with(F.slice(places, 1, k), F.slice(places, 2, k), lambda a, b: F.least(b - a, F.lit(WINDOW)))
         return F.aggregate(gaps, F.lit(WINDOW), lambda a, x: a + x)
 
-    # The array is bound to a lambda's name, so that it is built once.
-    total = F.element_at(F.transform(F.array(sorted_windows), covered), 1)
-    return F.when((n > WINDOW) & repeated, total).otherwise(0).cast("long")
+    def of_windows(windows: Column) -> Column:
+        repeated = F.size(windows) > F.size(F.array_distinct(windows))
+        ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(repeated, let(ordered, covered)).otherwise(0)
+
+    windows = let(pair(ones, 1), lambda two: let(pair(two, 2), lambda four: let(pair(four, 4), of_windows)))
+    return F.when(F.size(ones) > WINDOW, windows).otherwise(0).cast("long")
 
 
 def signals(text: Column) -> Column:
     """The measures of a text, a struct."""
 
-    def measure(items: Column) -> Column:
-        lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-        letters = F.array_join(items, "")
-        return F.struct(
-            F.size(items).cast("long").alias("n_words"),
-            F.length(letters).cast("long").alias("word_chars"),
-            (F.length(letters) - F.length(F.regexp_replace(letters, "[#*$%&|<>]++", ""))).cast("long").alias("n_symbols"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            repeat_words(items).alias("n_repeat_words"),
-            F.size(F.array_distinct(items)).cast("long").alias("n_distinct"),
-            (F.length(letters) - F.length(F.regexp_replace(letters, "[!?]{2,}+", ""))).cast("long").alias("n_marks"),
-            F.size(lines).cast("long").alias("n_lines"),
-        )
+    def without(c: Column, pattern: str) -> Column:
+        return F.length(F.regexp_replace(c, pattern, ""))
+
+    def of_letters(letters: Column, ones: Column) -> Column:
+        lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
+        n = F.length(letters)
+        return let(lines, lambda kept: F.struct(
+            F.size(ones).cast("long").alias("n_words"),
+            n.cast("long").alias("word_chars"),
+            (n - without(letters, "[#*$%&|<>]++")).cast("long").alias("n_symbols"),
+            (F.size(kept) - F.size(F.array_distinct(kept))).cast("long").alias("n_dup_lines"),
+            repeat_words(ones).alias("n_repeat_words"),
+            F.size(F.array_distinct(ones)).cast("long").alias("n_distinct"),
+            (n - without(letters, "[!?]{2,}+")).cast("long").alias("n_marks"),
+            F.size(kept).cast("long").alias("n_lines"),
+        ))
 
-    return F.element_at(F.transform(F.array(words(text)), measure), 1)
+    return let(words(text), lambda items: let(F.transform(items, lambda w: F.xxhash64(w)), lambda ones: let(F.array_join(items, ""), lambda letters: of_letters(letters, ones))))
 
 
 def votes() -> dict[str, Column]:
@@ -111,7 +117,7 @@ def votes() -> dict[str, Column]:
 def fit(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[tuple[float, float]]]:
     """Prior of good, and per rule the chances of a right vote on good and on bad documents, given that it votes."""
     n_rules = len(patterns[0][0]) if patterns else 0
-    prior, rates = PRIOR, [(0.8, 0.7)] * n_rules
+    prior, rates = PRIOR, [START] * n_rules
     for _ in range(ROUNDS):
         good = [posterior(p, prior, rates) for p, _ in patterns]
         total = sum(n for _, n in patterns)
@@ -124,9 +130,8 @@ def fit(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[tuple[
                 if p[j]:
                     said, said_bad = said + g * n, said_bad + (1 - g) * n
                     up, down = up + g * n * (p[j] > 0), down + (1 - g) * n * (p[j] < 0)
-            bounded = [min(MOST, max(LEAST, (a + 0.8 * SMOOTH) / (b + SMOOTH))) for a, b in ((up, said), (down, said_bad))]
-            # On bad documents most rules rightly find nothing wrong but with their own fault: any rate will do.
-            new.append((bounded[0], min(MOST, max(0.02, (down + 0.3 * SMOOTH) / (said_bad + SMOOTH)))))
+            hit = (up + START[0] * SMOOTH) / (said + SMOOTH), (down + START[1] * SMOOTH) / (said_bad + SMOOTH)
+            new.append((min(GOOD_MOST, max(GOOD_LEAST, hit[0])), min(BAD_MOST, max(BAD_LEAST, hit[1]))))
         moved = abs(new_prior - prior) + sum(abs(a[0] - b[0]) + abs(a[1] - b[1]) for a, b in zip(new, rates, strict=True))
         prior, rates = new_prior, new
         if moved < 1e-7:
