@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_crf, mixing, ngram_join, packing, pii, quality_rules, secret_scan, substring_dedup
+from . import chat_format, fingerprints, line_crf, mixing, ngram_join, packing, pii, quality_rules, secret_scan, substring_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.report(said.unionByName(chat_format.control_conversation(spark)))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -45,5 +50,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken", "copies", "position", "position_again")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op3_quality_classifier, op4_quality_rules, op5_ngram_join, op6_substring_dedup, op8_packing, op9_mixing)}
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op3_quality_classifier, op4_quality_rules, op5_ngram_join, op6_substring_dedup, op7_chat_format, op8_packing, op9_mixing, op10_fingerprints)}
 ORACLES: dict[str, str] = {}
