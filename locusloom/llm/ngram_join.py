@@ -4,14 +4,15 @@ Two documents link when their sets' overlap is at least ``LIKE`` percent of the
 matrix with its transpose has the overlaps; it is computed only where a link is possible:
 
 1. Equal sets become one row of the matrix (by a 128-bit signature of the set).
-2. Columns are ordered from rare to frequent. In a set of n, at least ceil(LIKE * n / 100) columns take part in any
-   link, so two linked rows meet in the first n - ceil(LIKE * n / 100) + 1 columns of both (the prefix). Rows that
-   meet in a prefix column form blocks: the components of the graph that ties together the rows of each column whose
-   sizes allow a link, each to the next by size.
-3. A block is cut into tiles of ``TILE`` rows by size. A pair of tiles is multiplied in one task if its sizes allow a link;
-   overlaps are accumulated over bands of columns, and pairs are discarded whose overlap so far and columns left
-   can't reach the bound that follows from both sizes. Links that don't join anything new within a tile
-   pair aren't returned, so a block of n like rows gives about n links for each tile it meets, not n * n.
+2. Columns are ordered from rare to frequent. In a set of n, at least m = ceil(LIKE * n / 100) columns take part in
+   any link, so the first MEETINGS columns that two linked rows have in common are among the first
+   n - m + MEETINGS of both (the prefix). In a column with few rows, all pairs whose sizes allow a link are counted; a
+   pair that meets in fewer than MEETINGS columns is dropped. In a column with more rows, each row is tied
+   to the next by size instead. Pairs and ties that are left make blocks, their connected components.
+3. A block is cut into tiles of up to ``TILE`` rows by size. A pair of tiles is multiplied in one task if its sizes allow
+   a link; overlaps are accumulated over bands of columns, and pairs are discarded whose overlap so far and columns
+   left can't reach the bound that follows from both sizes. Links that join nothing new within a tile pair
+   aren't returned, so a block of n like rows gives about n links for each tile it meets, not n * n.
 4. A large block of near copies is first compared with one of its rows, the pivot. Rows that link with it need no
    comparison with one another; a row too far from the pivot (Jaccard distance is a metric) needs none with
    them. What is left is tiled.
@@ -29,6 +30,7 @@ table gives an empty result; columns other than ``doc_id`` and ``text`` are igno
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,9 @@ from .sorted_groups import list_offsets, long_lists
 from .wordhash import hash_windows, hash_words, mix, slices
 
 WIDTH, LIKE = 4, 85
+MEETINGS = 6
+# Columns with more rows than this tie their rows instead of pairing all; a matter of speed only.
+PAIRED = 32
 TILE = 512  # rows of a tile at most; fewer where they are long
 TILE_KEYS = 500 * TILE
 # Blocks with more rows than this are compared with a pivot first; a matter of speed only.
@@ -49,8 +54,6 @@ CELLS = 1 << 22
 FREQUENT = 200_000
 # A task reports a cell when it holds that many shingles more than the mean one.
 STANDS_OUT = 6
-# Size classes between sets of which the smaller has just LIKE percent of the larger, and one for rounding.
-CLASSES_APART = 5
 SLACK = 1e-9
 
 
@@ -59,6 +62,11 @@ def least_overlap(n: np.ndarray, like: int) -> np.ndarray:
     return -(-like * n // 100)
 
 
+def meetings(n: np.ndarray, like: int) -> np.ndarray:
+    """In how many prefix columns a set of n meets every set that it links with, at least (MEETINGS where it is that large)."""
+    return np.minimum(MEETINGS, least_overlap(n, like))
+
+
 def shingle_sets(raw: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted within it, and how many each has; short texts are one shingle."""
     hashes, _, _, _, counts = hash_words(raw, lower=True)
@@ -127,7 +135,7 @@ def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(cells, _cell(keys)), len(cells) - 1)
                     count = np.where(cells[at] == _cell(keys), counts[at], 0)
                 order = np.lexsort((keys, count, own))
-                length = np.where(full, n - least_overlap(n, like) + 1, 0)
+                length = np.where(full, n - least_overlap(n, like) + meetings(n, like), 0)
                 place = np.arange(len(keys)) - np.repeat(begin, n)
                 prefix = keys[order][place < np.repeat(length, n)].view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(prefix))
@@ -143,52 +151,129 @@ def _size_class(n: np.ndarray, like: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / (np.log(100 / like) / (CLASSES_APART - 1))).astype(np.int64)
 
 
-def _columns(like: int):
-    """Prefix entries by column and size class; rows of a batch that agree in both become one row."""
+def _columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefix entries by column and size; rows of a batch that agree in both become one row."""
+    for batch in batches:
+        keys, counts = list_offsets(batch.column("prefix"))
+        doc, size = np.repeat(batch.column("doc").to_numpy(), counts), np.repeat(batch.column("n").to_numpy(), counts)
+        order = np.lexsort((doc, size, keys))
+        keys, size, doc = keys[order], size[order], doc[order]
+        head = np.ones(len(keys), bool)
+        head[1:] = (keys[1:] != keys[:-1]) | (size[1:] != size[:-1])
+        more = np.diff(np.append(np.flatnonzero(head), len(keys))) - 1
+        arrays = [pa.array(x[head]) for x in (keys, size, doc)]
+        yield pa.RecordBatch.from_arrays([*arrays, long_lists(doc[~head], more, more == 0)], ["column", "n", "doc", "doc_more"])
+
+
+def _pairs(like: int):
+    """Pairs of rows (a, b) that meet in columns of a partition, sorted by column and size: in how many, of how many asked.
+
+    Kept between batches: the rows of the open column, or, once these are many, the last of them.
+    """
+
+    def paired(n: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
+        i, j = np.triu_indices(len(n), 1)
+        return [doc[i], doc[j], n[i], n[j], np.ones(len(i), np.int64)]
+
+    def tied(n: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
+        return [doc[:-1], doc[1:], n[:-1], n[1:], np.full(len(n) - 1, MEETINGS, np.int64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, counts = list_offsets(batch.column("prefix"))
-            doc = np.repeat(batch.column("doc").to_numpy(), counts)
-            size = np.repeat(_size_class(batch.column("n").to_numpy(), like), counts)
-            order = np.lexsort((doc, size, keys))
-            keys, size, doc = keys[order], size[order], doc[order]
-            head = np.ones(len(keys), bool)
-            head[1:] = (keys[1:] != keys[:-1]) | (size[1:] != size[:-1])
-            more = np.diff(np.append(np.flatnonzero(head), len(keys))) - 1
-            arrays = [pa.array(x[head]) for x in (keys, size, doc)]
-            yield pa.RecordBatch.from_arrays([*arrays, long_lists(doc[~head], more, more == 0)], ["column", "size", "doc", "doc_more"])
+        column, n, doc, many = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        for batch in _with_end(batches):
+            if batch is not None:
+                more, n_more = list_offsets(batch.column("doc_more"))
+                first = [batch.column(c).to_numpy() for c in ("column", "n", "doc")]
+                rows = [np.repeat(x, n_more + 1) for x in first]
+                if len(more):
+                    head = np.zeros(len(rows[2]), bool)
+                    head[np.concatenate(([0], np.cumsum(n_more + 1)[:-1]))] = True
+                    rows[2] = rows[2].copy()
+                    rows[2][~head] = more
+                column, n, doc = (np.concatenate(x) for x in zip((column, n, doc), rows, strict=True))
+            if len(column) == 0:
+                continue
+            begin = np.flatnonzero(np.concatenate(([True], column[1:] != column[:-1])))
+            end = np.append(begin[1:], len(column))
+            # The last column may go on in the next batch.
+            closed = len(begin) if batch is None else len(begin) - 1
+            out = []
+            sizes = end - begin
+            two = begin[:closed][sizes[:closed] == 2]
+            two = two[1:] if many and len(two) and two[0] == 0 else two
+            out.append([doc[two], doc[two + 1], n[two], n[two + 1], np.ones(len(two), np.int64)])
+            for k in np.flatnonzero((sizes[:closed] > 2) | ((np.arange(closed) == 0) & many)).tolist():
+                part = slice(begin[k], end[k])
+                out.append((tied if sizes[k] > PAIRED or (many and k == 0) else paired)(n[part], doc[part]))
+            if closed:
+                many = False
+            if closed < len(begin):
+                part = slice(begin[-1], None)
+                column, n, doc = column[part], n[part], doc[part]
+                if len(column) > PAIRED:
+                    out.append(tied(n, doc))
+                    column, n, doc, many = column[-1:], n[-1:], doc[-1:], True
+            else:
+                column, n, doc = column[:0], n[:0], doc[:0]
+            a, b, n_a, n_b, met = (np.concatenate(x) for x in zip(*out, strict=True))
+            able = (100 * n_a >= like * n_b) & (100 * n_b >= like * n_a) & (a != b)
+            a, b, met = a[able], b[able], met[able]
+            asked = np.minimum(meetings(n_a, like), meetings(n_b, like))[able]
+            arrays = [pa.array(x) for x in (np.maximum(a, b), np.minimum(a, b), met, asked)]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "met", "asked"])
 
     return run
 
 
-def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In each column, every row tied to the one before it by size, unless their sizes rule a link out."""
-    last = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        column, size, doc = (batch.column(c).to_numpy() for c in ("column", "size", "doc"))
-        more, n_more = list_offsets(batch.column("doc_more"))
-        column, size, before = (np.concatenate(([x], y)) if last else y for x, y in zip(last or (0, 0, 0), (column, size, doc), strict=True))
-        near = (column[1:] == column[:-1]) & (size[1:] - size[:-1] <= CLASSES_APART)
-        a, b = np.concatenate((before[1:][near], more)), np.concatenate((before[:-1][near], np.repeat(doc, n_more)))
-        pairs = np.unique(np.rec.fromarrays((np.maximum(a, b), np.minimum(a, b))))
-        yield pa.RecordBatch.from_arrays([pa.array(pairs["f0"]), pa.array(pairs["f1"])], ["a", "b"])
-        last = (column[-1], size[-1], doc[-1])
+def _with_end(batches: Iterator) -> Iterator:
+    """The batches, and None after the last."""
+    yield from (b for b in batches if b.num_rows)
+    yield None
 
 
 def _sets(width: int):
+    """Set of each row with the places it is asked for: a row per place."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc_now, seen = None, set()  # rows come sorted by doc; equal rows are one
         for batch in batches:
+            docs, sizes, places = batch.column("doc").to_pylist(), batch.column("n").to_pylist(), batch.column("places").to_pylist()
             for first, raw in slices(batch.column("text").to_pylist()):
                 keys, n = shingle_sets(raw, width)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(keys.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc").slice(first, len(raw)), batch.column("block").slice(first, len(raw)), pa.array(n.astype(np.int64)), lists], ["doc", "block", "n", "keys"])
+                ends = np.concatenate(([0], np.cumsum(n)))
+                rows: list[tuple] = []
+                parts, counts = [], []
+                for i in range(len(raw)):
+                    doc = docs[first + i]
+                    if doc != doc_now:
+                        doc_now, seen = doc, set()
+                    mine = keys[ends[i] : ends[i + 1]]
+                    mark = (len(mine), int(mine.sum()) if len(mine) else 0)
+                    if n[i] != sizes[first + i] or mark in seen:
+                        continue
+                    seen.add(mark)
+                    for p in places[first + i]:
+                        rows.append((p["block"], p["tile"], p["tile_2"], p["side"], doc))
+                        parts.append(mine)
+                        counts.append(len(mine))
+                columns = list(zip(*rows, strict=True)) or [()] * 5
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+                lists = long_lists(np.concatenate(parts).view(np.int64) if parts else np.zeros(0), np.array(counts, np.int64), np.zeros(len(counts), bool))
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], lists], ["block", "tile", "tile_2", "side", "doc", "keys"])
 
     return run
 
 
+PLACE = "array<struct<block:bigint,tile:bigint,tile_2:bigint,side:int>>"
+
+
+def _placed_sets(texts: DataFrame, places: DataFrame, width: int) -> DataFrame:
+    """Sets of the rows (doc, n) of ``places`` at each of their places."""
+    asked = places.groupBy("doc", "n").agg(F.collect_list(F.struct("block", "tile", "tile_2", "side")).cast(PLACE).alias("places"))
+    rows = texts.join(asked.hint("merge"), "doc").select("doc", "text", "n", "places")
+    return rows.mapInArrow(_sets(width), "block bigint, tile bigint, tile_2 bigint, side int, doc bigint, keys array<bigint>")
+
+
 def _links(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, like: int) -> np.ndarray:
     return 100 * overlap >= like * (n + m - overlap)
 
@@ -276,51 +361,53 @@ def _tile_links(like: int):
     return run
 
 
-def _near_pivot(sets: DataFrame, like: int) -> DataFrame:
-    """Rows of large blocks with ``distance``, their Jaccard distance from the block's row with the smallest doc."""
-    sizes = sets.groupBy("block").agg(F.count("*").alias("_n"), F.min("doc").alias("pivot")).where(F.col("_n") > PIVOT_FROM)
-    pivots = sets.join(sizes, "block").where("doc = pivot").select("block", "pivot", F.col("keys").alias("pivot_keys"))
-    own = sets.join(pivots, "block")
-    common = F.size(F.array_intersect("keys", "pivot_keys"))
-    return own.select("doc", "block", "n", "keys", "pivot", (1 - common / (F.col("n") + F.size("pivot_keys") - common)).alias("distance"), _is_link(common, F.col("n"), F.size("pivot_keys"), like).alias("linked"))
-
-
-def _is_link(common, n, m, like: int):
-    return 100 * common >= like * (n + m - common)
+def _near_pivot(texts: DataFrame, large: DataFrame, width: int, like: int) -> DataFrame:
+    """Rows (doc, n, block) of large blocks with ``pivot``, ``linked`` and ``distance``, their Jaccard distance from it.
 
-
-def _tiles(sets: DataFrame, order: str) -> DataFrame:
-    """Rows numbered by ``order`` within their block and cut into tiles; per tile the least and greatest of it."""
-    w = Window.partitionBy("block").orderBy(order, "doc").rowsBetween(Window.unboundedPreceding, -1)
+    The pivot is the block's row with the smallest doc. Its set is joined to each member's.
+    """
+    spot = [F.lit(0).cast("long").alias("tile"), F.lit(0).cast("long").alias("tile_2"), F.lit(0).alias("side")]
+    first = materialize(large.groupBy("block").agg(F.min(F.struct("doc", "n")).alias("p")).select("block", "p.doc", "p.n"), "pivots")
+    pivots = materialize(_placed_sets(texts, first.select("doc", "n", "block", *spot), width).select("block", F.col("doc").alias("pivot"), F.col("keys").alias("pivot_keys")), "pivot-sets")
+    members = _placed_sets(texts, large.select("doc", "n", "block", *spot), width).select("block", "doc", "keys")
+    n, m, common = F.size("keys").cast("long"), F.size("pivot_keys").cast("long"), F.size(F.array_intersect("keys", "pivot_keys"))
+    measured = members.join(pivots, "block").select("doc", n.alias("n"), "block", "pivot", common.alias("o"), m.alias("m"))
+    union = F.col("n") + F.col("m") - F.col("o")
+    return measured.select("doc", "n", "block", "pivot", (1 - F.col("o") / union).alias("distance"), (100 * F.col("o") >= like * union).alias("linked"))
+
+
+def _tile_places(rows: DataFrame, like: int) -> DataFrame:
+    """Places (block, tile, tile_2, side) of rows (doc, n, block): in each pair of tiles whose sizes allow a link."""
+    w = Window.partitionBy("block").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.greatest("n", F.lit(TILE_KEYS // TILE))).over(w), F.lit(0))
-    return sets.withColumn("tile", F.floor(before / TILE_KEYS).cast("long"))
-
-
-def _tile_pairs(tiles: DataFrame, like: int) -> DataFrame:
-    """Pairs of a block's tiles whose sizes allow a link."""
-    span = materialize(tiles.groupBy("block", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "tiles")
-    other = span.select("block", F.col("tile").alias("tile_2"), F.col("lo").alias("lo_2"), F.col("hi").alias("hi_2"))
-    return span.join(other, "block").where((F.col("tile") <= F.col("tile_2")) & (100 * F.col("hi") >= like * F.col("lo_2"))).select("block", "tile", "tile_2")
-
-
-def block_links(sets: DataFrame, like: int) -> DataFrame:
-    """Links (a, b) that connect all rows of a block that are connected by any."""
-    schema = "a bigint, b bigint"
-    measured = materialize(_near_pivot(sets, like), "pivots")
-    limit = (100 - like) / 100
-    links = [measured.where("linked and doc != pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b"))]
-    # Near rows are needed again only by rows that are not linked with the pivot, but close enough to one that is.
-    mid = measured.where(~F.col("linked") & (F.col("distance") <= 2 * limit + SLACK))
-    reach = mid.groupBy("block").agg((F.min("distance") - limit - SLACK).alias("_from"))
-    small = sets.join(measured.select("block").distinct(), "block", "left_anti")
-    rest = measured.where(~F.col("linked")).select("doc", "block", "n", "keys")
-    asked = measured.where("linked").join(reach, "block").where(F.col("distance") >= F.col("_from")).select("doc", "block", "n", "keys")
-    tiles = materialize(_tiles(small.unionByName(rest).unionByName(asked), "n"), "tiled")
-    pairs = _tile_pairs(tiles, like)
-    first = tiles.join(pairs, ["block", "tile"]).select("block", "tile", "tile_2", F.lit(0).alias("side"), "doc", "keys")
-    second = tiles.withColumnRenamed("tile", "tile_2").join(pairs.where("tile != tile_2"), ["block", "tile_2"]).select("block", "tile", "tile_2", F.lit(1).alias("side"), "doc", "keys")
-    links.append(first.unionByName(second).groupBy("block", "tile", "tile_2").applyInArrow(_tile_links(like), schema))
-    return links[0].unionByName(links[1])
+    tiles = materialize(rows.withColumn("tile", F.floor(before / TILE_KEYS).cast("long")), "tiled")
+    span = tiles.groupBy("block", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    other = span.select("block", F.col("tile").alias("tile_2"), F.col("lo").alias("lo_2"))
+    pairs = span.join(other, "block").where((F.col("tile") <= F.col("tile_2")) & (100 * F.col("hi") >= like * F.col("lo_2")))
+    pairs = materialize(pairs.select("block", "tile", "tile_2"), "tile-pairs")
+    first = tiles.join(pairs, ["block", "tile"]).withColumn("side", F.lit(0))
+    second = tiles.withColumnRenamed("tile", "tile_2").join(pairs.where("tile != tile_2"), ["block", "tile_2"]).withColumn("side", F.lit(1))
+    return first.unionByName(second)
+
+
+def block_links(texts: DataFrame, rows: DataFrame, width: int, like: int) -> DataFrame:
+    """Links (a, b) that connect all rows (doc, n, block) of a block that are connected by any."""
+    sizes = materialize(rows.groupBy("block").agg(F.count("*").alias("_n")).where(F.col("_n") > PIVOT_FROM), "large-blocks")
+    links = []
+    if not sizes.isEmpty():
+        limit = (100 - like) / 100
+        measured = materialize(_near_pivot(texts, rows.join(sizes, "block"), width, like), "near-pivot")
+        links.append(measured.where("linked and doc != pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
+        # Near rows are needed again only by rows that don't link with the pivot, but are close enough to one that does.
+        mid = measured.where(~F.col("linked") & (F.col("distance") <= 2 * limit + SLACK))
+        reach = mid.groupBy("block").agg((F.min("distance") - limit - SLACK).alias("_from"))
+        asked = measured.where("linked").join(reach, "block").where(F.col("distance") >= F.col("_from"))
+        rest = measured.where(~F.col("linked"))
+        small = rows.join(sizes, "block", "left_anti")
+        rows = reduce(DataFrame.unionByName, [x.select("doc", "n", "block") for x in (small, rest, asked)])
+    placed = _placed_sets(texts, _tile_places(rows, like), width)
+    links.append(placed.groupBy("block", "tile", "tile_2").applyInArrow(_tile_links(like), "a bigint, b bigint"))
+    return reduce(DataFrame.unionByName, links)
 
 
 def join(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame:
@@ -328,16 +415,17 @@ def join(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     rows = materialize(prefixes(own, width, like), "prefixes")
     vertices = rows.where("n > 0 and doc is not null")
-    classes = materialize(vertices.groupBy("s1", "s2").agg(F.min("doc").alias("doc")), "classes")
+    classes = materialize(vertices.groupBy("s1", "s2").agg(F.min("doc").alias("doc"), F.first("n").alias("n")), "classes")
     # A row stands for its class; a doc with rows of several classes ties these.
-    columns = rows.join(classes, ["doc", "s1", "s2"]).dropDuplicates(["doc", "s1", "s2"]).select("doc", "n", "prefix").mapInArrow(_columns(like), "column bigint, size bigint, doc bigint, doc_more array<bigint>")
-    ties = columns.repartition("column").sortWithinPartitions("column", "size", "doc").mapInArrow(_ties, "a bigint, b bigint")
-    blocks = materialize(components(ties).select(F.col("node").alias("doc"), F.col("component").alias("block")), "blocks")
-    needed = own.join(blocks.hint("merge"), "doc")
-    sets = materialize(needed.mapInArrow(_sets(width), "doc bigint, block bigint, n bigint, keys array<bigint>").where("n > 0").dropDuplicates(["doc", "n", "keys"]), "sets")
+    first = rows.join(classes.select("doc", "s1", "s2"), ["doc", "s1", "s2"]).select("doc", "n", "prefix")
+    columns = first.mapInArrow(_columns, "column bigint, n bigint, doc bigint, doc_more array<bigint>")
+    met = columns.repartition("column").sortWithinPartitions("column", "n", "doc").mapInArrow(_pairs(like), "a bigint, b bigint, met bigint, asked bigint")
+    pairs = met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("asked").alias("asked")).where("met >= asked").select("a", "b")
+    blocks = components(pairs).select(F.col("node").alias("doc"), F.col("component").alias("block"))
+    members = materialize(blocks.join(classes.select("doc", "n"), "doc"), "blocks")
     several = vertices.groupBy("doc").agg(F.min(F.struct("s1", "s2")).alias("x"), F.max(F.struct("s1", "s2")).alias("y")).where("x != y").select("doc")
-    tied = vertices.join(several, "doc").select("doc", "s1", "s2").join(classes.withColumnRenamed("doc", "_class"), ["s1", "s2"]).select(F.col("doc").alias("a"), F.col("_class").alias("b"))
-    groups = materialize(components(block_links(sets, like).unionByName(tied)), "components")
+    tied = vertices.join(several, "doc").select("doc", "s1", "s2").join(classes.select("s1", "s2", F.col("doc").alias("_class")), ["s1", "s2"]).select(F.col("doc").alias("a"), F.col("_class").alias("b"))
+    groups = materialize(components(block_links(own, members, width, like).unionByName(tied)), "components")
     # Members of a class: their class's first doc, then that one's component.
     of_class = classes.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("s1", "s2", F.coalesce("component", "doc").alias("_component"))
     kind = docs.schema["doc_id"].dataType.simpleString()
