@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -30,8 +30,8 @@ from ..session import materialize
 CAPACITY = 2048
 END = 0
 GROUP = 40_000
-# Ids of words are kept per worker, for at most so many words.
-KEPT_WORDS = 300_000
+# Ids of words and of their pieces are kept per worker, for at most twice so many of each.
+KEPT_WORDS, KEPT_PIECES = 250_000, 450_000
 
 # Pieces of lower-cased text within U+0000..U+00FF as the tokenizer splits it (its rule is a fixed value).
 _LETTER = "a-zªµºß-öø-ÿ"
@@ -39,38 +39,47 @@ _NUMBER = "0-9²³¹¼-¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\t-\\r \\x85\\xa0{_LETTER}{_NUMBER}]+")
 
 
+class Memo(dict):
+    """What ``make`` gives for a word, remembered; past ``limit`` words, those not asked for since are forgotten."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.old.pop(word, None)
+        if value is None:
+            value = self.make(word)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
 class WordIds:
     """Token ids of texts as bytes of little-endian 32-bit numbers.
 
-    The tokenizer treats the pieces of a text one by one, so equal pieces have equal ids and are encoded once.
-    Texts with characters beyond U+00FF, where its normalizer could join characters, or with special
-    tokens go through it whole.
+    The tokenizer treats words, and in them letters, digits and signs, one by one, so equal ones have equal ids and are
+    encoded once. Texts with characters beyond U+00FF, where its normalizer could join characters, with
+    separators that Python takes for white space and it does not, or with special tokens go through it whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
+        self.pieces = Memo(self._whole, KEPT_PIECES)
+        self.words = Memo(lambda w: b"".join([self.pieces[p] for p in _PIECE.findall(w)]), KEPT_WORDS)
 
     def encode(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return self._whole(text)
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.odd):
             return self._whole(text)
-        pieces = _PIECE.findall(text.lower())
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) > KEPT_WORDS:
-                known.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[p] for p in pieces])
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
