@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -32,6 +32,8 @@ END = 0
 GROUP = 40_000
 # Ids of words and of their pieces are kept per worker, for at most twice so many of each.
 KEPT_WORDS, KEPT_PIECES = 250_000, 450_000
+# Texts are encoded together up to about so many code points.
+SLICE_CHARS = 1_500_000
 
 # Pieces of lower-cased text within U+0000..U+00FF as the tokenizer splits it (its rule is a fixed value).
 _LETTER = "a-zªµºß-öø-ÿ"
@@ -39,21 +41,20 @@ _NUMBER = "0-9²³¹¼-¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\t-\\r \\x85\\xa0{_LETTER}{_NUMBER}]+")
 
 
-class Memo(dict):
-    """What ``make`` gives for a word, remembered; past ``limit`` words, those not asked for since are forgotten."""
+class Memo:
+    """Ids by word; past ``limit`` words, those not asked for since the last such time are forgotten."""
 
-    def __init__(self, make: Callable[[str], bytes], limit: int):
-        self.make, self.limit, self.old = make, limit, {}
+    def __init__(self, limit: int):
+        self.limit, self.now, self.before = limit, {}, {}
 
-    def __missing__(self, word: str) -> bytes:
-        value = self.old.pop(word, None)
-        if value is None:
-            value = self.make(word)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[word] = value
-        return value
+    def missing(self, words: set[str]) -> list[str]:
+        """Which of the words have to be added; the others are ready in ``now``."""
+        if len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
+        new = words - self.now.keys()
+        again = new & self.before.keys()
+        self.now.update({w: self.before[w] for w in again})
+        return list(new - again)
 
 
 class WordIds:
@@ -69,17 +70,28 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
-        self.pieces = Memo(self._whole, KEPT_PIECES)
-        self.words = Memo(lambda w: b"".join([self.pieces[p] for p in _PIECE.findall(w)]), KEPT_WORDS)
-
-    def encode(self, text: str) -> bytes:
+        self.words, self.pieces = Memo(KEPT_WORDS), Memo(KEPT_PIECES)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [self._plain(t) for t in texts]
+        words = [t.lower().split() if p else () for t, p in zip(texts, plain, strict=True)]
+        new = self.words.missing(set().union(*words))
+        split = [_PIECE.findall(w) for w in new]
+        pieces = self.pieces.missing(set().union(*split))
+        known = self.pieces.now
+        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, "<u4").tobytes()
+        known = self.words.now
+        for w, parts in zip(new, split, strict=True):
+            known[w] = b"".join([self.pieces.now[p] for p in parts])
+        return [b"".join(map(known.__getitem__, w)) if p else self._whole(t) for t, w, p in zip(texts, words, plain, strict=True)]
+
+    def _plain(self, text: str) -> bool:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return self._whole(text)
-        if any(s in text for s in self.odd):
-            return self._whole(text)
-        return b"".join(map(self.words.__getitem__, text.lower().split()))
+            return False
+        return not any(s in text for s in self.odd)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -97,6 +109,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _encoded(encoder: WordIds, texts: list[str | None]) -> Iterator[bytes]:
+    part, size = [], 0
+    for text in texts:
+        part.append(text or "")
+        size += len(part[-1])
+        if size > SLICE_CHARS:
+            yield from encoder.encode(part)
+            part, size = [], 0
+    yield from encoder.encode(part)
+
+
 PIECE_COLUMNS = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -108,8 +131,8 @@ def cut(docs: DataFrame, path: str | None = None) -> DataFrame:
         encoder = word_ids(path or tokenizer_path())
         for batch in batches:
             place, rows = [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = encoder.encode(text or "") + end
+            for i, ids in enumerate(_encoded(encoder, batch.column("text").to_pylist())):
+                ids += end
                 for k, start in enumerate(range(0, len(ids) // 4, CAPACITY)):
                     part = ids[4 * start : 4 * (start + CAPACITY)]
                     place.append(i)
