@@ -51,10 +51,12 @@ class Memo:
         """Which of the words have to be added; the others are ready in ``now``."""
         if len(self.now) > self.limit:
             self.now, self.before = {}, self.now
-        new = words - self.now.keys()
-        again = new & self.before.keys()
-        self.now.update({w: self.before[w] for w in again})
-        return list(new - again)
+        now, before = self.now, self.before
+        new = [w for w in words if w not in now]
+        if before:
+            now.update({w: before[w] for w in new if w in before})
+            new = [w for w in new if w not in now]
+        return new
 
 
 class WordIds:
