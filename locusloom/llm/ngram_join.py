@@ -17,9 +17,9 @@ matrix with its transpose has the overlaps; it is computed only where a link is
    comparison with one another; a row too far from the pivot (Jaccard distance is a metric) needs none with
    them. What is left is tiled.
 
-The order of columns is a matter of speed only: any fixed one gives the same links. Frequencies come from a count of all
-documents' shingles into ``CELLS`` cells by hash; the ``FREQUENT`` cells that stand out are sent to all
-tasks (8 bytes each), others count as rare.
+The order of columns is a matter of speed only: any fixed one gives the same links. Documents are counted for a quarter
+of all columns, chosen by hash: the rare ones of these come first, then columns that weren't counted, then frequent
+ones. The ``FREQUENT`` most frequent are sent to all tasks (16 bytes each), others pass for rare.
 
 Defined cases: null or empty text, or one without words, has the empty set and is linked with nothing; a row with a null
 ``doc_id`` is no vertex: linked with nothing, its component is null; rows with equal ``doc_id`` are one vertex; an empty
@@ -50,10 +50,9 @@ TILE = 512  # rows of a tile at most; fewer where they are long
 TILE_KEYS = 500 * TILE
 # Blocks with more rows than this are compared with a pivot first; a matter of speed only.
 PIVOT_FROM = 4 * TILE
-CELLS = 1 << 22
+# Columns with a hash below this, a quarter of all, are counted: a prefix is about a sixth of a row.
+COUNTED = np.uint64(1 << 62)
 FREQUENT = 200_000
-# A task reports a cell when it holds that many shingles more than the mean one.
-STANDS_OUT = 6
 SLACK = 1e-9
 
 
@@ -88,37 +87,30 @@ def shingle_sets(raw: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return key[new], np.bincount(own[new], minlength=len(raw))
 
 
-def _cell(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(42)).astype(np.int64)
-
-
-def frequent_cells(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of frequent shingles, sorted, and the counts of all documents there: at most ``FREQUENT`` of them."""
+def frequent_columns(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of the counted share that more than ``PAIRED`` documents have, sorted, with counts: at most ``FREQUENT``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, total = np.zeros(CELLS, np.int32), 0
         for batch in batches:
             for _, raw in slices(batch.column("text").to_pylist()):
-                hashes, _, _, _, counts = hash_words(raw, lower=True)
+                hashes, _, _, _, _ = hash_words(raw, lower=True)
                 windows = hash_windows(hashes, width)
-                found = _cell(windows)
-                cells += np.bincount(found, minlength=CELLS).astype(np.int32)
-                total += len(windows)
-        out = np.flatnonzero(cells >= total / CELLS + STANDS_OUT)
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(cells[out], pa.int64())], ["cell", "n"])
+                found, n = np.unique(windows[windows < COUNTED], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["column", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    top = sorted((r.cell, r.n) for r in counted.orderBy(F.desc("n"), "cell").limit(FREQUENT).collect())
-    return np.array([c for c, _ in top], np.int64), np.array([n for _, n in top], np.int64)
+    counted = docs.select("text").mapInArrow(count, "column bigint, n bigint").groupBy("column").agg(F.sum("n").alias("n")).where(F.col("n") > PAIRED)
+    top = counted.orderBy(F.desc("n"), "column").limit(FREQUENT).toArrow()
+    keys, n = top.column("column").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], n[order]
 
 
 def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
     """Per row: ``doc``, set size ``n``, signature (``s1``, ``s2``) and ``prefix``, its rarest columns."""
-    cells, counts = frequent_cells(docs, width)
-    shared_cells = docs.sparkSession.sparkContext.broadcast((cells, counts))
+    known = docs.sparkSession.sparkContext.broadcast(frequent_columns(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, counts = shared_cells.value
+        frequent, counts = known.value
         for batch in batches:
             docs = batch.column("doc")
             for first, raw in slices(batch.column("text").to_pylist()):
@@ -130,11 +122,11 @@ def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
                 if len(keys):
                     s1[full] = np.add.reduceat(mix(keys + np.uint64(1)), begin[full])
                     s2[full] = np.add.reduceat(mix(keys ^ np.uint64(0x5851F42D4C957F2D)), begin[full])
-                count = np.zeros(len(keys), np.int64)
-                if len(cells):
-                    at = np.minimum(np.searchsorted(cells, _cell(keys)), len(cells) - 1)
-                    count = np.where(cells[at] == _cell(keys), counts[at], 0)
-                order = np.lexsort((keys, count, own))
+                rank = (keys >= COUNTED).astype(np.int64)  # 0 rare, 1 not counted, more: frequent
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+                    rank[frequent[at] == keys] = counts[at][frequent[at] == keys] + 1
+                order = np.lexsort((keys, rank, own))
                 length = np.where(full, n - least_overlap(n, like) + meetings(n, like), 0)
                 place = np.arange(len(keys)) - np.repeat(begin, n)
                 prefix = keys[order][place < np.repeat(length, n)].view(np.int64)
