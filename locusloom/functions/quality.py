@@ -41,8 +41,3 @@ def duplicate_score(qual: Column) -> Column:
     """Sum of the qualities that count when the best read of a duplicate group is chosen."""
     good = F.filter(qualities(qual), lambda q: q >= DUPLICATE_MIN_QUALITY)
     return F.aggregate(good, F.lit(0).cast("bigint"), lambda total, q: total + q)
-
-
-def phred_char(quality: Column) -> Column:
-    """One Phred character of an integer quality."""
-    return F.chr(quality + F.lit(PHRED_OFFSET))

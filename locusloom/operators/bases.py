@@ -19,13 +19,16 @@ from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS, hot_keys, salted_join
 SITE_TILE = 1_000
 
 
-def explode_bases(reads: DataFrame, first: Column, last: Column) -> DataFrame:
+def explode_bases(reads: DataFrame, first: Column, last: Column, without: Column | None = None) -> DataFrame:
     """One row per aligned base (M, =, X) between reference positions ``first`` and ``last``, inclusive.
 
-    Adds ``ref_pos`` and ``read_pos`` (both 1-based) and ``base``.
+    Positions in the array ``without`` (may be null) are taken out before the rows are made. Adds ``ref_pos`` and ``read_pos`` (both 1-based) and ``base``.
     """
     aligned = F.filter(C.cigar_items(F.col("cigar")), lambda x: x["op"].isin("M", "=", "X"))
     begin = F.col("pos") + F.col("_item.ref_off")
+    kept = F.sequence("_from", "_to")
+    if without is not None:
+        kept = F.when(without.isNull(), kept).otherwise(F.array_except(kept, without))
     return (
         reads.withColumn("_first", first.cast("bigint"))
         .withColumn("_last", last.cast("bigint"))
@@ -33,7 +36,7 @@ def explode_bases(reads: DataFrame, first: Column, last: Column) -> DataFrame:
         .withColumn("_from", F.greatest(F.col("_first"), begin))
         .withColumn("_to", F.least(F.col("_last"), begin + F.col("_item.len") - 1))
         .where(F.col("_from") <= F.col("_to"))
-        .withColumn("ref_pos", F.explode(F.sequence("_from", "_to")))
+        .withColumn("ref_pos", F.explode(kept))
         .withColumn("read_pos", (F.col("ref_pos") - begin + F.col("_item.read_off") + 1).cast("int"))
         .withColumn("base", F.substr(F.col("seq"), F.col("read_pos"), F.lit(1)))
         .drop("_first", "_last", "_item", "_from", "_to")
@@ -45,7 +48,7 @@ def site_tiles(sites: DataFrame, tile_width: int = SITE_TILE) -> DataFrame:
     return (
         sites.withColumn("tile", div(F.col("pos"), tile_width))
         .groupBy(F.col("contig").alias("rname"), "tile")
-        .agg(F.collect_set("pos").alias("_sites"))
+        .agg(F.collect_set(F.col("pos").cast("bigint")).alias("_sites"))
     )
 
 
@@ -69,11 +72,7 @@ def mask_known_sites(
     crowded = aligned_reads(reads).select("rname", div(F.col("pos"), tile_width).alias("tile"))
     hot = hot_keys(crowded, ["rname", "tile"], min_hot_rows, max_hot_keys)
     placed = salted_join(pieces, site_tiles(sites, tile_width), ["rname", "tile"], "left", hot=hot)
-    return (
-        explode_bases(placed, tile_start, tile_start + F.lit(tile_width - 1))
-        .where(F.col("_sites").isNull() | ~F.array_contains("_sites", F.col("ref_pos")))
-        .drop("_sites", "tile", "aend")
-    )
+    return explode_bases(placed, tile_start, tile_start + F.lit(tile_width - 1), F.col("_sites")).drop("_sites", "tile", "aend")
 
 
 def complement(base: Column) -> Column:

@@ -77,7 +77,7 @@ def mark_duplicates(
     keyed = keyed.withColumn("_cell", F.coalesce(div(F.col("five_prime"), HOT_CELL), F.lit(-1)))
     aligned = keyed.where(C.is_aligned(F.col("flag"), F.col("cigar")))
     best = (
-        aligned.withColumn("score", duplicate_score(F.col("qual")))
+        aligned.withColumn("score", F.coalesce(duplicate_score(F.col("qual")), F.lit(0)))
         .groupBy(*DUPLICATE_KEY, "_cell")
         .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), "qname"))["qname"].alias("_best"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,12 +46,20 @@ def sam_fields(lines: DataFrame) -> DataFrame:
     )
 
 
+def is_whole_record() -> Column:
+    """Whether all eleven fields of a record are there, its numbers and CIGAR can be read, and its lengths agree."""
+    fields = [F.col(c).isNotNull() for c in ("qname", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")]
+    cigar = F.col("cigar").rlike(r"^(\*|([0-9]+[MIDNSHP=X])+)$")
+    lengths = F.col("seq").isin("*") | F.col("qual").isin("*") | (F.length("seq") == F.length("qual"))
+    return F.coalesce(reduce(Column.__and__, [*fields, cigar, lengths]), F.lit(False))
+
+
 def classify_records(records: DataFrame, contigs: DataFrame) -> DataFrame:
     """Add ``contig_index`` and ``status`` to parsed records.
 
     The tests run in a fixed order and the first that applies decides: an unreadable flag is
-    ``bad``; then ``unmapped``; then ``ignored``; a contig that is not in the dictionary or an
-    unreadable position is ``bad`` as well; everything else is ``mapped``.
+    ``bad``; then ``unmapped``; then ``ignored``; a contig that is not in the dictionary, an unreadable
+    position, and a record whose other fields are missing or disagree are ``bad`` as well; everything else is ``mapped``.
     """
     names = contigs.select(F.col("contig").alias("rname"), "contig_index", "ignored")
     return (
@@ -61,7 +71,7 @@ def classify_records(records: DataFrame, contigs: DataFrame) -> DataFrame:
             .when(F.col("rname").isNull(), "bad")
             .when(F.col("rname") == "*", "unmapped")
             .when(F.col("ignored"), "ignored")
-            .when(F.col("contig_index").isNull() | F.col("pos").isNull(), "bad")
+            .when(F.col("contig_index").isNull() | F.col("pos").isNull() | ~is_whole_record(), "bad")
             .otherwise("mapped"),
         )
         .drop("ignored")

@@ -48,19 +48,31 @@ def header_ordinals(lines: DataFrame) -> DataFrame:
 
 
 def vcf_key(lines: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Variant lines keyed for the merge: (contig_index, pos), header lines (-1, ordinal)."""
-    parts = F.split(F.col("line"), "\t")
+    """Variant lines keyed for the merge: (contig_index, pos), header lines (-1, ordinal).
+
+    Lines of unknown contigs or without a readable position have no place in that order: see ``bad_variants``.
+    """
     columns = ["file_no", "line_no", "contig_index", "pos", "line"]
     header = header_ordinals(lines).select(
         "file_no", "line_no", F.lit(-1).alias("contig_index"), F.col("ordinal").cast("bigint").alias("pos"), "line"
     )
-    data = (
+    data = _located(lines, contigs).where(F.col("contig_index").isNotNull() & F.col("pos").isNotNull())
+    return header.select(*columns).unionByName(data.select(*columns))
+
+
+def _located(lines: DataFrame, contigs: DataFrame) -> DataFrame:
+    parts = F.split(F.col("line"), "\t")
+    return (
         lines.where(~F.col("line").startswith("#"))
         .withColumn("contig", F.get(parts, F.lit(0)))
         .withColumn("pos", strict_int(F.get(parts, F.lit(1))))
         .join(contigs.select("contig", "contig_index"), "contig", "left")
     )
-    return header.select(*columns).unionByName(data.select(*columns))
+
+
+def bad_variants(lines: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Variant lines (file_no, line_no, line) that can't be merged; they are set aside, and work goes on with the rest."""
+    return _located(lines, contigs).where(F.col("contig_index").isNull() | F.col("pos").isNull()).select("file_no", "line_no", "line")
 
 
 def distinct_variants(keyed_lines: DataFrame) -> DataFrame:

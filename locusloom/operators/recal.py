@@ -71,10 +71,11 @@ def recal_levels(table: DataFrame) -> DataFrame:
 
 def _level_arrays(levels: pd.DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Dense lookup arrays indexed by read group, quality and cycle or context; NaN where no cell is."""
+    levels = levels[levels["quality"] >= 0]  # such bases keep their quality
     groups = sorted(levels["read_group"].unique())
     number = {g: i for i, g in enumerate(groups)}
-    n_quality = int(levels["quality"].max()) + 1
-    n_cycle = int(levels["cycle"].max()) + 1
+    n_quality = int(levels["quality"].max()) + 1 if len(levels) else 1
+    n_cycle = int(levels["cycle"].max()) + 1 if len(levels) else 1
     base = np.full((len(groups), n_quality), np.nan)
     cycle = np.full((len(groups), n_quality, n_cycle), np.nan)
     context = np.full((len(groups), n_quality, 16), np.nan)
@@ -120,9 +121,11 @@ def apply_recal(reads: DataFrame, table: DataFrame) -> DataFrame:
             if qual.empty:
                 yield pd.Series([], dtype=object)
                 continue
+            missing, qual = qual.isna(), qual.fillna("")
+            seq, flag = seq.fillna("*"), flag.fillna(0)
             sizes = qual.str.len().to_numpy(np.int64)
             ends = np.cumsum(sizes)
-            place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+            place = np.arange(int(ends[-1])) - np.repeat(ends - sizes, sizes)
             reverse = np.repeat((flag.to_numpy(np.int64) & FLAG_REVERSE) != 0, sizes)
             group = np.repeat(read_group.map(number).fillna(-1).to_numpy(np.int64), sizes)
             quality = np.frombuffer("".join(qual).encode("ascii"), np.uint8).astype(np.int64) - PHRED_OFFSET
@@ -145,6 +148,6 @@ def apply_recal(reads: DataFrame, table: DataFrame) -> DataFrame:
             new = np.clip(np.floor(value + 0.5), RECAL_MIN_QUALITY, RECAL_MAX_QUALITY)
             new = np.where(np.isnan(expected), quality, np.nan_to_num(new)).astype(np.uint8) + PHRED_OFFSET
             joined = new.astype(np.uint8).tobytes().decode("ascii")
-            yield pd.Series([joined[e - n : e] for e, n in zip(ends, sizes, strict=True)])
+            yield pd.Series([None if gone else joined[e - n : e] for e, n, gone in zip(ends, sizes, missing, strict=True)], dtype=object)
 
     return reads.withColumn("new_qual", recalibrate("read_group", "flag", "seq", "qual"))

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it has more rows than MIN_HOT_ROWS and more than 1/MAX_HOT_KEYS of all rows, so
-# there can never be more than MAX_HOT_KEYS of them: that bounds what is broadcast below.
+# there can never be more than MAX_HOT_KEYS of them: that bounds what is broadcast below. A slice of a
+# hot key has MIN_HOT_ROWS rows, however many rows there are in all.
 MIN_HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 1_000_000
 
 # Rows whose key has a null match nothing; they are spread over this many slices.
 NULL_KEY_SLICES = 1_024
@@ -36,10 +37,11 @@ def hot_of_counts(counts: DataFrame, min_rows: int = MIN_HOT_ROWS, max_keys: int
     limit = counts.agg(
         F.greatest(F.lit(min_rows).cast("double"), F.sum("_n") / F.lit(max_keys)).alias("_limit")
     )
+    slice_rows = F.lit(max(1, min_rows))
     return (
         counts.crossJoin(F.broadcast(limit))  # one row
         .where(F.col("_n") > F.col("_limit"))
-        .withColumn("_slices", F.ceil(F.col("_n") / F.col("_limit")).cast("int"))
+        .withColumn("_slices", F.ceil(F.col("_n") / slice_rows).cast("int"))
         .drop("_n", "_limit")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import histogram, lookups, ordering
+from ..operators import filters, histogram, lookups, ordering
 from ..session import materialize, scratch_dir
 from ..sources import dictionary, fastq, intervals, lines, sam, vcf
 from ..streaming import chunks
@@ -185,7 +185,7 @@ def scan_vcf(inp: Inputs) -> DataFrame:
 def sink_vcf_single(inp: Inputs) -> DataFrame:
     folder = scratch_dir(inp.spark, "merged")
     sinks.sink_vcf_single(materialize(ordering.vcf_key(inp["vcf_lines"], inp["contigs"]), "vcf"), folder)
-    return lines.read_numbered_lines(inp.spark, folder).select("line_no", "line")
+    return lines.read_numbered_lines(inp.spark, folder, continued=True).select("line_no", "line")
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -208,6 +208,19 @@ def stream_chunks(inp: Inputs) -> DataFrame:
     return histogram.chunk_histogram(inp.spark.read.parquet(out))
 
 
+@query(f"WITH keyed AS ({MAPPED_KEYED}) SELECT chunk, key, count(*) AS n FROM keyed GROUP BY chunk, key")
+def stream_text_chunks(inp: Inputs) -> DataFrame:
+    """Alignment lines that arrive as compressed text: parsed, validated, keyed and counted."""
+    folder = scratch_dir(inp.spark, "arriving-text")
+    ranged = inp["sam_lines"].select(F.col("chunk").alias("file_chunk"), F.col("line").alias("value")).repartitionByRange("file_chunk", "value")
+    ranged.write.partitionBy("file_chunk").option("compression", "gzip").text(folder)
+    stream = chunks.stream_lines(inp.spark, folder, r"file_chunk=(\d+)", chunks_per_batch=4)
+    keyed = lookups.with_bucket_key(filters.good_reads(stream, inp["contigs"])).select("chunk", "qname", "key")
+    out = scratch_dir(inp.spark, "streamed-text")
+    chunks.write_chunks(keyed, out, scratch_dir(inp.spark, "state")).awaitTermination()
+    return histogram.chunk_histogram(inp.spark.read.parquet(out))
+
+
 @query(
     """SELECT e.chunk, count(m.qname) AS n FROM (SELECT unnest(range(20)) AS chunk) e
     LEFT JOIN {mapped} m ON m.chunk = e.chunk GROUP BY e.chunk"""

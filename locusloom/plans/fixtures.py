@@ -110,12 +110,11 @@ SELECT c_custkey AS sample_id, concat('@RG', chr(92), 'tID:G', c_custkey, chr(92
 FROM {customer}
 """
 
-BASE_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-)
-
-# Tables that become reads, sites and sequences, with a column to spread them by.
+# Tables that become reads, sites and sequences, with a column to spread them by where SPREAD asks for it.
 LARGE_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id"}
+# A session setting: the number of partitions into which these tables are dealt. The test tables have one row group
+# each, which one task reads; by default they are taken as they lie.
+SPREAD = "spark.locusloom.spread"
 
 
 def needs(sql: str) -> list[str]:
@@ -180,13 +179,9 @@ class Inputs:
         return self._known[name]
 
     def _table(self, name: str) -> DataFrame:
-        """A driver table. One that comes in fewer splits than there are cores (a single small file, as
-        in the tests) is spread over them; a large table is read as it lies."""
         table = self.spark.read.parquet(os.path.join(self.folder, f"{name}.parquet"))
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in LARGE_TABLES and table.rdd.getNumPartitions() < cores:
-            return table.repartition(cores, LARGE_TABLES[name])
-        return table
+        spread = int(self.spark.conf.get(SPREAD, "0"))
+        return table.repartition(spread, LARGE_TABLES[name]) if spread and name in LARGE_TABLES else table
 
 
 def with_views(sql: str) -> str:

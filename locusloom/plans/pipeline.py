@@ -25,9 +25,14 @@ class RegionPlan:
     region_map: DataFrame
 
 
-def plan_regions(lines: DataFrame, contigs: DataFrame, n_regions: int) -> RegionPlan:
-    """Parse lines, keep usable reads, count buckets and number them with balanced regions."""
+def plan_regions(lines: DataFrame, contigs: DataFrame, n_regions: int, dedup: bool = False) -> RegionPlan:
+    """Parse lines, keep usable reads, count buckets and number them with balanced regions.
+
+    With ``dedup`` equal alignments in crowded buckets are dropped before anything is counted.
+    """
     keyed = lookups.with_bucket_key(filters.good_reads(lines, contigs))
+    if dedup:
+        keyed = duplicates.dedup_bucket(keyed)
     counts = materialize(histogram.bucket_histogram(keyed), "histogram")
     region_map = materialize(regions.balanced_regions(counts, n_regions), "regions")
     return RegionPlan(regions.join_region_map(keyed, region_map), counts, region_map)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback_root: str | None = None
+_local_root = os.path.join(tempfile.gettempdir(), f"locusloom-{uuid.uuid4().hex}")
 
 
 def build_session(app_name: str = "locusloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,17 +32,22 @@ def build_session(app_name: str = "locusloom", master: str | None = None, **conf
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A path that does not exist yet, under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) a local temporary folder is used.
+    Where that setting is absent, a cluster uses the home folder on its default file system, which must not be
+    that of single machines; a session in one process (tests, a laptop) uses its temporary folder.
     """
-    global _fallback_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if _fallback_root is None:
-            _fallback_root = tempfile.mkdtemp(prefix="locusloom-")
-        root = _fallback_root
+        root = _local_root if re.match(r"local(\[|$)", spark.sparkContext.master) else _cluster_home(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+def _cluster_home(spark: SparkSession) -> str:
+    hadoop = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration())
+    if hadoop.getScheme() == "file":
+        raise ValueError("executors don't share the default file system: set spark.checkpoint.dir to a folder that they share")
+    return f"{hadoop.getHomeDirectory().toString()}/.locusloom"
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared scratch folder and return a reader over it.
 

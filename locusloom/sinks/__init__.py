@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ordering import distinct_variants, merge_vcf, regroup_reads
-
-# A variant file with no more lines than this is written by one task, as one file.
-SINGLE_FILE_ROWS = 1_000_000
+from ..operators.ordering import merge_vcf, regroup_reads
 
 
 def sink_histogram(histogram: DataFrame, path: str) -> None:
@@ -46,19 +43,13 @@ def sink_bed(intervals: DataFrame, path: str) -> None:
     intervals.select("contig", "bed_start", "bed_end").write.csv(path, sep="\t")
 
 
-def sink_vcf_single(keyed_lines: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
+def sink_vcf_single(keyed_lines: DataFrame, path: str) -> None:
     """The merged variant lines in order, header first.
 
-    Up to ``max_rows`` distinct lines make one file. Beyond that the lines are range-sorted in
-    parallel and the part files, taken by name, are the one file.
+    They are range-sorted in parallel; the part files, taken by number, are the one file
+    (``read_numbered_lines`` with ``continued`` numbers on over them).
     """
-    small = distinct_variants(keyed_lines).limit(max_rows + 1).count() <= max_rows
-    if small:
-        order = ["contig_index", "pos", "line"]
-        ordered = distinct_variants(keyed_lines).repartition(1).sortWithinPartitions(*order)
-    else:
-        ordered = merge_vcf(keyed_lines)
-    ordered.select("line").write.text(path)
+    merge_vcf(keyed_lines).select("line").write.text(path)
 
 
 def sink_fastq(reads: DataFrame, path: str, compression: str = "gzip") -> None:

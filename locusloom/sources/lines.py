@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def read_numbered_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
+# Offsets of so many splits (about 200 bytes each) are broadcast; those of more are joined by a shuffle.
+MAX_BROADCAST_SPLITS = 100_000
+
+
+def read_numbered_lines(spark: SparkSession, path: str, continued: bool = False, **options: str) -> DataFrame:
     """Lines of text files: (file, line_no, line), numbered from 0 in each file.
 
+    With ``continued`` the files are parts of one, and numbers go on from part to part.
+
     Files may be split over tasks. Spark keeps the order of lines inside a split, so the number is the
     count of lines in the file's earlier splits (a table of one row per split) plus the place in the
     split; no task has to see a whole file.
@@ -24,10 +30,17 @@ def read_numbered_lines(spark: SparkSession, path: str, **options: str) -> DataF
         )
     )
     splits = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    if continued:  # one row per split meets in a task here
+        part = F.regexp_extract("file", r"part-(\d+)", 1)
+        by_file = Window.orderBy(F.length(part), part, "file", "_block")
+    else:
+        by_file = Window.partitionBy("file").orderBy("_block")
+    earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "file", "_block", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
+    if lines.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     return lines.join(offsets, ["file", "_block"]).select(
         "file", (F.col("_id") + F.col("_shift")).alias("line_no"), "line"
     )

@@ -28,6 +28,17 @@ def stream_chunks(spark: SparkSession, folder: str, schema: StructType, chunks_p
     )
 
 
+def stream_lines(spark: SparkSession, folder: str, chunk_pattern: str, chunks_per_batch: int = 1) -> DataFrame:
+    """Streaming (chunk, line) over text chunks, also compressed ones; ``chunk_pattern`` finds the number in a file's path."""
+    lines = (
+        spark.readStream.option("maxFilesPerTrigger", chunks_per_batch)
+        .option("recursiveFileLookup", "true")
+        .text(folder)
+    )
+    chunk = F.regexp_extract(F.col("_metadata.file_path"), chunk_pattern, 1).cast("bigint")
+    return lines.select(chunk.alias("chunk"), F.col("value").alias("line"))
+
+
 def _start(stream: DataFrame, checkpoint: str, available_now: bool, poll: str) -> object:
     trigger = {"availableNow": True} if available_now else {"processingTime": poll}
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)
@@ -56,11 +67,14 @@ def stream_histogram(
 
     The state has one row per bucket, however many reads come. A batch is written to a folder of its
     own (a repeated batch overwrites itself) and becomes current when it is complete; read it with
-    ``latest_histogram``.
+    ``latest_histogram``. The batch before stays for those who are reading it, older ones go.
     """
 
     def publish(histogram: DataFrame, batch: int) -> None:
         histogram.write.mode("overwrite").parquet(f"{path}/batch={batch:012d}")
+        files, batches = _complete_batches(histogram.sparkSession, path)
+        for folder in batches[:-2]:
+            files.delete(folder, True)
 
     return (
         _start(bucket_histogram(keyed_reads), checkpoint, available_now, poll)
@@ -71,7 +85,18 @@ def stream_histogram(
 
 
 def latest_histogram(spark: SparkSession, path: str) -> DataFrame:
-    """The histogram of the last finished batch."""
-    history = spark.read.parquet(path)
-    last = history.agg(F.max("batch").alias("batch"))
-    return history.join(F.broadcast(last), "batch").select("key", "n")  # one-row table
+    """The histogram of the last finished batch: one whose folder has the writer's success marker."""
+    _, batches = _complete_batches(spark, path)
+    if not batches:
+        raise FileNotFoundError(f"no finished batch in {path}")
+    return spark.read.parquet(batches[-1].toString()).select("key", "n")
+
+
+def _complete_batches(spark: SparkSession, path: str) -> tuple:
+    """The file system of ``path`` and the folders of its finished batches, oldest first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [s.getPath() for s in files.listStatus(root)] if files.exists(root) else []
+    done = [f for f in folders if f.getName().startswith("batch=") and files.exists(hadoop.Path(f, "_SUCCESS"))]
+    return files, sorted(done, key=lambda f: f.getName())

@@ -129,3 +129,17 @@ def test_variant_calls(spark, contigs):
     rr = 10 * math.log10(0.99) + 10 * math.log10(0.01)
     assert math.isclose(calls.where("pos = 2").first().confidence, 10 * (best - rr))
     assert calls.where("confidence >= 150").count() == pileup.variant_calls(frame, contigs, always_a, 150.0).count()
+
+
+def test_missing_qualities_pass_through_recalibration(spark):
+    df = reads(spark, [read("a"), read("b", qual="I" * 10)]).withColumn("read_group", F.lit("g")).withColumn("contig_index", F.lit(0))
+    table = recal.recal_counts(df, spark.createDataFrame([], "contig string, pos bigint"), lambda i, p: F.lit("A"))
+    gone = df.withColumn("qual", F.when(F.col("qname") == "b", F.col("qual")))
+    got = dict(rows(recal.apply_recal(gone, table), "qname", "new_qual"))
+    assert got["a"] is None and len(got["b"]) == 10
+
+
+def test_a_read_without_qualities_is_not_the_best_copy(spark):
+    df = reads(spark, [read("a"), read("b")]).withColumn("library", F.lit("l"))
+    marked = duplicates.mark_duplicates(df.withColumn("qual", F.when(F.col("qname") == "b", F.col("qual"))))
+    assert dict(rows(marked, "qname", "flag")) == {"a": 1024, "b": 0}

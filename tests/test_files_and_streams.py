@@ -119,18 +119,54 @@ def test_sorted_regions(spark, tmp_path):
         assert len(positions) == df.where(F.col("region") == region).count()
 
 
-@pytest.mark.parametrize("max_rows", [1_000, 3])
-def test_single_vcf(spark, tmp_path, contigs, max_rows):
+def test_single_vcf(spark, tmp_path, contigs):
     for n, extra in ((0, "chr2\t4\tA\n"), (1, "chr1\t99\tB\n")):
         write(tmp_path / "v" / f"{n}.vcf", "##v\n#CHROM\n" + extra + "chr3\t1\tC\n")
     keyed = vcf.scan_vcf(spark, str(tmp_path / "v"), contigs)
-    sinks.sink_vcf_single(keyed, str(tmp_path / "out"), max_rows)
+    sinks.sink_vcf_single(keyed, str(tmp_path / "out"))
     names = sorted(f for f in os.listdir(tmp_path / "out") if f.startswith("part-"))
     text = "".join((tmp_path / "out" / f).read_text() for f in names)
     assert text.splitlines() == ["##v", "#CHROM", "chr1\t99\tB", "chr2\t4\tA", "chr3\t1\tC"]
     assert rows(ordering.merge_vcf(keyed)) == rows(ordering.distinct_variants(keyed))
 
 
+def test_single_vcf_numbers_on_over_many_parts(spark, tmp_path, contigs):
+    lines = [("f", i, f"chr1\t{1 + i * 7 % 5_000}\tx{i}") for i in range(3_000)] + [("f", -1, "##v")]
+    keyed = ordering.vcf_key(spark.createDataFrame(lines, "file_no string, line_no long, line string"), contigs)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.sink_vcf_single(keyed, str(tmp_path / "out"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len([f for f in os.listdir(tmp_path / "out") if f.startswith("part-")]) > 5
+    back = [r.line for r in read_numbered_lines(spark, str(tmp_path / "out"), continued=True).orderBy("line_no").collect()]
+    assert back == [r.line for r in ordering.merge_vcf(keyed).collect()]
+    numbers = [r.line_no for r in read_numbered_lines(spark, str(tmp_path / "out"), continued=True).collect()]
+    assert sorted(numbers) == list(range(3_001))
+
+
+def test_variants_without_a_place_are_set_aside(spark, contigs):
+    lines = [("a", 0, "##h"), ("a", 1, "chr1\t5\tA"), ("a", 2, "chrUn\t5\tA"), ("a", 3, "chr1\t5.x\tA"), ("a", 4, "chr1")]
+    df = spark.createDataFrame(lines, "file_no string, line_no long, line string")
+    assert [r.line for r in ordering.merge_vcf(ordering.vcf_key(df, contigs)).collect()] == ["##h", "chr1\t5\tA"]
+    assert rows(ordering.bad_variants(df, contigs), "line_no") == [(2,), (3,), (4,)]
+
+
+def test_only_finished_batches_are_seen_and_old_ones_go(spark, tmp_path):
+    df = some_reads(spark).drop("key")
+    arrivals, live = str(tmp_path / "in"), str(tmp_path / "live")
+    df.withColumn("file_chunk", F.col("chunk")).write.partitionBy("file_chunk").parquet(arrivals)
+    stream = lookups.with_bucket_key(chunks.stream_chunks(spark, arrivals, df.schema))
+    chunks.stream_histogram(stream, live, str(tmp_path / "state")).awaitTermination()
+    assert len([f for f in os.listdir(live) if f.startswith("batch=")]) == 2
+    want = rows(chunks.latest_histogram(spark, live))
+    write(tmp_path / "live" / "batch=000000009999" / "part-0.parquet", "half")
+    assert rows(chunks.latest_histogram(spark, live)) == want
+
+
 def test_stream_follows_arriving_chunks(spark, tmp_path):
     df = some_reads(spark).drop("key")
     arrivals, state, live = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "live")

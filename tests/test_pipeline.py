@@ -19,6 +19,7 @@ def base(position):
 
 def test_from_lines_to_variant_lines(spark, contigs):
     rng = random.Random(4)
+    cut = "\t".join(["cut", "0", "chr1", "1000", "60", "20M", "*", "0", "0"])
     lines = ["@HD\tVN:1", "garbage"]
     variant = 1_050
     for i in range(400):
@@ -28,6 +29,7 @@ def test_from_lines_to_variant_lines(spark, contigs):
             seq[variant - pos] = "G" if base(variant) != "G" else "T"
         lines.append("\t".join(["r%d" % i, "0", "chr1", str(pos), "60", "20M", "*", "0", "0", "".join(seq), "I" * 20]))
     lines.append(lines[2].replace("r0\t", "r0copy\t"))
+    lines.append(cut)
     frame = spark.createDataFrame([(i % 3, t) for i, t in enumerate(lines)], "chunk int, line string")
 
     plan = pipeline.plan_regions(frame, contigs, 4)

@@ -23,6 +23,9 @@ LINES = {
     "flag": line("r6", "x", "chr1", 5),
     "pos": line("r7", 0, "chr1", "5.0"),
     "short": "r8\t16",
+    "truncated": line("r9", 0, "chr1", 5, 60, "10M", "=", 1, 0),
+    "lengths": line("r10", 0, "chr1", 5, 60, "4M", "=", 1, 0, "ACGT", "III"),
+    "cigar": line("r11", 0, "chr1", 5, 60, "4Q", "=", 1, 0, "ACGT", "IIII"),
     "empty": "",
     "header": line("@SQ", "SN:chr1", "LN:5"),
 }
@@ -38,6 +41,7 @@ def test_statuses(lines, contigs):
     expected = {
         "good": "mapped", "unmapped": "unmapped", "star": "unmapped", "ignored": "ignored",
         "unknown": "bad", "flag": "bad", "pos": "bad", "short": "bad", "empty": "bad",
+        "truncated": "bad", "lengths": "bad", "cigar": "bad",
     }
     assert got == {LINES[k]: v for k, v in expected.items()}
 
@@ -49,7 +53,7 @@ def test_good_reads_keep_fields_and_tags(lines, contigs):
 
 def test_chunk_qc(lines, contigs):
     classified = lookups.with_bucket_key(filters.classify_records(filters.sam_fields(lines), contigs))
-    assert rows(H.chunk_qc(classified)) == [(0, 1, 1, 5)]
+    assert rows(H.chunk_qc(classified)) == [(0, 1, 1, 8)]
 
 
 def test_bucket_key_round_trip(spark):
