@@ -15,7 +15,9 @@ are ignored.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -31,9 +33,9 @@ CAPACITY = 2048
 END = 0
 GROUP = 40_000
 # Ids of words and of their pieces are kept per worker, for at most twice so many of each.
-KEPT_WORDS, KEPT_PIECES = 250_000, 450_000
+KEPT_WORDS, KEPT_PIECES = 300_000, 600_000
 # Texts are encoded together up to about so many code points.
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 4_000_000
 
 # Pieces of lower-cased text within U+0000..U+00FF as the tokenizer splits it (its rule is a fixed value).
 _LETTER = "a-zªµºß-öø-ÿ"
@@ -41,6 +43,13 @@ _NUMBER = "0-9²³¹¼-¾"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\t-\\r \\x85\\xa0{_LETTER}{_NUMBER}]+")
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Memo:
     """Ids by word; past ``limit`` words, those not asked for since the last such time are forgotten."""
 
@@ -82,7 +91,7 @@ class WordIds:
         pieces = self.pieces.missing(set().union(*split))
         known = self.pieces.now
         for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, "<u4").tobytes()
+            known[p] = pack_ids(e.ids)
         known = self.words.now
         for w, parts in zip(new, split, strict=True):
             known[w] = b"".join([self.pieces.now[p] for p in parts])
@@ -96,7 +105,7 @@ class WordIds:
         return not any(s in text for s in self.odd)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 @cache
@@ -127,7 +136,7 @@ PIECE_COLUMNS = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 def cut(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Pieces of all documents: ``doc_id``, piece, start, length, ids_crc32. ``path``: the tokenizer's, on executors."""
-    end = np.array([END], "<u4").tobytes()
+    end = pack_ids([END])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(path or tokenizer_path())
