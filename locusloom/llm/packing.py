@@ -4,8 +4,8 @@ Documents become token ids with an end id; longer ones are cut into full pieces
 lengths matter from there on. Full pieces are sequences already. The others are dealt at random to groups of about
 ``GROUP`` pieces, each packed in a task of its own: with so many pieces a group wastes less than one
 sequence more than the whole would. In a group every piece goes to the fullest bin that takes it (largest first);
-then the emptiest bins are dissolved by exchanges, one piece for one, one for two, or a plain move,
-each of which raises the sum of squared fills, until a bin is empty or nothing helps.
+then the emptiest bins give to fuller ones by exchanges, one piece for one, one for two, or a plain move,
+each of which raises the sum of squared fills, until there are no more bins than the tokens need or nothing helps.
 
 Defined cases: null or empty text is the end id alone; a null ``doc_id`` is kept as it is; repeated rows are packed
 as documents of their own; an empty table gives an empty result; columns other than ``doc_id`` and ``text``
@@ -32,6 +32,8 @@ from ..session import materialize
 CAPACITY = 2048
 END = 0
 GROUP = 40_000
+# The emptiest bins, so many of them, give pieces to fuller ones; any bin may take them.
+SOURCES = 64
 # Ids of words and of their pieces are kept per worker, for at most twice so many of each.
 KEPT_WORDS, KEPT_PIECES = 300_000, 600_000
 # Texts are encoded together up to about so many code points.
@@ -246,11 +248,12 @@ def improve(lengths: list[int], bins: list[list[int]]) -> list[list[int]]:
                     return True
         return False
 
-    # Each source can give only what it has, so this ends; bins beyond the excess are never sources.
-    excess = len(bins) - least
-    for source in np.argsort(fill, kind="stable")[: max(0, excess)].tolist():
-        while fill[source] and better(source):
-            pass
+    # Every exchange raises the sum of squared fills, so this ends.
+    while int((fill > 0).sum()) > least:
+        sources = np.flatnonzero((fill > 0) & (fill < CAPACITY))
+        sources = sources[np.argsort(fill[sources], kind="stable")][:SOURCES]
+        if not any(better(int(b)) for b in sources):
+            break
     return [sorted(m) for m in members if m]
 
 
