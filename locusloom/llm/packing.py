@@ -34,10 +34,10 @@ END = 0
 GROUP = 40_000
 # The emptiest bins, so many of them, give pieces to fuller ones; any bin may take them.
 SOURCES = 64
-# Ids of words and of their pieces are kept per worker, for at most twice so many of each.
-KEPT_WORDS, KEPT_PIECES = 300_000, 600_000
+# Ids of pieces are kept per worker, for at most twice so many (about 170 bytes each).
+KEPT = 200_000
 # Texts are encoded together up to about so many code points.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_500_000
 
 # Pieces of lower-cased text within U+0000..U+00FF as the tokenizer splits it (its rule is a fixed value).
 _LETTER = "a-zªµºß-öø-ÿ"
@@ -70,10 +70,10 @@ class Memo:
         return new
 
 
-class WordIds:
+class PieceIds:
     """Token ids of texts as bytes of little-endian 32-bit numbers.
 
-    The tokenizer treats words, and in them letters, digits and signs, one by one, so equal ones have equal ids and are
+    The tokenizer treats runs of letters or of signs, and single digits, one by one, so equal ones have equal ids and are
     encoded once. Texts with characters beyond U+00FF, where its normalizer could join characters, with
     separators that Python takes for white space and it does not, or with special tokens go through it whole.
     """
@@ -83,21 +83,16 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
-        self.words, self.pieces = Memo(KEPT_WORDS), Memo(KEPT_PIECES)
+        self.memo = Memo(KEPT)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [self._plain(t) for t in texts]
-        words = [t.lower().split() if p else () for t, p in zip(texts, plain, strict=True)]
-        new = self.words.missing(set().union(*words))
-        split = [_PIECE.findall(w) for w in new]
-        pieces = self.pieces.missing(set().union(*split))
-        known = self.pieces.now
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
+        pieces = [_PIECE.findall(t.lower()) if p else () for t, p in zip(texts, plain, strict=True)]
+        new = self.memo.missing(set().union(*pieces))
+        known = self.memo.now
+        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             known[p] = pack_ids(e.ids)
-        known = self.words.now
-        for w, parts in zip(new, split, strict=True):
-            known[w] = b"".join([self.pieces.now[p] for p in parts])
-        return [b"".join(map(known.__getitem__, w)) if p else self._whole(t) for t, w, p in zip(texts, words, plain, strict=True)]
+        return [b"".join(map(known.__getitem__, w)) if p else self._whole(t) for t, w, p in zip(texts, pieces, plain, strict=True)]
 
     def _plain(self, text: str) -> bool:
         try:
@@ -111,9 +106,9 @@ class WordIds:
 
 
 @cache
-def word_ids(path: str) -> WordIds:
+def piece_ids(path: str) -> PieceIds:
     """One per worker process."""
-    return WordIds(path)
+    return PieceIds(path)
 
 
 def tokenizer_path() -> str:
@@ -122,7 +117,7 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _encoded(encoder: WordIds, texts: list[str | None]) -> Iterator[bytes]:
+def _encoded(encoder: PieceIds, texts: list[str | None]) -> Iterator[bytes]:
     part, size = [], 0
     for text in texts:
         part.append(text or "")
@@ -141,7 +136,7 @@ def cut(docs: DataFrame, path: str | None = None) -> DataFrame:
     end = pack_ids([END])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(path or tokenizer_path())
+        encoder = piece_ids(path or tokenizer_path())
         for batch in batches:
             place, rows = [], []
             for i, ids in enumerate(_encoded(encoder, batch.column("text").to_pylist())):
