@@ -94,6 +94,21 @@ def merge_intervals(reads: DataFrame, gap: int = MERGE_GAP, tile_width: int = TI
     return merge_spans(read_spans(reads), gap, tile_width).withColumnRenamed("n_merged", "n_reads")
 
 
+def merge_intervals_by_region(region_reads: DataFrame, gap: int = MERGE_GAP, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """``merge_intervals`` of each region's reads alone: (region, contig, start, end, n_reads).
+
+    Stretches of neighbouring regions are not joined, so lists of regions can be worked on apart.
+    """
+    spans = aligned_reads(region_reads).select(
+        F.concat_ws("\u0001", F.col("region").cast("string"), "rname").alias("contig"), F.col("pos").alias("start"), F.col("aend").alias("end")
+    )
+    parts = F.split(F.col("contig"), "\u0001", 2)
+    kind = region_reads.schema["region"].dataType
+    return merge_spans(spans, gap, tile_width).select(
+        F.get(parts, F.lit(0)).cast(kind).alias("region"), F.get(parts, F.lit(1)).alias("contig"), "start", "end", F.col("n_merged").alias("n_reads")
+    )
+
+
 def merge_intervals_padded(intervals: DataFrame, overlap: int, tile_width: int = TILE_WIDTH) -> DataFrame:
     """Widen intervals to the left by ``overlap`` (not below 1) and merge those that then overlap.
 

@@ -28,9 +28,9 @@ def read_intervals(reads: DataFrame) -> DataFrame:
     )
 
 
-def _hot_bins(df: DataFrame, start: str, width: int, min_rows: int, max_keys: int) -> DataFrame:
-    """Crowded bins, by the starts alone: needs no interval ends and no copies."""
-    return hot_keys(df.select("contig", div(F.col(start), width).alias("_bin")), ["contig", "_bin"], min_rows, max_keys)
+def _hot_bins(df: DataFrame, start: str, end: str, width: int, min_rows: int, max_keys: int) -> DataFrame:
+    """Crowded bins, by all intervals that reach into them."""
+    return hot_keys(_to_bins(df.select("contig", start, end), start, end, width), ["contig", "_bin"], min_rows, max_keys)
 
 
 def _to_bins(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
@@ -57,7 +57,7 @@ def interval_intersect(
         _to_bins(left, "_ls", "_le", bin_width),
         _to_bins(right, "_rs", "_re", bin_width),
         ["contig", "_bin"],
-        hot=_hot_bins(left, "_ls", bin_width, min_hot_rows, max_hot_keys),
+        hot=_hot_bins(left, "_ls", "_le", bin_width, min_hot_rows, max_hot_keys),
     )
     start = F.greatest("_ls", "_rs")
     return (
@@ -90,7 +90,7 @@ def interval_semi(
         _to_bins(spans, "_ls", "_le", bin_width),
         _to_bins(disjoint.withColumnRenamed("start", "_rs").withColumnRenamed("end", "_re"), "_rs", "_re", bin_width),
         ["contig", "_bin"],
-        hot=_hot_bins(spans, "_ls", bin_width, min_hot_rows, max_hot_keys),
+        hot=_hot_bins(spans, "_ls", "_le", bin_width, min_hot_rows, max_hot_keys),
     )
     return (
         hits.where((F.col("_ls") < F.col("_re")) & (F.col("_rs") < F.col("_le")))

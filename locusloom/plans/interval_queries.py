@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators import bases, duplicates, filters, intervals, lookups, ordering, overlaps, pairs, pileup, recal
 from ..session import materialize
+from . import pipeline
 from .fixtures import FORMULA_BASE_SQL, Inputs, formula_base
-from .read_queries import mapped_reads
+from .read_queries import REGION_MAP, mapped_reads, region_reads
 from .registry import query
 
 PADDING = 600
@@ -91,6 +92,22 @@ def indel_targets(inp: Inputs) -> DataFrame:
     return intervals.indel_targets(inp["reads"])
 
 
+REGION_SPANS = f"""spans AS (SELECT concat(m.region, '/', k.rname) AS contig, pos AS s, pos - 1 + {SPAN} AS e
+  FROM keyed k JOIN map m ON m.key = k.key)"""
+
+
+@query(
+    f"""WITH RECURSIVE {REGION_MAP}, {REGION_SPANS}, {islands("spans", 51)},
+    cut AS (SELECT m.contig, greatest(t.bed_start, m.s - 1) AS s, least(t.bed_end, m.e) AS e FROM merged m
+            JOIN {{targets}} t ON t.contig = split_part(m.contig, '/', 2) AND t.bed_start < m.e AND m.s - 1 < t.bed_end)
+    SELECT CAST(split_part(contig, '/', 1) AS BIGINT) AS region, split_part(contig, '/', 2) AS contig, s AS bed_start,
+           CASE WHEN s = e THEN e + 1 ELSE e END AS bed_end FROM cut"""
+)
+def region_intervals(inp: Inputs) -> DataFrame:
+    made = pipeline.region_intervals(region_reads(inp), target_list(inp))
+    return made.withColumn("region", F.col("region").cast("bigint"))
+
+
 # --- overlaps ----------------------------------------------------------------------------------
 
 

@@ -38,13 +38,14 @@ def plan_regions(lines: DataFrame, contigs: DataFrame, n_regions: int, dedup: bo
     return RegionPlan(regions.join_region_map(keyed, region_map), counts, region_map)
 
 
-def region_intervals(reads: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """Half-open intervals to work on: the covered stretches, cut to the targets when there are any."""
-    covered = intervals.bed_convert(intervals.merge_intervals(reads))
+def region_intervals(region_reads: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """Half-open intervals to work on in each region: what its reads cover, cut to the targets when there are any."""
+    merged = intervals.merge_intervals_by_region(region_reads)
+    spans = merged.select("region", "contig", (F.col("start") - 1).alias("start"), "end")
     if targets is None:
-        return covered
-    spans = covered.select("contig", F.col("bed_start").alias("start"), F.col("bed_end").alias("end"))
+        return spans.withColumnsRenamed({"start": "bed_start", "end": "bed_end"})
     return overlaps.interval_intersect(spans, targets.select("contig", "start", "end")).select(
+        "region",
         "contig",
         F.col("start").alias("bed_start"),
         F.when(F.col("start") == F.col("end"), F.col("end") + 1).otherwise(F.col("end")).alias("bed_end"),

@@ -44,7 +44,7 @@ def test_from_lines_to_variant_lines(spark, contigs):
     assert renewed.where(F.length("qual") != 20).count() == 0
 
     targets = spark.createDataFrame([("chr1", 1_000, 1_060)], "contig string, start bigint, end bigint")
-    assert rows(pipeline.region_intervals(plan.reads, targets))[0][0] == "chr1"
+    assert {r[1] for r in rows(pipeline.region_intervals(plan.reads, targets))} == {"chr1"}
     called = pipeline.call_lines(renewed, contigs, targets, reference)
     merged = [r.line.split("\t")[:5] for r in ordering.merge_vcf(called).collect()]
     assert merged == [["chr1", str(variant), ".", base(variant), "G" if base(variant) != "G" else "T"]]
