@@ -2,16 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BED_SCHEMA = "contig string, bed_start bigint, bed_end bigint"
+from ..functions.text import strict_int
+
 REGION_MAP_SCHEMA = "key bigint, region int"
 
 
+# What lines that are no intervals begin with.
+BED_COMMENT = r"^(@|#|track([ \t]|$)|browser([ \t]|$))"
+
+
+def _bed_lines(spark: SparkSession, path: str) -> DataFrame:
+    parts = F.split("value", "\t")
+    return (
+        spark.read.text(path)
+        .where(~F.col("value").rlike(BED_COMMENT) & (F.trim("value") != ""))
+        .select(
+            F.col("value").alias("line"),
+            F.get(parts, F.lit(0)).alias("contig"),
+            strict_int(F.get(parts, F.lit(1))).alias("bed_start"),
+            strict_int(F.get(parts, F.lit(2))).alias("bed_end"),
+        )
+    )
+
+
+def _is_interval() -> Column:
+    return F.coalesce((F.col("contig") != "") & (F.col("bed_start") >= 0) & (F.col("bed_end") >= F.col("bed_start")), F.lit(False))
+
+
 def scan_bed(spark: SparkSession, path: str) -> DataFrame:
-    """Half-open intervals of a BED file or a target list; leading ``@`` lines are skipped."""
-    return spark.read.csv(path, sep="\t", comment="@", schema=BED_SCHEMA)
+    """Half-open intervals of a BED file or a target list.
+
+    Comment, ``track``, ``browser`` and empty lines are skipped; malformed ones are in ``bad_bed_lines``.
+    """
+    return _bed_lines(spark, path).where(_is_interval()).drop("line")
+
+
+def bad_bed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are meant as intervals but can't be read as such."""
+    return _bed_lines(spark, path).where(~_is_interval()).select("line")
 
 
 def scan_histogram(spark: SparkSession, path: str) -> DataFrame:

@@ -94,6 +94,13 @@ def test_bed_histogram_and_region_map(spark, tmp_path):
     assert rows(intervals.scan_region_map(spark, str(tmp_path / "m"))) == rows(region_map)
 
 
+def test_bed_lines_that_are_no_intervals(spark, tmp_path):
+    text = '#c\n@HD\ntrack name=x\nbrowser position\n\nchr1\t5\t9\textra\ntrackless\t1\t1\nchr1\tx\t9\nchr1\t9\t5\nchr1\t5\n"chr2\t1\t2\n'
+    bed = write(tmp_path / "dirty.bed", text)
+    assert rows(intervals.scan_bed(spark, bed)) == [('"chr2', 1, 2), ("chr1", 5, 9), ("trackless", 1, 1)]
+    assert rows(intervals.bad_bed_lines(spark, bed)) == [("chr1\t5",), ("chr1\t9\t5",), ("chr1\tx\t9",)]
+
+
 def some_reads(spark):
     df = reads(spark, [read(f"r{i:03d}", pos=(i * 7_919) % 50_000 + 1, chunk=i % 5) for i in range(200)])
     return lookups.with_bucket_key(df.withColumn("contig_index", F.lit(0)))
