@@ -17,9 +17,10 @@ matrix with its transpose has the overlaps; it is computed only where a link is
    comparison with one another; a row too far from the pivot (Jaccard distance is a metric) needs none with
    them. What is left is tiled.
 
-The order of columns is a matter of speed only: any fixed one gives the same links. Documents are counted for a quarter
-of all columns, chosen by hash: the rare ones of these come first, then columns that weren't counted, then frequent
-ones. The ``FREQUENT`` most frequent are sent to all tasks (16 bytes each), others pass for rare.
+The order of columns is a matter of speed only: any fixed one gives the same links. Documents are counted exactly for a
+quarter of all columns, chosen by hash, and by cells of hashes for the others. Rare columns come first, those counted
+before those that share a cell; then frequent ones by their counts. At most ``FREQUENT`` of either sort are
+sent to the tasks (16 bytes each); more pass for rare.
 
 Defined cases: null or empty text, or one without words, has the empty set and is linked with nothing; a row with a null
 ``doc_id`` is no vertex: linked with nothing, its component is null; rows with equal ``doc_id`` are one vertex; an empty
@@ -53,6 +54,8 @@ PIVOT_FROM = 4 * TILE
 # Columns with a hash below this, a quarter of all, are counted: a prefix is about a sixth of a row.
 COUNTED = np.uint64(1 << 62)
 FREQUENT = 200_000
+# A task reports a cell with so many columns more than its mean one.
+STANDS_OUT = 6
 SLACK = 1e-9
 
 
@@ -87,22 +90,50 @@ def shingle_sets(raw: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return key[new], np.bincount(own[new], minlength=len(raw))
 
 
-def frequent_columns(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Columns of the counted share that more than ``PAIRED`` documents have, sorted, with counts: at most ``FREQUENT``."""
+def _cell(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(42)).astype(np.int64)
+
+
+def frequent_columns(docs: DataFrame, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Columns below ``COUNTED``, and cells of the others, that stand out, with counts; sorted, at most ``FREQUENT`` of each.
+
+    Cells are counted in each task, which reports those well above its mean one.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, total = np.zeros(1 << 22, np.int32), 0
         for batch in batches:
             for _, raw in slices(batch.column("text").to_pylist()):
                 hashes, _, _, _, _ = hash_words(raw, lower=True)
                 windows = hash_windows(hashes, width)
                 found, n = np.unique(windows[windows < COUNTED], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["column", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "column bigint, n bigint").groupBy("column").agg(F.sum("n").alias("n")).where(F.col("n") > PAIRED)
-    top = counted.orderBy(F.desc("n"), "column").limit(FREQUENT).toArrow()
-    keys, n = top.column("column").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
+                yield counted(0, found.view(np.int64), n)
+                found = _cell(windows[windows >= COUNTED])
+                cells += np.bincount(found, minlength=len(cells)).astype(np.int32)
+                total += len(found)
+        found = np.flatnonzero(cells >= total / len(cells) + STANDS_OUT)
+        yield counted(1, found, cells[found])
+
+    def counted(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        arrays = [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n"])
+
+    sums = materialize(docs.select("text").mapInArrow(count, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n")).where(F.col("n") > PAIRED), "frequent")
+    out = []
+    for kind, view in ((0, np.uint64), (1, np.int64)):
+        top = sums.where(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(FREQUENT).select("key", "n").toArrow()
+        keys, n = top.column("key").to_numpy().view(view), top.column("n").to_numpy()
+        order = np.argsort(keys)
+        out.append((keys[order], n[order]))
+    return out
+
+
+def _counts(keys: np.ndarray, known: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The count of each key, 0 for those not in ``known``."""
+    if len(known) == 0:
+        return np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, n[at], 0)
 
 
 def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
@@ -110,7 +141,7 @@ def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(frequent_columns(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, counts = known.value
+        by_key, by_cell = known.value
         for batch in batches:
             docs = batch.column("doc")
             for first, raw in slices(batch.column("text").to_pylist()):
@@ -122,10 +153,8 @@ def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
                 if len(keys):
                     s1[full] = np.add.reduceat(mix(keys + np.uint64(1)), begin[full])
                     s2[full] = np.add.reduceat(mix(keys ^ np.uint64(0x5851F42D4C957F2D)), begin[full])
-                rank = (keys >= COUNTED).astype(np.int64)  # 0 rare, 1 not counted, more: frequent
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-                    rank[frequent[at] == keys] = counts[at][frequent[at] == keys] + 1
+                # 0 counted and rare, 1 rare by cell, more: frequent
+                rank = np.where(keys < COUNTED, _counts(keys, *by_key), 1 + _counts(_cell(keys), *by_cell))
                 order = np.lexsort((keys, rank, own))
                 length = np.where(full, n - least_overlap(n, like) + meetings(n, like), 0)
                 place = np.arange(len(keys)) - np.repeat(begin, n)
