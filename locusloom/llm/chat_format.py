@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 # Printed forms of the reserved ids, in the order of these: begins of turns by role, and the end of a turn.
 STARTS = {"system": "<<SYS>>", "user": "[INST]", "assistant": "[/INST]"}
 OTHER, END = "<s>", "</s>"
@@ -156,6 +158,7 @@ def report(conversations: DataFrame, path: str | None = None) -> DataFrame:
         if state:
             yield _rows([*done, state], kind)
 
+    small_batches(conversations.sparkSession)
     kind = conversations.schema["conv_id"].dataType.simpleString()
     turns = assemble(conversations, path).repartition("conv_id").sortWithinPartitions(F.col("conv_id"), F.col("turn").asc_nulls_last(), "_order")
     return turns.mapInArrow(run, f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")

@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of texts that a Python worker gets at once; the session's default of 10,000 would be some 50 MB a time.
+TEXT_ROWS = 2_500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends texts to Python workers in batches of at most ``TEXT_ROWS`` rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` only (other columns may be called anything), null texts as empty ones."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

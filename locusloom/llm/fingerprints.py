@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 LEAST, NORMAL, MOST = 6, 16, 64
 WINDOW = 32
 # Zero bits asked of the hash before and after the normal length.
@@ -188,6 +190,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     columns = f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return ranges(docs).mapInArrow(run, columns)

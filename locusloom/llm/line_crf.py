@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .wordhash import hash_words, slices
 
 MAX_FIT = 4_000
@@ -207,6 +208,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Field:
 
     The driver gets at most MAX_FIT * FIT_LINES rows of features, about 30 MB.
     """
+    small_batches(docs.sparkSession)
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT)
     # Bounded by MAX_FIT rows of two numbers.
@@ -236,6 +238,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Field:
 def score(docs: DataFrame, labels: DataFrame, field: Field | None = None) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` per document."""
     field = train(docs, labels) if field is None else field
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

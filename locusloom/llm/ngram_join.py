@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import small_batches
 from .components import components
 from .sorted_groups import list_offsets, long_lists
 from .wordhash import hash_windows, hash_words, mix, slices
@@ -433,6 +434,7 @@ def block_links(texts: DataFrame, rows: DataFrame, width: int, like: int) -> Dat
 
 def join(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` per document."""
+    small_batches(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     rows = materialize(prefixes(own, width, like), "prefixes")
     vertices = rows.where("n > 0 and doc is not null")

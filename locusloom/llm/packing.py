@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import small_batches
 
 CAPACITY = 2048
 END = 0
@@ -150,6 +151,7 @@ def cut(docs: DataFrame, path: str | None = None) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(place, pa.int64())), *arrays], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {PIECE_COLUMNS}")
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import small_batches
 from .sorted_groups import gather, list_offsets, shared
 from .wordhash import hash_windows, hash_words, slices
 
@@ -146,6 +147,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     The texts are shuffled once, by ``doc``; that exchange serves all three passes over them.
     """
+    small_batches(docs.sparkSession)
     firsts = materialize(first_of_text(docs), "first-texts")
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")
