@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of documents that four-word shingles link at 85 percent."""
-    return ngram_join.keep_one(docs)
+    """One document of each group of documents that five-word shingles link at 80 percent."""
+    return ngram_join.keep_one(docs, width=5, like=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
