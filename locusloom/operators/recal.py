@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import types as T
 
 from ..constants import FLAG_REVERSE, PHRED_OFFSET, RECAL_MAX_QUALITY, RECAL_MIN_QUALITY
 from .bases import mask_known_sites, with_covariates
+from .skew import NULL_KEY_SLICES, hot_keys
 
 ReferenceBase = Callable[[Column, Column], Column]
 
-# The table is bounded by read groups x qualities x cycles; beyond this many level rows something is wrong.
-MAX_LEVEL_ROWS = 5_000_000
+# A slice of a read group has about so many reads; each gets a copy of the group's levels.
+SLICE_READS = 20_000
+# Reads are recalibrated in runs of about so many bases.
+BASES_AT_ONCE = 2_000_000
 
 _CODES = np.full(256, -1, np.int64)
 _CODES[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4)
@@ -69,85 +72,125 @@ def recal_levels(table: DataFrame) -> DataFrame:
     return stacked.withColumn("empirical_quality", empirical_quality(F.col("observations"), F.col("mismatches")))
 
 
-def _level_arrays(levels: pd.DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Dense lookup arrays indexed by read group, quality and cycle or context; NaN where no cell is."""
-    levels = levels[levels["quality"] >= 0]  # such bases keep their quality
-    groups = sorted(levels["read_group"].unique())
-    number = {g: i for i, g in enumerate(groups)}
-    n_quality = int(levels["quality"].max()) + 1 if len(levels) else 1
-    n_cycle = int(levels["cycle"].max()) + 1 if len(levels) else 1
-    base = np.full((len(groups), n_quality), np.nan)
-    cycle = np.full((len(groups), n_quality, n_cycle), np.nan)
-    context = np.full((len(groups), n_quality, 16), np.nan)
-    for level, rows in levels.groupby("level"):
-        g, q = rows["read_group"].map(number).to_numpy(), rows["quality"].to_numpy(np.int64)
-        value = rows["empirical_quality"].to_numpy(float)
-        if level == "quality":
-            base[g, q] = value
-        elif level == "cycle":
-            cycle[g, q, rows["cycle"].to_numpy(np.int64)] = value
-        else:
-            pairs = np.frombuffer("".join(rows["context"]).encode(), np.uint8).reshape(-1, 2)
-            known = (_CODES[pairs] >= 0).all(axis=1)
-            context[g[known], q[known], _CODES[pairs[known, 0]] * 4 + _CODES[pairs[known, 1]]] = value[known]
-    return groups, base, cycle, context
-
-
-def apply_recal(reads: DataFrame, table: DataFrame) -> DataFrame:
+def _packed_levels(table: DataFrame) -> DataFrame:
+    """A row per (read group, quality): ``base``, the quality's level, and lists of those by cycle and by context."""
+
+    def listed(level: str) -> Column:
+        return F.collect_list(F.when(F.col("level") == level, F.struct(F.col(level).alias("at"), F.col("empirical_quality").alias("e"))))
+
+    return (
+        recal_levels(table)
+        .where("quality >= 0")  # other bases keep their quality
+        .groupBy("read_group", "quality")
+        .agg(
+            F.max(F.when(F.col("level") == "quality", F.col("empirical_quality"))).alias("base"),
+            listed("cycle").alias("cycles"),
+            listed("context").alias("contexts"),
+        )
+    )
+
+
+class _Levels:
+    """Levels of one read group: arrays by quality, the cycles of all qualities one after the other; NaN where no cell is."""
+
+    def __init__(self, rows: list[tuple[int, float, np.ndarray, np.ndarray, list[str], np.ndarray]]) -> None:
+        n = max((r[0] for r in rows), default=-1) + 1
+        self.base, self.context = np.full(n + 1, np.nan), np.full((n + 1, 16), np.nan)
+        self.n_cycle = np.zeros(n + 1, np.int64)
+        for quality, base, cycles, _, contexts, by_context in rows:
+            self.base[quality] = base
+            self.n_cycle[quality] = cycles.max() + 1 if len(cycles) else 0
+            for pair, value in zip(contexts, by_context.tolist(), strict=True):
+                first, second = (_CODES[ord(c)] if ord(c) < 256 else -1 for c in pair) if len(pair) == 2 else (-1, -1)
+                if first >= 0 and second >= 0:
+                    self.context[quality, first * 4 + second] = value
+        self.begin = np.concatenate(([0], np.cumsum(self.n_cycle)[:-1]))
+        self.cycle = np.full(int(self.n_cycle.sum()) + 1, np.nan)
+        for quality, _, cycles, by_cycle, _, _ in rows:
+            self.cycle[self.begin[quality] + cycles] = by_cycle
+
+    def renew(self, flag: list, seq: list, qual: list) -> list[str | None]:
+        """New Phred strings of reads."""
+        missing, qual = [q is None for q in qual], [q or "" for q in qual]
+        sizes = np.array([len(q) for q in qual], np.int64)
+        ends = np.cumsum(sizes)
+        place = np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes)
+        reverse = np.repeat(np.array([((f or 0) & FLAG_REVERSE) != 0 for f in flag], bool), sizes)
+        quality = np.frombuffer("".join(qual).encode("ascii"), np.uint8).astype(np.int64) - PHRED_OFFSET
+        # Sequences as long as their qualities; others ('*') get no context.
+        text = "".join(s if s is not None and len(s) == n else "N" * n for s, n in zip(seq, sizes.tolist(), strict=True))
+        code = _CODES[np.frombuffer(text.encode("ascii"), np.uint8)]
+        code = np.where(reverse & (code >= 0), 3 - code, code)
+        before = np.where(reverse, np.roll(code, -1), np.roll(code, 1))
+        cycle = np.where(reverse, np.repeat(sizes, sizes) - place, place + 1)
+        pair = np.where((cycle > 1) & (before >= 0) & (code >= 0), before * 4 + code, -1)
+
+        q = np.where((quality >= 0) & (quality < len(self.base)), quality, len(self.base) - 1)  # the last has no level
+        expected = self.base[q]
+        known = cycle < self.n_cycle[q]
+        cycle_part = np.where(known, self.cycle[np.where(known, self.begin[q] + cycle, 0)], np.nan) - expected
+        context_part = np.where(pair >= 0, self.context[q, np.maximum(pair, 0)], np.nan) - expected
+        value = expected + np.nan_to_num(cycle_part, nan=0.0) + np.nan_to_num(context_part, nan=0.0)
+        new = np.clip(np.floor(value + 0.5), RECAL_MIN_QUALITY, RECAL_MAX_QUALITY)
+        new = np.where(np.isnan(expected), quality, np.nan_to_num(new)).astype(np.uint8) + PHRED_OFFSET
+        joined = new.astype(np.uint8).tobytes().decode("ascii")
+        return [None if gone else joined[e - n : e] for e, n, gone in zip(ends.tolist(), sizes.tolist(), missing, strict=True)]
+
+
+def _parts(qual: list) -> Iterator[slice]:
+    """Runs of reads of about ``BASES_AT_ONCE`` bases, at least one read each."""
+    first = total = 0
+    for k, q in enumerate(qual):
+        total += len(q or "")
+        if total >= BASES_AT_ONCE:
+            yield slice(first, k + 1)
+            first, total = k + 1, 0
+    if first < len(qual):
+        yield slice(first, len(qual))
+
+
+def _recalibrated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads with new qualities, from rows sorted by (read group, slice), the levels of each before its reads."""
+    key, rows, levels = None, [], None
+    for batch in batches:
+        groups, numbers, is_read = (batch.column(c).to_pylist() for c in ("_group", "_slice", "_read"))
+        heads = [k for k in range(len(groups)) if k == 0 or (groups[k], numbers[k], is_read[k]) != (groups[k - 1], numbers[k - 1], is_read[k - 1])]
+        for begin, end in zip(heads, [*heads[1:], len(groups)], strict=True):
+            if key != (groups[begin], numbers[begin]):
+                key, rows, levels = (groups[begin], numbers[begin]), [], None
+            if not is_read[begin]:
+                for k in range(begin, end):
+                    (cycles, by_cycle), (contexts, by_context) = (batch.column(c)[k].values.flatten() for c in ("cycles", "contexts"))
+                    rows.append((batch.column("quality")[k].as_py(), batch.column("base")[k].as_py(), cycles.to_numpy(), by_cycle.to_numpy(), contexts.to_pylist(), by_context.to_numpy()))
+                continue
+            levels = levels or _Levels(rows)
+            reads = batch.column("_columns").slice(begin, end - begin)
+            columns = dict(zip([f.name for f in reads.type], reads.flatten(), strict=True))
+            flag, seq, qual = (columns[c].to_pylist() for c in ("flag", "seq", "qual"))
+            new = [q for part in _parts(qual) for q in levels.renew(flag[part], seq[part], qual[part])]
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(new, pa.string())], [*columns, "new_qual"])
+
+
+def apply_recal(reads: DataFrame, table: DataFrame, slice_reads: int = SLICE_READS) -> DataFrame:
     """Add ``new_qual``, the recalibrated Phred string of each read.
 
     With E the empirical quality of a level, the new quality is
     ``E(rg,q) + [E(rg,q,cycle) - E(rg,q)] + [E(rg,q,context) - E(rg,q)]``, rounded and limited; a
     correction without a cell is 0, and a base without an (rg, q) cell keeps its quality.
 
-    Reads are not exploded or shuffled: the levels (read groups x qualities x cycles, whatever the
-    number of reads; checked) travel with the function, which works on Arrow batches of reads.
+    Reads are not exploded. They are shuffled once: each read group is cut into slices of about ``slice_reads``
+    reads, the levels of the group are copied to each of its slices and sorted before the reads, and a task
+    holds the levels of one read group at a time, whatever the number of read groups, and never all reads.
     ``table`` is read several times, so pass a materialized one.
     """
-    levels = recal_levels(table)
-    rows = levels.limit(MAX_LEVEL_ROWS + 1).toPandas()
-    if len(rows) > MAX_LEVEL_ROWS:
-        raise ValueError("recalibration table has more cells than read groups x qualities x cycles can explain")
-    if rows.empty:
-        return reads.withColumn("new_qual", F.col("qual"))
-    groups, base, by_cycle, by_context = _level_arrays(rows)
-    number = {g: i for i, g in enumerate(groups)}
-
-    @pandas_udf("string")
-    def recalibrate(
-        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
-    ) -> Iterator[pd.Series]:
-        for read_group, flag, seq, qual in batches:
-            if qual.empty:
-                yield pd.Series([], dtype=object)
-                continue
-            missing, qual = qual.isna(), qual.fillna("")
-            seq, flag = seq.fillna("*"), flag.fillna(0)
-            sizes = qual.str.len().to_numpy(np.int64)
-            ends = np.cumsum(sizes)
-            place = np.arange(int(ends[-1])) - np.repeat(ends - sizes, sizes)
-            reverse = np.repeat((flag.to_numpy(np.int64) & FLAG_REVERSE) != 0, sizes)
-            group = np.repeat(read_group.map(number).fillna(-1).to_numpy(np.int64), sizes)
-            quality = np.frombuffer("".join(qual).encode("ascii"), np.uint8).astype(np.int64) - PHRED_OFFSET
-            # Sequences as long as their qualities; others ('*') get no context.
-            fits = seq.str.len().to_numpy(np.int64) == sizes
-            text = "".join(s if ok else "N" * n for s, ok, n in zip(seq, fits, sizes, strict=True))
-            code = _CODES[np.frombuffer(text.encode("ascii"), np.uint8)]
-            code = np.where(reverse & (code >= 0), 3 - code, code)
-            before = np.where(reverse, np.roll(code, -1), np.roll(code, 1))
-            cycle = np.where(reverse, np.repeat(sizes, sizes) - place, place + 1)
-            pair = np.where((cycle > 1) & (before >= 0) & (code >= 0), before * 4 + code, -1)
-
-            inside = (group >= 0) & (quality < base.shape[1]) & (quality >= 0)
-            g, q = np.where(inside, group, 0), np.where(inside, quality, 0)
-            expected = np.where(inside, base[g, q], np.nan)
-            near = np.minimum(cycle, by_cycle.shape[2] - 1)
-            cycle_part = np.where(cycle < by_cycle.shape[2], by_cycle[g, q, near], np.nan) - expected
-            context_part = np.where(pair >= 0, by_context[g, q, np.maximum(pair, 0)], np.nan) - expected
-            value = expected + np.nan_to_num(cycle_part, nan=0.0) + np.nan_to_num(context_part, nan=0.0)
-            new = np.clip(np.floor(value + 0.5), RECAL_MIN_QUALITY, RECAL_MAX_QUALITY)
-            new = np.where(np.isnan(expected), quality, np.nan_to_num(new)).astype(np.uint8) + PHRED_OFFSET
-            joined = new.astype(np.uint8).tobytes().decode("ascii")
-            yield pd.Series([None if gone else joined[e - n : e] for e, n, gone in zip(ends, sizes, missing, strict=True)], dtype=object)
-
-    return reads.withColumn("new_qual", recalibrate("read_group", "flag", "seq", "qual"))
+    reads = reads.drop("new_qual")
+    hot = F.broadcast(hot_keys(reads, ["read_group"], slice_reads).withColumnRenamed("read_group", "_group"))  # bounded by MAX_HOT_KEYS
+    slices = F.when(F.col("_group").isNull(), NULL_KEY_SLICES).otherwise(F.coalesce("_slices", F.lit(1)))
+    spread = F.pmod(F.xxhash64(*[F.col(f"_columns.{c}") for c, kind in reads.dtypes if "map<" not in kind]), slices)
+    cut = reads.select(F.col("read_group").alias("_group"), F.struct(*reads.columns).alias("_columns")).join(hot, "_group", "left")
+    cut = cut.select("_group", spread.cast("int").alias("_slice"), F.lit(True).alias("_read"), "_columns")
+    copies = _packed_levels(table).withColumnRenamed("read_group", "_group").join(hot, "_group", "left")
+    copies = copies.withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("_slices").withColumn("_read", F.lit(False))
+    together = copies.unionByName(cut, allowMissingColumns=True).repartition("_group", "_slice").sortWithinPartitions("_group", "_slice", "_read")
+    fields = [T.StructField(f.name, f.dataType) for f in reads.schema] + [T.StructField("new_qual", T.StringType())]
+    return together.mapInArrow(_recalibrated, T.StructType(fields))
