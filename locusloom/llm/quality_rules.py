@@ -4,7 +4,8 @@
 with equal votes are alike to the model, so EM runs on the table of vote patterns (at most 3 to the power of
 the number of rules rows, whatever the number of documents): the E step gives each pattern its probability of
 being good, the M step each rule's hit rates from the pattern counts. A document is kept when its
-posterior reaches ``KEEP``; no single rule decides.
+posterior reaches ``KEEP``. The hit rates are bounded so tightly that one bad vote mostly outweighs all good ones;
+the README has the figures that speak against estimating them freely.
 
 Defined cases: null text has no words; a null ``doc_id`` is kept as it is; repeated rows each get their row; an
 empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
