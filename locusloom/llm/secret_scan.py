@@ -7,7 +7,8 @@ without a mandatory trigram (long runs of hex digits) scans every text.
 
 Defined cases: null text is an empty text without spans; a null ``doc_id`` is kept as it is; repeated rows
 each get their row; an empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
-Spans of different kinds may overlap; of one kind they don't.
+Spans of different kinds may overlap; of one kind they don't. A base match whose value is too short is dropped, but
+its text is used up; what begins inside such text is a kind of its own, ``INSIDE``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import documents, matches, spans_text
+from .common import documents, let, matches, spans_text
 
 # An alternative set larger than this is not expanded into literals.
 MAX_LITERALS = 32
@@ -33,14 +34,20 @@ Clause = list[frozenset[str]]
 
 @dataclass(frozen=True)
 class Rule:
+    """With ``head``, matches are those of ``whole``; ones with less than ``least`` code points behind their head are dropped."""
+
     name: str
     pattern: str
+    head: str = ""
+    whole: str = ""
+    least: int = 0
 
 
-# Fixed by the result's contract. Lower bounds on lengths stand in the patterns: runs are maximal, so a
-# run that is too short has no longer match inside it.
+KEY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+# Fixed by the result's contract. Lower bounds on lengths stand in the patterns where a run that is too short has
+# no longer match inside it, since runs are maximal. A short value may hold a keyword, so it is dropped after matching.
 BASE_RULES = (
-    Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}"""),
+    Rule("assign", KEY + "[A-Za-z0-9+/_.=-]{12,}", KEY, KEY + "[A-Za-z0-9+/_.=-]++", 12),
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
@@ -53,6 +60,7 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
+INSIDE = "assign_inside"
 
 
 def trigrams(literal: str) -> frozenset[str]:
@@ -134,16 +142,31 @@ def candidates(index: DataFrame, queries: dict[str, list[Clause]]) -> DataFrame:
 
 
 def _spans(rules: list[Rule], order: dict[str, int], only: Column | None = None) -> Column:
+    def placed(found: Column, kind: int) -> Column:
+        return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+
     def of(rule: Rule) -> Column:
         guard = None if only is None else F.array_contains(only, rule.name)
-        kind = F.lit(order[rule.name]).alias("kind")
-        return F.transform(matches(F.col("text"), rule.pattern, guard), lambda m: F.struct(m["start"].alias("start"), kind, m["end"].alias("end")))
+        if not rule.head:
+            return placed(matches(F.col("text"), rule.pattern, guard), order[rule.name])
+
+        def long(m: Column) -> Column:
+            return F.length(m["value"]) - F.length(F.regexp_extract(m["value"], "^" + rule.head, 0)) >= rule.least
+
+        def split(every: Column) -> Column:
+            return let(F.filter(every, long), lambda kept: F.concat(placed(kept, order[rule.name]), inside(every, kept)))
+
+        def inside(every: Column, kept: Column) -> Column:
+            others = F.filter(matches(F.col("text"), rule.pattern), lambda m: ~F.exists(kept, lambda k: k["start"] == m["start"]))
+            return F.when(F.size(every) > F.size(kept), placed(others, len(order))).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+
+        return let(matches(F.col("text"), rule.whole, guard), split)
 
     return F.concat(*map(of, rules))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """A row per document: ``doc_id`` and ``found``, its sorted array of (start, kind: place in ``rules``, end)."""
+    """A row per document: ``doc_id`` and ``found``, its sorted array of (start, kind: place in ``rules``, behind them ``INSIDE``, end)."""
     order = {r.name: i for i, r in enumerate(rules)}
     queries = {r.name: q for r in rules if (q := trigram_query(r.pattern))}
     indexed = [r for r in rules if r.name in queries]
@@ -176,7 +199,7 @@ def report(docs: DataFrame) -> DataFrame:
     """The digest of ``scan``: counts of the base kinds, a hash of their spans, all spans as text."""
     n_base = len(BASE_RULES)
     base = F.filter("found", lambda s: s["kind"] < n_base)
-    names = [r.name for r in RULES]
+    names = [*(r.name for r in RULES), INSIDE]
 
     def count(kind: int) -> Column:
         return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{names[kind]}")
