@@ -11,6 +11,11 @@ match or lies within one. Cells are counted in two folds of documents; one fits
 each generator's threshold, the lowest score above which nearly all candidates of that generator are
 personal. Strict matches are always kept, whatever their score.
 
+What the strict rules can't see would be labelled as not personal, so three generators have a precision prior that is
+not learnt (``EVIDENT``): an address spelled with a bracketed "at" is personal by its format alone, a local phone
+number or a person's number where a word shortly before says so. Such candidates are always kept as well; they don't
+change the labels that trees and thresholds are fitted to.
+
 Defined cases: null text is an empty text without spans; a null ``doc_id`` is kept as it is; repeated rows each get
 their row; an empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored by
 ``find``, and kept by ``redact``.
@@ -43,6 +48,12 @@ LOOSE = {
     "number": r"[0-9](?:[\x20.-]?[0-9]){7,}+",
     "person_id": r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
 }
+# Candidates of these kinds are taken as personal where the text shortly before them, in lower case, matches.
+EVIDENT = {
+    "mail_words": "",
+    "local_phone": r"phone|\b(?:tel|call|cell|fax)\b|mobil|whatsapp",
+    "person_id": r"\bssn\b|social security|passport",
+}
 KINDS = [*STRICT, *LOOSE]
 NEAR = 24  # code points before a candidate that count as its surroundings
 
@@ -50,7 +61,7 @@ NEAR = 24  # code points before a candidate that count as its surroundings
 LEVELS = {"kind": len(KINDS), "digits": 8, "signs": 4, "luhn": 2, "plus": 2, "word": 5, "before": 3, "after": 3}
 ROUNDS, RATE, PRECISION = 25, 0.4, 0.98
 
-CANDIDATE = "start:int,kind:int,end:int,strict:boolean," + ",".join(f"{n}:int" for n in LEVELS if n != "kind")
+CANDIDATE = "start:int,kind:int,end:int,strict:boolean,evident:boolean," + ",".join(f"{n}:int" for n in LEVELS if n != "kind")
 
 
 def _digits(value: Column) -> Column:
@@ -107,6 +118,7 @@ def _candidate(text: Column, kind: str, m: Column) -> Column:
         F.lit(KINDS.index(kind)).alias("kind"),
         end.alias("end"),
         _valid(kind, value).alias("strict"),
+        (near.rlike(EVIDENT[kind]) if kind in EVIDENT else F.lit(False)).alias("evident"),
         _level(n, 1, 4, 8, 9, 12, 16, 20).alias("digits"),
         _level(F.length(value) - n, 1, 3, 6).alias("signs"),
         (F.when(n.between(12, 19), _luhn(digits)).otherwise(False)).cast("int").alias("luhn"),
@@ -230,7 +242,7 @@ def _score(trees: list, c: Column) -> Column:
 
 
 def select(found: Column, model: tuple[list, dict[int, float]]) -> Column:
-    """The spans (start, kind, end) that stay: strict ones, and others whose score reaches their kind's threshold."""
+    """The spans (start, kind, end) that stay: strict and evident ones, and others whose score reaches their kind's threshold."""
     trees, thresholds = model
 
     def enough(c: Column) -> Column:
@@ -239,7 +251,7 @@ def select(found: Column, model: tuple[list, dict[int, float]]) -> Column:
             # A strict kind's failing match is no personal data of that kind by definition.
             if kind >= len(STRICT) and t < math.inf:
                 bound = F.when(c["kind"] == kind, F.lit(t - 1e-9)).otherwise(bound)
-        return c["strict"] | (_score(trees, c) >= bound)
+        return c["strict"] | c["evident"] | (_score(trees, c) >= bound)
 
     return F.transform(F.filter(found, enough), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
 
