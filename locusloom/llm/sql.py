@@ -78,9 +78,34 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id"""
 
 
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+size AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.g, c.k, c.f AS a, cut, l.f AS l, r.f AS r, CAST(2000000 * CAST(c.f AS HUGEINT) // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1) c
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:cut] JOIN f r ON r.lang = c.lang AND r.g = c.g[cut + 1:]),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, g[i:i + n - 1] AS g, max(f) AS around
+  FROM (SELECT lang, g, f, k, n, unnest(range(1, k - n + 2)) AS i FROM f, range(2, 4) AS t(n) WHERE k > n) GROUP BY ALL),
+kept AS (
+  SELECT s.lang, array_to_string(s.g, ' ') AS phrase, a, l, r, score
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.g = s.g WHERE around IS NULL OR 100 * around < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN size USING (lang) QUALIFY rank <= 2000"""
+
+
 ORACLES = {
     "op1_secret_scan": _secret_scan(),
     "op5_ngram_join": NGRAM_JOIN,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op7_chat_format": _chat_format(),
+    "op12_phrases": COLLOCATIONS,
 }
