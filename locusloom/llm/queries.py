@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, fingerprints, line_crf, mixing, ngram_join, packing, phrases, pii, quality_rules, secret_scan, substring_dedup, token_counts
+from . import chat_format, fingerprints, line_crf, mixing, ngram_join, packing, periodic_runs, phrases, pii, quality_rules, secret_scan, substring_dedup, token_counts
 from .common import table
 from .sql import ORACLES  # noqa: F401  (read by the driver's entry)
 
@@ -63,4 +63,8 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op3_quality_classifier, op4_quality_rules, op5_ngram_join, op6_substring_dedup, op7_chat_format, op8_packing, op9_mixing, op10_fingerprints, op11_token_counts, op12_phrases)}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(periodic_runs.plant(table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op2_pii, op3_quality_classifier, op4_quality_rules, op5_ngram_join, op6_substring_dedup, op7_chat_format, op8_packing, op9_mixing, op10_fingerprints, op11_token_counts, op12_phrases, op13_periodic_runs)}
