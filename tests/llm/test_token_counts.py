@@ -18,7 +18,7 @@ def whole(text: str | None) -> int:
     return len(tokenizer(PATH).encode(text or "", add_special_tokens=False))
 
 
-ALPHABET = ["the", "Don't", " ", "\n", "\t ", "12", "3456", "<|endoftext|>", "<|startoftext|>", "é", "́", "İ", "Σς", "中文", "。", "，", "字", "'", "s", " ", "　", "ﬁ", "😀", "½", "\x1c", "\x85", "…", "가", "ᄀ", "ᅡ"]
+ALPHABET = ["the", "The", "<|ENDOFTEXT|>", "<|", ".", ",", "!?", '."', "K", "A", "ß", "Don't", " ", "\n", "\t ", "12", "3456", "<|endoftext|>", "<|startoftext|>", "é", "́", "İ", "Σς", "中文", "。", "，", "字", "'", "s", " ", "　", "ﬁ", "😀", "½", "\x1c", "\x85", "…", "가", "ᄀ", "ᅡ"]
 
 
 @settings(max_examples=300, deadline=None)
@@ -61,3 +61,15 @@ def test_query_against_whole_texts(spark, folder):
     rows = op11_token_counts(spark, folder).collect()
     assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in rows} == {i: (len((t or "").encode()), whole(t)) for i, t in docs.items()}
     assert len(rows) == len(docs)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*ALPHABET, "x" * 200]), max_size=40).map("".join), max_size=4))
+def test_words_add_up(texts):
+    assert token_counts.lengths(PATH).count(texts) == list(map(whole, texts))
+
+
+def test_only_short_words_are_kept():
+    known = token_counts.Lengths(PATH)
+    assert known.count(["a " + "é" * 100 + " b", "a"]) == [whole("a " + "é" * 100 + " b"), 1]
+    assert set(known.memo.now) == {b"a", b"b"}
