@@ -168,7 +168,7 @@ def is_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how often each occurs (at most 2**32 - 1 times, far above ``MIN_COUNT``)."""
+    """Distinct keys in order and how often each occurs, up to ``MIN_COUNT`` times: that many are enough, and fit a byte."""
     if counts is None:
         keys = np.sort(keys)
     else:
@@ -178,21 +178,24 @@ def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
     if counts is None:
         total = np.diff(np.append(head, len(keys)))
     else:
-        total = np.add.reduceat(counts.astype(np.uint64), head) if len(head) else np.zeros(0, np.uint64)
-    return keys[head], np.minimum(total, 2**32 - 1).astype(np.uint32)
+        total = np.add.reduceat(counts.astype(np.int64), head) if len(head) else np.zeros(0, int)
+    return keys[head], np.minimum(total, MIN_COUNT).astype(np.uint8)
 
 
 COUNTED = "bucket int, keys binary, counts binary"
 
 
 def _by_bucket(keys: np.ndarray) -> pa.RecordBatch:
-    """Counts of a task's fingerprints, a row per bucket."""
-    keys, counts = summed(keys)
-    bucket = (keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    """Counts of a task's fingerprints, a row per bucket: the next 32 bits of each, and a byte for its count.
+
+    Fingerprints that share their first 48 bits are counted together here, which may let one too many pass.
+    """
+    keys, counts = summed(keys >> np.uint64(64 - BUCKET_BITS - 32))
+    bucket = (keys >> np.uint64(32)).astype(np.int32)
     head = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, int)
     offsets = np.append(head, len(keys)).astype(np.int32)
     blob = lambda a: pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(offsets * np.int32(a.itemsize)), pa.py_buffer(a)])
-    return pa.RecordBatch.from_arrays([pa.array(bucket[head]), blob(keys), blob(counts)], ["bucket", "keys", "counts"])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[head]), blob(keys.astype(np.uint32)), blob(counts)], ["bucket", "keys", "counts"])
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[Slice]:
@@ -247,7 +250,7 @@ def _merged(counted: DataFrame) -> DataFrame:
 
     def bits_of(keys: np.ndarray, counts: np.ndarray) -> bytes | None:
         keys, counts = summed(keys, counts)
-        place = (keys[counts >= MIN_COUNT] >> np.uint64(64 - BITS)) & np.uint64(room - 1)
+        place = keys[counts >= MIN_COUNT] >> np.uint32(32 - BITS + BUCKET_BITS)
         if not len(place):
             return None
         flags = np.zeros(room, bool)
@@ -269,8 +272,8 @@ def _merged(counted: DataFrame) -> DataFrame:
                 if b != bucket:
                     close()
                     bucket, keys, counts, size, limit = b, [], [], 0, HELD
-                keys.append(np.frombuffer(k, np.uint64))
-                counts.append(np.frombuffer(c, np.uint32))
+                keys.append(np.frombuffer(k, np.uint32))
+                counts.append(np.frombuffer(c, np.uint8))
                 size += len(keys[-1])
                 if size > limit:  # keep what is distinct
                     one, n = summed(np.concatenate(keys), np.concatenate(counts))

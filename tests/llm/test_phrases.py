@@ -112,5 +112,7 @@ def test_long_texts_are_cut_at_breaks(monkeypatch):
 
 
 def test_counts_merge():
-    keys, counts = phrases.summed(np.array([5, 1, 5], np.uint64), np.array([2**32 - 2, 1, 7], np.uint32))
-    assert keys.tolist() == [1, 5] and counts.tolist() == [1, 2**32 - 1]
+    keys, counts = phrases.summed(np.array([5, 1, 5, 9, 9], np.uint32), np.array([29, 1, 2, 10, 19], np.uint8))
+    assert keys.tolist() == [1, 5, 9] and counts.tolist() == [1, 30, 29]
+    keys, counts = phrases.summed(np.array([7] * 300 + [3], np.uint64))
+    assert keys.tolist() == [3, 7] and counts.tolist() == [1, 30]
