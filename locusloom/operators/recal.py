@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..constants import FLAG_REVERSE, PHRED_OFFSET, RECAL_MAX_QUALITY, RECAL_MIN_QUALITY
+from ..constants import PHRED_OFFSET, RECAL_MAX_QUALITY, RECAL_MIN_QUALITY
+from ..functions import cigar as C
+from ..session import materialize
 from .bases import mask_known_sites, with_covariates
-from .skew import NULL_KEY_SLICES, hot_keys
+from .skew import MIN_HOT_ROWS, salted_join
 
 ReferenceBase = Callable[[Column, Column], Column]
 
-# A slice of a read group has about so many reads; each gets a copy of the group's levels.
-SLICE_READS = 20_000
-# Reads are recalibrated in runs of about so many bases.
-BASES_AT_ONCE = 2_000_000
-
-_CODES = np.full(256, -1, np.int64)
-_CODES[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4)
+# Corrections of all read groups together are broadcast up to so many bytes; larger ones meet the reads in a salted join.
+MAX_LEVEL_BYTES = 64_000_000
 
 
 def empirical_quality(observations: Column, mismatches: Column) -> Column:
@@ -49,148 +43,137 @@ def recal_table(reads: DataFrame, sites: DataFrame, reference_base: ReferenceBas
 
 
 def recal_levels(table: DataFrame) -> DataFrame:
-    """The coarser levels used for correction, from the finest one.
+    """The coarser levels used for correction, from the finest one, in one pass of grouping sets.
 
     ``level`` tells them apart: ``quality`` (read group, quality), ``cycle`` and ``context`` (each with
-    one more column).
+    one more column; cells without a context have no level of that kind).
     """
-    sums = [F.sum("observations").alias("observations"), F.sum("mismatches").alias("mismatches")]
     keys = ["read_group", "quality"]
-    by_cycle = table.groupBy(*keys, "cycle").agg(*sums)
-    base = by_cycle.groupBy(*keys).agg(*sums)
-    by_context = table.where(F.col("context").isNotNull()).groupBy(*keys, "context").agg(*sums)
-    no_cycle, no_context = F.lit(None).cast("int"), F.lit(None).cast("string")
-    columns = ["level", *keys, "cycle", "context", "observations", "mismatches"]
-    levels = [
-        base.withColumn("level", F.lit("quality")).withColumn("cycle", no_cycle).withColumn("context", no_context),
-        by_cycle.withColumn("level", F.lit("cycle")).withColumn("context", no_context),
-        by_context.withColumn("level", F.lit("context")).withColumn("cycle", no_cycle),
-    ]
-    stacked = levels[0].select(*columns)
-    for level in levels[1:]:
-        stacked = stacked.unionByName(level.select(*columns))
-    return stacked.withColumn("empirical_quality", empirical_quality(F.col("observations"), F.col("mismatches")))
-
-
-def _packed_levels(table: DataFrame) -> DataFrame:
-    """A row per (read group, quality): ``base``, the quality's level, and lists of those by cycle and by context."""
-
-    def listed(level: str) -> Column:
-        return F.collect_list(F.when(F.col("level") == level, F.struct(F.col(level).alias("at"), F.col("empirical_quality").alias("e"))))
-
+    cells = table.select(*keys, "cycle", "context", "observations", "mismatches")
+    sets = [[*keys], [*keys, "cycle"], [*keys, "context"]]
+    left_out = F.grouping_id(*keys, "cycle", "context")  # a bit per column that a set leaves out: cycle 2, context 1
+    levels = cells.groupingSets(sets, *keys, "cycle", "context").agg(
+        left_out.alias("_out"), F.sum("observations").alias("observations"), F.sum("mismatches").alias("mismatches")
+    )
+    level = F.when(F.col("_out") == 3, "quality").when(F.col("_out") == 1, "cycle").otherwise("context")
     return (
+        levels.where((F.col("_out") != 2) | F.col("context").isNotNull())
+        .withColumn("level", level)
+        .withColumn("empirical_quality", empirical_quality(F.col("observations"), F.col("mismatches")))
+        .select("level", *keys, "cycle", "context", "observations", "mismatches", "empirical_quality")
+    )
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _dense(cells: Column, kind: str) -> Column:
+    """Array with ``e`` of each (at, e) at the place ``at`` and nulls in between; ``cells`` are sorted and their places distinct."""
+    none = F.lit(None).cast(kind)
+
+    def stretch(cell: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(cells, i - 1)["at"])
+        return F.concat(F.array_repeat(none, cell["at"] - before - 1), F.array(cell["e"]))
+
+    return F.flatten(F.transform(cells, stretch))
+
+
+def _pair(first: Column, second: Column) -> Column:
+    """Number of a pair of bases that are numbered 1 to 4; null where one of them is another letter or missing."""
+    return F.when((first > 0) & (second > 0), first * 5 + second)
+
+
+def _base_number(letter: Column) -> Column:
+    return F.instr(F.lit("ACGT"), letter)
+
+
+def packed_levels(table: DataFrame) -> DataFrame:
+    """A row per read group (read_group, _base, _cycles, _contexts).
+
+    ``_base`` has the empirical quality by reported one, ``_cycles`` and ``_contexts`` the corrections by quality and, inside,
+    by cycle and by number of the pair of bases.
+    """
+    at, e = F.col("level"), F.col("empirical_quality")
+    pair = _pair(*[_base_number(F.substring("context", k, 1)) for k in (1, 2)])
+
+    def listed(level: str, place: Column) -> Column:
+        return F.array_sort(F.collect_list(F.when((at == level) & (place >= 0), F.struct(place.alias("at"), e.alias("e")))))
+
+    def corrections(name: str) -> Column:
+        return F.transform(name, lambda x: F.struct(x["at"].alias("at"), (x["e"] - F.col("_e")).alias("e")))
+
+    by_quality = (
         recal_levels(table)
         .where("quality >= 0")  # other bases keep their quality
         .groupBy("read_group", "quality")
         .agg(
-            F.max(F.when(F.col("level") == "quality", F.col("empirical_quality"))).alias("base"),
-            listed("cycle").alias("cycles"),
-            listed("context").alias("contexts"),
+            F.max(F.when(at == "quality", e)).alias("_e"),
+            listed("cycle", F.col("cycle").cast("int")).alias("_cycles"),
+            listed("context", F.when(F.length("context") == 2, pair)).alias("_contexts"),
         )
+        .withColumn("_cycles", corrections("_cycles"))
+        .withColumn("_contexts", corrections("_contexts"))
     )
+    parts = {"_base": F.col("_e"), "_cycles": _dense(F.col("_cycles"), "double"), "_contexts": _dense(F.col("_contexts"), "double")}
+    quality = F.col("quality").cast("int").alias("at")
+    gathered = by_quality.groupBy("read_group").agg(
+        *[F.array_sort(F.collect_list(F.struct(quality, part.alias("e")))).alias(name) for name, part in parts.items()]
+    )
+    inner = {"_base": "double", "_cycles": "array<double>", "_contexts": "array<double>"}
+    return gathered.select("read_group", *[_dense(F.col(name), kind).alias(name) for name, kind in inner.items()])
+
+
+def _renewed() -> Column:
+    """New Phred string of a read that stands beside the levels of its read group (nulls where there are none)."""
+    reverse = F.coalesce(C.is_reverse(F.col("flag")), F.lit(False))
+    n = F.length("qual")
+    # Sequences as long as their qualities; others ('*') get no context. On the reverse strand the complement is read.
+    strand = F.when(F.length("seq") == n, F.when(reverse, F.translate("seq", "ACGT", "TGCA")).otherwise(F.col("seq")))
+    letters = F.transform(F.split(strand, ""), _base_number)
+    qualities = F.transform(F.split("qual", ""), lambda c: F.ascii(c) - PHRED_OFFSET)
+    earlier = F.when(reverse, 1).otherwise(-1)
+
+    def renew(quality: Column, i: Column, letters: Column) -> Column:
+        cycle = F.when(reverse, n - i).otherwise(i + 1)
+        pair = _pair(F.get(letters, i + earlier), F.get(letters, i))
+        by_cycle = F.get(F.get(F.col("_cycles"), quality), cycle)
+        by_context = F.get(F.get(F.col("_contexts"), quality), pair)
+
+        def rounded(e: Column) -> Column:
+            value = F.floor(e + F.coalesce(by_cycle, F.lit(0.0)) + F.coalesce(by_context, F.lit(0.0)) + 0.5)
+            limited = F.least(F.lit(RECAL_MAX_QUALITY), F.greatest(F.lit(RECAL_MIN_QUALITY), value))
+            return F.chr(F.when(e.isNull(), quality).otherwise(limited) + PHRED_OFFSET)
+
+        return _let(F.get(F.col("_base"), quality), rounded)
+
+    renewed = _let(letters, lambda letters: F.array_join(F.transform(qualities, lambda q, i: renew(q, i, letters)), ""))
+    return F.when(n > 0, renewed).otherwise(F.col("qual"))
 
 
-class _Levels:
-    """Levels of one read group: arrays by quality, the cycles of all qualities one after the other; NaN where no cell is."""
-
-    def __init__(self, rows: list[tuple[int, float, np.ndarray, np.ndarray, list[str], np.ndarray]]) -> None:
-        n = max((r[0] for r in rows), default=-1) + 1
-        self.base, self.context = np.full(n + 1, np.nan), np.full((n + 1, 16), np.nan)
-        self.n_cycle = np.zeros(n + 1, np.int64)
-        for quality, base, cycles, _, contexts, by_context in rows:
-            self.base[quality] = base
-            self.n_cycle[quality] = cycles.max() + 1 if len(cycles) else 0
-            for pair, value in zip(contexts, by_context.tolist(), strict=True):
-                first, second = (_CODES[ord(c)] if ord(c) < 256 else -1 for c in pair) if len(pair) == 2 else (-1, -1)
-                if first >= 0 and second >= 0:
-                    self.context[quality, first * 4 + second] = value
-        self.begin = np.concatenate(([0], np.cumsum(self.n_cycle)[:-1]))
-        self.cycle = np.full(int(self.n_cycle.sum()) + 1, np.nan)
-        for quality, _, cycles, by_cycle, _, _ in rows:
-            self.cycle[self.begin[quality] + cycles] = by_cycle
-
-    def renew(self, flag: list, seq: list, qual: list) -> list[str | None]:
-        """New Phred strings of reads."""
-        missing, qual = [q is None for q in qual], [q or "" for q in qual]
-        sizes = np.array([len(q) for q in qual], np.int64)
-        ends = np.cumsum(sizes)
-        place = np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes)
-        reverse = np.repeat(np.array([((f or 0) & FLAG_REVERSE) != 0 for f in flag], bool), sizes)
-        quality = np.frombuffer("".join(qual).encode("ascii"), np.uint8).astype(np.int64) - PHRED_OFFSET
-        # Sequences as long as their qualities; others ('*') get no context.
-        text = "".join(s if s is not None and len(s) == n else "N" * n for s, n in zip(seq, sizes.tolist(), strict=True))
-        code = _CODES[np.frombuffer(text.encode("ascii"), np.uint8)]
-        code = np.where(reverse & (code >= 0), 3 - code, code)
-        before = np.where(reverse, np.roll(code, -1), np.roll(code, 1))
-        cycle = np.where(reverse, np.repeat(sizes, sizes) - place, place + 1)
-        pair = np.where((cycle > 1) & (before >= 0) & (code >= 0), before * 4 + code, -1)
-
-        q = np.where((quality >= 0) & (quality < len(self.base)), quality, len(self.base) - 1)  # the last has no level
-        expected = self.base[q]
-        known = cycle < self.n_cycle[q]
-        cycle_part = np.where(known, self.cycle[np.where(known, self.begin[q] + cycle, 0)], np.nan) - expected
-        context_part = np.where(pair >= 0, self.context[q, np.maximum(pair, 0)], np.nan) - expected
-        value = expected + np.nan_to_num(cycle_part, nan=0.0) + np.nan_to_num(context_part, nan=0.0)
-        new = np.clip(np.floor(value + 0.5), RECAL_MIN_QUALITY, RECAL_MAX_QUALITY)
-        new = np.where(np.isnan(expected), quality, np.nan_to_num(new)).astype(np.uint8) + PHRED_OFFSET
-        joined = new.astype(np.uint8).tobytes().decode("ascii")
-        return [None if gone else joined[e - n : e] for e, n, gone in zip(ends.tolist(), sizes.tolist(), missing, strict=True)]
-
-
-def _parts(qual: list) -> Iterator[slice]:
-    """Runs of reads of about ``BASES_AT_ONCE`` bases, at least one read each."""
-    first = total = 0
-    for k, q in enumerate(qual):
-        total += len(q or "")
-        if total >= BASES_AT_ONCE:
-            yield slice(first, k + 1)
-            first, total = k + 1, 0
-    if first < len(qual):
-        yield slice(first, len(qual))
-
-
-def _recalibrated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reads with new qualities, from rows sorted by (read group, slice), the levels of each before its reads."""
-    key, rows, levels = None, [], None
-    for batch in batches:
-        groups, numbers, is_read = (batch.column(c).to_pylist() for c in ("_group", "_slice", "_read"))
-        heads = [k for k in range(len(groups)) if k == 0 or (groups[k], numbers[k], is_read[k]) != (groups[k - 1], numbers[k - 1], is_read[k - 1])]
-        for begin, end in zip(heads, [*heads[1:], len(groups)], strict=True):
-            if key != (groups[begin], numbers[begin]):
-                key, rows, levels = (groups[begin], numbers[begin]), [], None
-            if not is_read[begin]:
-                for k in range(begin, end):
-                    (cycles, by_cycle), (contexts, by_context) = (batch.column(c)[k].values.flatten() for c in ("cycles", "contexts"))
-                    rows.append((batch.column("quality")[k].as_py(), batch.column("base")[k].as_py(), cycles.to_numpy(), by_cycle.to_numpy(), contexts.to_pylist(), by_context.to_numpy()))
-                continue
-            levels = levels or _Levels(rows)
-            reads = batch.column("_columns").slice(begin, end - begin)
-            columns = dict(zip([f.name for f in reads.type], reads.flatten(), strict=True))
-            flag, seq, qual = (columns[c].to_pylist() for c in ("flag", "seq", "qual"))
-            new = [q for part in _parts(qual) for q in levels.renew(flag[part], seq[part], qual[part])]
-            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(new, pa.string())], [*columns, "new_qual"])
-
-
-def apply_recal(reads: DataFrame, table: DataFrame, slice_reads: int = SLICE_READS) -> DataFrame:
+def apply_recal(
+    reads: DataFrame, table: DataFrame, slice_reads: int = MIN_HOT_ROWS, max_level_bytes: int = MAX_LEVEL_BYTES
+) -> DataFrame:
     """Add ``new_qual``, the recalibrated Phred string of each read.
 
     With E the empirical quality of a level, the new quality is
     ``E(rg,q) + [E(rg,q,cycle) - E(rg,q)] + [E(rg,q,context) - E(rg,q)]``, rounded and limited; a
     correction without a cell is 0, and a base without an (rg, q) cell keeps its quality.
 
-    Reads are not exploded. They are shuffled once: each read group is cut into slices of about ``slice_reads``
-    reads, the levels of the group are copied to each of its slices and sorted before the reads, and a task
-    holds the levels of one read group at a time, whatever the number of read groups, and never all reads.
-    ``table`` is read several times, so pass a materialized one.
+    Reads are neither exploded nor, where the corrections of all read groups have at most ``max_level_bytes``, shuffled:
+    a row of arrays per read group is broadcast, and each base looks its corrections up by place. Beyond that size reads and
+    corrections meet by read group, large groups in slices of ``slice_reads`` reads. A null read group is one of its own.
     """
     reads = reads.drop("new_qual")
-    hot = F.broadcast(hot_keys(reads, ["read_group"], slice_reads).withColumnRenamed("read_group", "_group"))  # bounded by MAX_HOT_KEYS
-    slices = F.when(F.col("_group").isNull(), NULL_KEY_SLICES).otherwise(F.coalesce("_slices", F.lit(1)))
-    spread = F.pmod(F.xxhash64(*[F.col(f"_columns.{c}") for c, kind in reads.dtypes if "map<" not in kind]), slices)
-    cut = reads.select(F.col("read_group").alias("_group"), F.struct(*reads.columns).alias("_columns")).join(hot, "_group", "left")
-    cut = cut.select("_group", spread.cast("int").alias("_slice"), F.lit(True).alias("_read"), "_columns")
-    copies = _packed_levels(table).withColumnRenamed("read_group", "_group").join(hot, "_group", "left")
-    copies = copies.withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("_slices").withColumn("_read", F.lit(False))
-    together = copies.unionByName(cut, allowMissingColumns=True).repartition("_group", "_slice").sortWithinPartitions("_group", "_slice", "_read")
-    fields = [T.StructField(f.name, f.dataType) for f in reads.schema] + [T.StructField("new_qual", T.StringType())]
-    return together.mapInArrow(_recalibrated, T.StructType(fields))
+    packed = materialize(packed_levels(table), "levels")  # read once for its size, once for the join
+    cells = F.size("_base") + F.size(F.flatten("_cycles")) + F.size(F.flatten("_contexts"))
+    n_bytes = 8 * (packed.agg(F.sum(cells.cast("long"))).first()[0] or 0)
+    keys = {"_group": F.coalesce("read_group", F.lit("")), "_none": F.col("read_group").isNull()}
+    cut, levels = reads.withColumns(keys), packed.withColumns(keys).drop("read_group")
+    if n_bytes <= max_level_bytes:
+        joined = cut.join(F.broadcast(levels), list(keys), "left")
+    else:
+        plain = [c for c, kind in reads.dtypes if "map<" not in kind]
+        joined = salted_join(cut, levels, list(keys), "left", min_rows=slice_reads, spread=plain)
+    return joined.select(*reads.columns, _renewed().alias("new_qual"))

@@ -236,6 +236,23 @@ def recal_table(inp: Inputs) -> DataFrame:
     return table.withColumn("empirical_quality", F.round("empirical_quality", 4))
 
 
+LEVEL = "sum(observations) AS observations, sum(mismatches) AS mismatches, grouping_id(quality, cycle, context) AS left_out"
+
+
+@query(
+    f"""WITH {RECAL},
+    sets AS (SELECT read_group, quality, CAST(cycle AS INT) AS cycle, context, {LEVEL} FROM cells
+             GROUP BY GROUPING SETS ((read_group, quality), (read_group, quality, cycle), (read_group, quality, context)))
+    SELECT CASE left_out WHEN 3 THEN 'quality' WHEN 1 THEN 'cycle' ELSE 'context' END AS level, read_group, quality, cycle, context,
+      CAST(observations AS BIGINT) AS observations, CAST(mismatches AS BIGINT) AS mismatches,
+      round(-10 * log10((mismatches + 1) / (observations + 2)), 4) AS empirical_quality
+    FROM sets WHERE left_out <> 2 OR context IS NOT NULL"""
+)
+def recal_levels(inp: Inputs) -> DataFrame:
+    levels = recal.recal_levels(recal.recal_counts(recal_input(inp), inp["known_sites"], formula_base))
+    return levels.withColumn("empirical_quality", F.round("empirical_quality", 4))
+
+
 E = "-10 * log10((sum(mismatches) + 1) / (sum(observations) + 2))"
 
 

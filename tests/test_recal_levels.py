@@ -39,8 +39,8 @@ def test_six_groups_of_long_reads(spark):
     assert all(q == want for q in got.values())
 
 
-@pytest.mark.parametrize("slice_reads", [3, 10**6])
-def test_slices_of_a_group_and_repeated_reads(spark, slice_reads):
+@pytest.mark.parametrize("slice_reads, max_bytes", [(10**6, 10**6), (3, 0), (10**6, 0)])
+def test_slices_of_a_group_and_repeated_reads(spark, slice_reads, max_bytes):
     rows = [(f"r{i % 25}", 16 * (i % 2), "chr1", 1, 30, "4M", "=", 0, 0, "ACGT", "5I5?", 0) for i in range(60)]
     df = reads(spark, rows).withColumn("read_group", F.when(F.col("qname") < "r15", "G").when(F.col("qname") < "r2", "H").when(F.col("qname") < "r7", "none"))
     table = spark.createDataFrame(
@@ -60,6 +60,36 @@ def test_slices_of_a_group_and_repeated_reads(spark, slice_reads):
                 char = chr(33 + min(60, max(1, math.floor(value + 0.5))))
             out += char
         want.append((r.qname, r.read_group or "", out if not r.flag else out[::-1]))
-    result = recal.apply_recal(df, table, slice_reads)
+    result = recal.apply_recal(df, table, slice_reads, max_bytes)
     assert result.columns == [*df.columns, "new_qual"]
     assert sorted((r.qname, r.read_group or "", r.new_qual) for r in result.collect()) == sorted(want)
+
+
+def test_plan_neither_shuffles_reads_nor_needs_python(spark):
+    df = reads(spark, [("a", 0, "chr1", 1, 30, "4M", "=", 0, 0, "ACGT", "5I5?", 0)]).withColumn("read_group", F.col("rname"))
+    table = spark.createDataFrame([("G", 20, 1, None, 9, 1)], "read_group string, quality int, cycle int, context string, observations bigint, mismatches bigint")
+    plan = recal.apply_recal(df, table)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "InArrow" not in plan and "EvalPython" not in plan
+
+
+def test_odd_reads_keep_what_they_have(spark):
+    data = [("null", None, None, "G"), ("empty", "", "", "G"), ("star", "*", "5I5?", "G"), ("short", "AC", "5I5?", "G"), ("nobody", "ACGT", "5I5?", "Z"), ("odd", "ANGT", "5I~!", "G")]
+    df = spark.createDataFrame([(n, 0, s, q, g) for n, s, q, g in data], "qname string, flag int, seq string, qual string, read_group string")
+    table = spark.createDataFrame([("G", 20, 1, "TT", 98, 0), ("G", 20, 3, "AC", 998, 0), ("G", 40, 2, "GT", 9, 9)], "read_group string, quality int, cycle int, context string, observations bigint, mismatches bigint")
+    got = {r.qname: r.new_qual for r in recal.apply_recal(df, table).collect()}
+    assert (got["null"], got["empty"], got["nobody"]) == (None, "", "5I5?")
+    assert got["star"] == got["short"]  # no context at all
+    assert got["odd"][2:] == "~!" and got["odd"][0] == got["star"][0]
+    empty = recal.apply_recal(df, table.where("false"))
+    assert {r.qname: r.new_qual for r in empty.collect()} == {n: q for n, _, q, _ in data}
+
+
+def test_levels_are_one_pass(spark):
+    table = spark.createDataFrame([("G", 20, 1, None, 5, 1), ("G", 20, 2, "AC", 7, 2), (None, 20, 2, "AC", 3, 0)], "read_group string, quality int, cycle int, context string, observations bigint, mismatches bigint")
+    levels = recal.recal_levels(table)
+    plan = levels._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Expand") == 1
+    assert sorted((r.level, r.read_group or "", r.cycle or 0, r.context or "", r.observations, r.mismatches) for r in levels.collect()) == [
+        ("context", "", 0, "AC", 3, 0), ("context", "G", 0, "AC", 7, 2), ("cycle", "", 2, "", 3, 0), ("cycle", "G", 1, "", 5, 1), ("cycle", "G", 2, "", 7, 2),
+        ("quality", "", 0, "", 3, 0), ("quality", "G", 0, "", 12, 3),
+    ]
