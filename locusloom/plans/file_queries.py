@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import sinks
 from ..operators import filters, histogram, lookups, ordering
@@ -226,12 +227,29 @@ def stream_text_chunks(inp: Inputs) -> DataFrame:
     LEFT JOIN {mapped} m ON m.chunk = e.chunk GROUP BY e.chunk"""
 )
 def stream_end(inp: Inputs) -> DataFrame:
-    # Twenty chunks are expected, sixteen come; the stream ends anyway and the others count nothing.
-    _, stream = published_chunks(inp, mapped_reads(inp).select("chunk", "qname"))
-    out = scratch_dir(inp.spark, "streamed")
-    chunks.write_chunks(stream, out, scratch_dir(inp.spark, "state")).awaitTermination()
-    counts = inp.spark.read.parquet(out).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
-    expected = inp.spark.range(20).select(F.col("id").alias("chunk"))
+    """Twenty chunks are expected, sixteen come, some at each look of the live query, then the sentinel; the others count nothing."""
+    spark, reads = inp.spark, mapped_reads(inp).select("chunk", "qname")
+    staged, folder = scratch_dir(spark, "staged"), scratch_dir(spark, "arrivals")
+    out, state = scratch_dir(spark, "streamed"), scratch_dir(spark, "state")
+    reads.withColumn("file_chunk", F.col("chunk")).repartitionByRange("file_chunk", "qname").write.partitionBy("file_chunk").parquet(staged)
+    waiting = [r.file_chunk for r in spark.read.parquet(staged).select("file_chunk").distinct().orderBy("file_chunk").collect()]  # as many as folders
+    chunks.publish(spark, "", f"{folder}/begin.txt")
+    sentinel = f"{folder}/end.txt"
+
+    def arrive() -> None:
+        for k in waiting[:4]:
+            chunks.publish(spark, f"{staged}/file_chunk={k}", f"{folder}/file_chunk={k}")
+        del waiting[:4]
+        if not waiting:
+            chunks.publish(spark, "", sentinel)
+
+    def start(available_now: bool) -> StreamingQuery:
+        stream = chunks.stream_chunks(spark, folder, reads.schema, chunks_per_batch=4)
+        return chunks.write_chunks(stream, out, state, available_now=available_now, poll="100 milliseconds")
+
+    chunks.run_until_end(spark, start, sentinel, 0.5, arrive)
+    counts = spark.read.schema(reads.schema).parquet(out).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    expected = spark.range(20).select(F.col("id").alias("chunk"))
     return expected.join(counts, "chunk", "left").select("chunk", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import gzip
 import os
+import threading
+import time
 
 import pytest
 from helpers import read, reads, rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from locusloom import sinks
@@ -162,16 +165,107 @@ def test_variants_without_a_place_are_set_aside(spark, contigs):
     assert rows(ordering.bad_variants(df, contigs), "line_no") == [(2,), (3,), (4,)]
 
 
+def folders(path, kind):
+    return sorted(f for f in os.listdir(path) if f.startswith(f"{kind}="))
+
+
 def test_only_finished_batches_are_seen_and_old_ones_go(spark, tmp_path):
     df = some_reads(spark).drop("key")
     arrivals, live = str(tmp_path / "in"), str(tmp_path / "live")
     df.withColumn("file_chunk", F.col("chunk")).write.partitionBy("file_chunk").parquet(arrivals)
     stream = lookups.with_bucket_key(chunks.stream_chunks(spark, arrivals, df.schema))
-    chunks.stream_histogram(stream, live, str(tmp_path / "state")).awaitTermination()
-    assert len([f for f in os.listdir(live) if f.startswith("batch=")]) == 2
+    chunks.stream_histogram(stream, live, str(tmp_path / "state"), compact_every=2).awaitTermination()
+    n = len([f for _, _, found in os.walk(arrivals) for f in found if f.endswith(".parquet")])  # a batch each
+    last = (n // 2) * 2 - 1
+    assert folders(live, "base") == [f"base={b:012d}" for b in (last - 2, last)]
+    assert folders(live, "delta") == [f"delta={b:012d}" for b in range(last - 1, n)]
     want = rows(chunks.latest_histogram(spark, live))
-    write(tmp_path / "live" / "batch=000000009999" / "part-0.parquet", "half")
+    assert want == rows(H.bucket_histogram(lookups.with_bucket_key(df)))
+    write(tmp_path / "live" / "delta=000000009999" / "part-0.parquet", "half")
+    write(tmp_path / "live" / "base=000000009998" / "part-0.parquet", "half")
+    assert rows(chunks.latest_histogram(spark, live)) == want
+
+
+def test_idle_buckets_are_not_written_again_and_a_repeated_batch_changes_nothing(spark, tmp_path):
+    def reads_at(*positions):
+        return reads(spark, [read(f"r{p}", pos=p) for p in positions]).withColumn("contig_index", F.lit(0))
+
+    arrivals, state, live = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "live")
+
+    def run(part):
+        part.coalesce(1).write.mode("append").parquet(arrivals)
+        stream = lookups.with_bucket_key(chunks.stream_chunks(spark, arrivals, part.schema))
+        chunks.stream_histogram(stream, live, state, compact_every=3).awaitTermination()
+
+    delta = lambda b: rows(spark.read.parquet(f"{live}/delta={b:012d}"))
+    run(reads_at(1, 2, 5_001, 20_001))
+    run(reads_at(5_002, 30_001))
+    assert delta(0) == [(0, 2), (1, 1), (4, 1)]
+    assert delta(1) == [(1, 2), (6, 1)]  # not buckets 0 and 4
+    run(reads_at(3))
+    assert folders(live, "base") == ["base=000000000002"]
+    want = [(0, 3), (1, 2), (4, 1), (6, 1)]
+    assert rows(chunks.latest_histogram(spark, live)) == want
+
+    # The driver is lost after batch 2 was published, before it was committed: it is done again.
+    os.remove(f"{state}/commits/2")
+    if os.path.exists(f"{state}/commits/.2.crc"):
+        os.remove(f"{state}/commits/.2.crc")
+    stream = lookups.with_bucket_key(chunks.stream_chunks(spark, arrivals, reads_at(1).schema))
+    chunks.stream_histogram(stream, live, state, compact_every=3).awaitTermination()
     assert rows(chunks.latest_histogram(spark, live)) == want
+    assert rows(spark.read.parquet(f"{live}/base=000000000002")) == want
+
+
+def publisher(spark, df, staged, arrivals, pauses):
+    """Chunks are written aside and renamed into the watched folder, one after the other, then the sentinel is."""
+    df.withColumn("file_chunk", F.col("chunk")).write.partitionBy("file_chunk").parquet(str(staged))
+    os.makedirs(arrivals, exist_ok=True)
+
+    def work():
+        for k in sorted(os.listdir(staged)):
+            if k.startswith("file_chunk="):
+                time.sleep(pauses)
+                os.rename(staged / k, arrivals / k)
+        (arrivals / "end.txt").write_text("")
+
+    return threading.Thread(target=work)
+
+
+def test_live_stream_ends_with_the_sentinel(spark, tmp_path):
+    df = some_reads(spark).drop("key")
+    arrivals = tmp_path / "in"
+    writer = publisher(spark, df, tmp_path / "staged", arrivals, 0.7)
+    starts, looks = [], []
+
+    def start(available_now):
+        starts.append(available_now)
+        stream = chunks.stream_chunks(spark, str(arrivals), df.schema, 2)
+        return chunks.write_chunks(stream, str(tmp_path / "out"), str(tmp_path / "state"), lookups.with_bucket_key, available_now, "200 milliseconds")
+
+    writer.start()
+    last = chunks.run_until_end(spark, start, str(arrivals / "end.txt"), 0.3, lambda: looks.append(1))
+    writer.join()
+    assert starts == [False, True] and len(looks) > 2 and not last.isActive
+    want = rows(lookups.with_bucket_key(df), "qname", "key")
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "qname", "key") == want
+    # A driver that was lost calls it again: the sentinel is there, nothing is left to do.
+    chunks.run_until_end(spark, start, str(arrivals / "end.txt"))
+    assert starts == [False, True, True] and rows(spark.read.parquet(str(tmp_path / "out")), "qname", "key") == want
+
+
+def test_live_stream_that_fails_raises(spark, tmp_path):
+    df = some_reads(spark).drop("key")
+    arrivals = str(tmp_path / "in")
+    df.write.parquet(arrivals)
+
+    def start(available_now):
+        stream = chunks.stream_chunks(spark, arrivals, df.schema)
+        broken = lambda d: d.withColumn("x", F.raise_error(F.lit("broken")).cast("string"))
+        return chunks.write_chunks(stream, str(tmp_path / "out"), str(tmp_path / "state"), broken, available_now)
+
+    with pytest.raises(StreamingQueryException):
+        chunks.run_until_end(spark, start, f"{arrivals}/end.txt", 30)
 
 
 def test_stream_follows_arriving_chunks(spark, tmp_path):
