@@ -75,10 +75,17 @@ def bad_variants(lines: DataFrame, contigs: DataFrame) -> DataFrame:
     return _located(lines, contigs).where(F.col("contig_index").isNull() | F.col("pos").isNull()).select("file_no", "line_no", "line")
 
 
+VARIANT_ORDER = ("contig_index", "pos", "line")
+
+
 def distinct_variants(keyed_lines: DataFrame) -> DataFrame:
-    return keyed_lines.select("contig_index", "pos", "line").dropDuplicates()
+    return keyed_lines.select(*VARIANT_ORDER).dropDuplicates()
 
 
 def merge_vcf(keyed_lines: DataFrame) -> DataFrame:
-    """One ordered set of lines from all regions: header first, equal lines once."""
-    return distinct_variants(keyed_lines).orderBy("contig_index", "pos", "line")
+    """One ordered set of lines from all regions: header first, equal lines once.
+
+    Lines are dealt once, by ranges of the whole key: that brings equal lines together, so they are dropped where they
+    are, and partitions that are sorted inside are sorted as a whole. A line has as many copies as files that hold it.
+    """
+    return distinct_variants(keyed_lines.repartitionByRange(*VARIANT_ORDER)).sortWithinPartitions(*VARIANT_ORDER)

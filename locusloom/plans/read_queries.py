@@ -342,6 +342,45 @@ def regions_by_size(inp: Inputs) -> DataFrame:
     return regions.regions_by_size(stored_regions(inp))
 
 
+N_PARTITIONS = 5
+
+PLACED = f"""{REGION_MAP},
+    sizes AS (SELECT region, CAST(sum(n) AS BIGINT) AS n_reads, row_number() OVER (ORDER BY sum(n) DESC, region) AS place FROM map GROUP BY region),
+    fill AS (
+      SELECT CAST(0 AS BIGINT) AS place, CAST(-1 AS INT) AS region, CAST(0 AS BIGINT) AS n_reads, CAST(-1 AS INT) AS part,
+             list_transform(range({N_PARTITIONS}), lambda x: CAST(0 AS BIGINT)) AS loads
+      UNION ALL
+      SELECT s.place, s.region, s.n_reads, CAST(list_position(f.loads, list_min(f.loads)) - 1 AS INT),
+             list_transform(f.loads, lambda x, i: x + CASE WHEN i = list_position(f.loads, list_min(f.loads)) THEN s.n_reads ELSE 0 END)
+      FROM fill f JOIN sizes s ON s.place = f.place + 1),
+    placed AS (SELECT region, n_reads, part AS partition, CAST(sum(n_reads) OVER (PARTITION BY part) AS BIGINT) AS load FROM fill WHERE place > 0)"""
+
+
+@query(f"""WITH RECURSIVE {PLACED} SELECT region, n_reads, "partition", load FROM placed""")
+def region_placement(inp: Inputs) -> DataFrame:
+    return regions.place_regions(stored_regions(inp), N_PARTITIONS)
+
+
+@query(
+    f"""WITH RECURSIVE {PLACED}
+    SELECT p."partition", k.qname, p.region FROM keyed k JOIN map m ON m.key = k.key JOIN placed p ON p.region = m.region"""
+)
+def placed_reads(inp: Inputs) -> DataFrame:
+    tagged = region_reads(inp).select("region", "contig_index", "pos", "qname")
+    placed = regions.placed_reads(tagged, materialize(region_placement(inp), "placement"), N_PARTITIONS)
+    return placed.select(F.spark_partition_id().alias("partition"), "qname", "region")
+
+
+@query(
+    f"""WITH RECURSIVE {REGION_MAP}
+    SELECT m.region, k.chunk, k.key, count(*) AS n FROM keyed k JOIN map m ON m.key = k.key GROUP BY m.region, k.chunk, k.key"""
+)
+def region_blocks(inp: Inputs) -> DataFrame:
+    blocks = materialize(histogram.chunk_histogram(keyed_reads(inp)), "blocks")
+    totals = materialize(histogram.combine_histograms(blocks), "histogram")
+    return regions.region_blocks(blocks, materialize(regions.balanced_regions(totals, N_REGIONS), "regions"))
+
+
 # --- order and union ---------------------------------------------------------------------------
 
 

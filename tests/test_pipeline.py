@@ -35,6 +35,10 @@ def test_from_lines_to_variant_lines(spark, contigs):
     plan = pipeline.plan_regions(frame, contigs, 4)
     assert plan.reads.count() == 401 == plan.histogram.agg(F.sum("n")).first()[0]
 
+    at_work = pipeline.regions_at_work(plan, 3).select(F.spark_partition_id().alias("task"), "region", "qname")
+    assert at_work.count() == 401
+    assert all(r[0] == 1 for r in rows(at_work.groupBy("region").agg(F.count_distinct("task").alias("tasks")).select("tasks")))
+
     prepared = pipeline.prepare_reads(plan.reads, contigs)
     duplicates = prepared.where("flag & 1024 <> 0").count()
     assert duplicates == 401 - prepared.select("pos").distinct().count()

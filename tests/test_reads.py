@@ -153,3 +153,11 @@ def test_region_qc(spark):
     df = reads(spark, [read("ok"), read("short", cigar="9M"), read("odd", cigar="10Q"), read("un", flag=4, cigar="10M")])
     df = df.withColumn("region", F.lit(0)).withColumn("contig_index", F.lit(0))
     assert rows(H.region_qc(df)) == [(0, 4, 1, 2)]
+
+
+def test_merge_vcf_deals_lines_once(spark, contigs):
+    lines = spark.createDataFrame([(f, i, f"chr1\t{i}\tx") for f in "abc" for i in range(1, 60)] + [("a", 0, "##v"), ("b", 0, "##v")], "file_no string, line_no long, line string")
+    merged = ordering.merge_vcf(ordering.vcf_key(lines, contigs))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Exchange rangepartitioning")[0].count("Exchange") == 0 and plan.count("Exchange rangepartitioning") == 1
+    assert [r.line for r in merged.collect()] == ["##v"] + [f"chr1\t{i}\tx" for i in range(1, 60)]

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from helpers import rows, walk_regions
+from pyspark.sql import functions as F
 
 from locusloom.constants import KEY_SCALE
 from locusloom.operators import histogram as H
@@ -75,3 +76,26 @@ def test_hot_buckets_and_target(spark):
     histogram = frame(spark, [(1, 10), (2, 2), (3, 3)])
     assert rows(H.region_target(histogram, 4)) == [(15, 3)]
     assert rows(H.hot_buckets(histogram, 4)) == [(1, 10, 3)]
+
+
+def test_largest_regions_are_placed_first(spark):
+    sizes = [50, 40, 40, 30, 20, 20, 10, 5, 5, 1]
+    region_map = spark.createDataFrame([(k * 10 + j, n // 2 if j else n - n // 2, k) for k, n in enumerate(sizes) for j in (0, 1)], "key bigint, n bigint, region int")
+    loads, want = [0, 0, 0], []
+    for k, n in sorted(enumerate(sizes), key=lambda s: (-s[1], s[0])):
+        part = loads.index(min(loads))
+        loads[part] += n
+        want.append((k, n, part))
+    placed = R.place_regions(region_map, 3)
+    assert rows(placed) == sorted((k, n, part, loads[part]) for k, n, part in want)
+    assert max(loads) - min(loads) <= 20 and want[0] == (0, 50, 0)
+    alone = R.place_regions(region_map, 20).orderBy("partition").collect()
+    assert [r.partition for r in alone] == list(range(10)) and [r.n_reads for r in alone] == sizes
+
+    reads = spark.range(300).select((F.col("id") % 10).cast("int").alias("region"), F.lit(0).alias("contig_index"), (F.col("id") * 37 % 101).alias("pos"), F.concat(F.lit("r"), "id").alias("qname"))
+    found = R.placed_reads(reads, placed, 3).select(F.spark_partition_id().alias("task"), "region", "pos", "qname").collect()
+    home = {k: part for k, _, part in want}
+    assert len(found) == 300 and all(r.task == home[r.region] for r in found)
+    for task in range(3):
+        mine = [(r.region, r.pos, r.qname) for r in found if r.task == task]
+        assert mine == sorted(mine)
