@@ -7,6 +7,10 @@ documents, it is extended to windows of twice its length, the second level. A le
 together by one shuffle and a sort; a task then streams over them, so a window that is in a third of
 all documents needs no memory. Before the shuffle, equal windows of a slice of documents become one row.
 
+Short windows only choose candidates, so a hash they share by chance costs a look. Words are removed by windows of ``WIDTH``
+that agree in two independent hashes of 64 bits, the second one of their own words: among 10**13 windows, two different ones
+agree by chance with a probability of about 10**-13.
+
 At ``WIDTH`` no candidate is left: longer windows need no look, since windows of ``WIDTH`` cover all their words.
 
 Which document is earlier goes by ``doc_id``. Defined cases: null or empty text has no words and empty kept text; a null
@@ -70,13 +74,13 @@ def _short_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             doc = np.repeat(docs[first : first + len(raw)], counts)[: len(short)][picked]
             key = short[picked].view(np.int64)
             pairs = np.unique(np.rec.fromarrays((key, doc)))
-            keys, (head,), (more,) = gather(pairs["f0"], pairs["f1"])
+            (keys,), (head,), (more,) = gather([pairs["f0"]], pairs["f1"])
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(head), more], ["window", "doc", "doc_more"])
 
 
 def _in_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of each document that another one has too."""
-    for keys, (doc,), _ in shared(batches, "window", ["doc"]):
+    for (keys,), (doc,), _ in shared(batches, ["window"], ["doc"]):
         yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(keys)], ["doc", "window"])
 
 
@@ -99,13 +103,14 @@ def _long_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
             which = text[:n][candidate]
             place = np.flatnonzero(candidate) - starts[which] + tags[first : first + len(raw)][which]
-            keys, heads, more = gather(windows, docs[first : first + len(raw)][which], place)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(heads[0]), pa.array(heads[1]), *more], ["window", "doc", "place", "doc_more", "place_more"])
+            check = hash_windows(hash_words(raw, seed=1)[0], WIDTH)[candidate].view(np.int64)
+            keys, heads, more = gather([windows, check], docs[first : first + len(raw)][which], place)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, [*keys, *heads]), *more], ["window", "check", "doc", "place", "doc_more", "place_more"])
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows that an earlier document has too."""
-    for _, (doc, place), least in shared(batches, "window", ["doc", "place"]):
+    for _, (doc, place), least in shared(batches, ["window", "check"], ["doc", "place"]):
         late = doc > least
         yield pa.RecordBatch.from_arrays([pa.array(doc[late]), pa.array(place[late])], ["doc", "place"])
 
@@ -157,8 +162,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     short = looked_at.mapInArrow(_short_windows, "window bigint, doc bigint, doc_more array<bigint>")
     in_two = short.repartition("window").sortWithinPartitions("window", "doc").mapInArrow(_in_two, "doc bigint, window bigint")
     windows = in_two.groupBy("doc").agg(F.collect_set("window").alias("windows"))
-    long = looked_at.join(windows.hint("merge"), "doc").mapInArrow(_long_windows, "window bigint, doc bigint, place bigint, doc_more array<bigint>, place_more array<bigint>")
-    later = long.repartition("window").sortWithinPartitions("window", "doc").mapInArrow(_later, "doc bigint, place bigint")
+    long = looked_at.join(windows.hint("merge"), "doc").mapInArrow(_long_windows, "window bigint, check bigint, doc bigint, place bigint, doc_more array<bigint>, place_more array<bigint>")
+    later = long.repartition("window").sortWithinPartitions("window", "check", "doc").mapInArrow(_later, "doc bigint, place bigint")
     places = later.groupBy("doc").agg(F.collect_list("place").alias("places"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     done = mine.join(places.hint("merge"), "doc", "left").select(F.nullif("doc", F.lit(LAST)).cast(kind).alias("doc_id"), "text", "_hash", "_first", "places")
