@@ -4,8 +4,8 @@ Documents become token ids with an end id; longer ones are cut into full pieces
 lengths matter from there on. Full pieces are sequences already. The others are dealt at random to groups of about
 ``GROUP`` pieces, each packed in a task of its own: with so many pieces a group wastes less than one
 sequence more than the whole would. In a group every piece goes to the fullest bin that takes it (largest first);
-then the emptiest bins give to fuller ones by exchanges, one piece for one, one for two, or a plain move,
-each of which raises the sum of squared fills, until there are no more bins than the tokens need or nothing helps.
+then underfull bins exchange pieces (``bin_search``): one piece for one, one for two, or a plain move, each of which raises the
+sum of squared fills, until there are no more bins than any packing needs or no exchange is left.
 
 Defined cases: null or empty text is the end id alone; a null ``doc_id`` is kept as it is; repeated rows are packed
 as documents of their own; an empty table gives an empty result; columns other than ``doc_id`` and ``text``
@@ -14,12 +14,11 @@ are ignored.
 
 from __future__ import annotations
 
-import re
 import sys
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -28,22 +27,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import bin_search
 from .common import small_batches
+from .wordhash import hash_runs
 
 CAPACITY = 2048
 END = 0
 GROUP = 40_000
-# The emptiest bins, so many of them, give pieces to fuller ones; any bin may take them.
-SOURCES = 64
 # Ids of pieces are kept per worker, for at most twice so many (about 170 bytes each).
-KEPT = 200_000
+KEPT = 400_000
 # Texts are encoded together up to about so many code points.
 SLICE_CHARS = 1_500_000
 
-# Pieces of lower-cased text within U+0000..U+00FF as the tokenizer splits it (its rule is a fixed value).
-_LETTER = "a-zªµºß-öø-ÿ"
-_NUMBER = "0-9²³¹¼-¾"
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\t-\\r \\x85\\xa0{_LETTER}{_NUMBER}]+")
+# Characters U+0000..U+00FF of lower-cased text as the tokenizer sorts them (its rules are fixed values): white space, letters,
+# digits, of which each is a piece, and signs. Runs of letters or signs are pieces; so are these after a quote that stands alone.
+_SPACE, _LETTER, _NUMBER, _SIGN = range(4)
+_CLASS = np.full(256, _SIGN, np.uint8)
+_CLASS[[*range(9, 14), 32, 0x85, 0xA0]] = _SPACE
+_CLASS[[*range(ord("a"), ord("z") + 1), 0xAA, 0xB5, 0xBA, *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = _LETTER
+_CLASS[[*range(ord("0"), ord("9") + 1), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = _NUMBER
+_AFTER_QUOTE = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
+def pieces_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and length of each piece of lower-cased Latin-1 text that ends with white space."""
+    kind = _CLASS[data]
+    begins = (kind != _SPACE) & ((kind != np.concatenate(([_SPACE], kind[:-1]))) | (kind == _NUMBER))
+    quote = np.flatnonzero(begins & (data == ord("'")))
+    quote = quote[kind[quote + 1] == _LETTER]
+    one, two = data[quote + 1], data[np.minimum(quote + 2, len(data) - 1)]
+    for letters in _AFTER_QUOTE:
+        hit = one == ord(letters[0])
+        if len(letters) == 2:
+            hit &= two == ord(letters[1])
+        at = quote[hit]
+        begins[at + 1] = False
+        behind = at + 1 + len(letters)
+        begins[behind] |= kind[behind] == _LETTER
+    starts = np.flatnonzero(begins)
+    stops = np.flatnonzero(begins | (kind == _SPACE))  # a piece ends where the next or white space begins
+    return starts, stops[np.searchsorted(stops, starts, side="right")] - starts
 
 
 def pack_ids(ids: list[int]) -> bytes:
@@ -54,12 +77,12 @@ def pack_ids(ids: list[int]) -> bytes:
 
 
 class Memo:
-    """Ids by word; past ``limit`` words, those not asked for since the last such time are forgotten."""
+    """What is known by word (or hash of one); past ``limit`` words, those not asked for since the last such time are forgotten."""
 
     def __init__(self, limit: int):
         self.limit, self.now, self.before = limit, {}, {}
 
-    def missing(self, words: set[str]) -> list[str]:
+    def missing(self, words: Iterable) -> list:
         """Which of the words have to be added; the others are ready in ``now``."""
         if len(self.now) > self.limit:
             self.now, self.before = {}, self.now
@@ -75,7 +98,8 @@ class PieceIds:
     """Token ids of texts as bytes of little-endian 32-bit numbers.
 
     The tokenizer treats runs of letters or of signs, and single digits, one by one, so equal ones have equal ids and are
-    encoded once. Texts with characters beyond U+00FF, where its normalizer could join characters, with
+    encoded once. A worker tells pieces apart by a hash of 64 bits and keeps about a million of them, so two different ones
+    are taken for one another with a chance of some 10**-8 in a worker's life. Texts with characters beyond U+00FF, where the normalizer could join characters, with
     separators that Python takes for white space and it does not, or with special tokens go through it whole.
     """
 
@@ -87,20 +111,42 @@ class PieceIds:
         self.memo = Memo(KEPT)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self._plain(t) for t in texts]
-        pieces = [_PIECE.findall(t.lower()) if p else () for t, p in zip(texts, plain, strict=True)]
-        new = self.memo.missing(set().union(*pieces))
-        known = self.memo.now
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[p] = pack_ids(e.ids)
-        return [b"".join(map(known.__getitem__, w)) if p else self._whole(t) for t, w, p in zip(texts, pieces, plain, strict=True)]
+        raw = [self._plain(t) for t in texts]
+        found = iter(self._by_pieces([r for r in raw if r is not None]))
+        return [next(found) if r is not None else self._whole(t) for t, r in zip(texts, raw, strict=True)]
 
-    def _plain(self, text: str) -> bool:
+    def _plain(self, text: str) -> bytes | None:
+        """The text in lower case and Latin-1, if it can be cut into pieces."""
         try:
-            text.encode("latin-1")
+            raw = text.lower().encode("latin-1")
         except UnicodeEncodeError:
-            return False
-        return not any(s in text for s in self.odd)
+            return None
+        return None if any(s in text for s in self.odd) or (not text.isascii() and len(raw) != len(text)) else raw
+
+    def _by_pieces(self, raw: list[bytes]) -> list[bytes]:
+        joined = b"\n".join([*raw, b""])
+        data = np.frombuffer(joined, np.uint8)
+        starts, lengths = pieces_of(data)
+        if not len(starts):
+            return [b""] * len(raw)
+        inside = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+        hashes, first, which = np.unique(hash_runs(data[inside], lengths), return_index=True, return_inverse=True)
+        keys = hashes.tolist()
+        new = self.memo.missing(keys)
+        known = self.memo.now
+        at = first[np.searchsorted(hashes, np.array(new, np.uint64))]
+        pieces = [joined[s : s + n].decode("latin-1") for s, n in zip(starts[at].tolist(), lengths[at].tolist(), strict=True)]
+        for key, e in zip(new, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
+            known[key] = pack_ids(e.ids)
+        ids = [known[key] for key in keys]
+        size = np.array([len(i) for i in ids], np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        begin, n = (np.cumsum(size) - size)[which], size[which]
+        ends = np.cumsum(n)
+        out = flat[np.repeat(begin - ends + n, n) + np.arange(int(ends[-1]))].tobytes()
+        limits = np.cumsum([len(r) + 1 for r in raw])
+        stops = np.concatenate(([0], ends))[np.searchsorted(starts, limits)] * 4
+        return [out[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
     def _whole(self, text: str) -> bytes:
         return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -180,78 +226,8 @@ def best_fit(lengths: list[int]) -> list[list[int]]:
 
 
 def improve(lengths: list[int], bins: list[list[int]]) -> list[list[int]]:
-    """Exchanges that empty the emptiest bins, while there are more bins than the tokens need."""
-    size = np.array(lengths, np.int64)
-    home = np.empty(len(size), np.int64)
-    fill = np.zeros(len(bins), np.int64)
-    for b, items in enumerate(bins):
-        home[items] = b
-        fill[b] = size[items].sum()
-    least = -(-int(size.sum()) // CAPACITY)
-    members = [set(b) for b in bins]
-
-    def partner() -> np.ndarray:
-        """Per piece the smallest other piece of its bin, or none (-1)."""
-        out = np.full(len(size), -1, np.int64)
-        for items in members:
-            if len(items) > 1:
-                first, second = sorted(items, key=lambda i: (size[i], i))[:2]
-                for i in items:
-                    out[i] = first if i != first else second
-        return out
-
-    other = partner()
-
-    def refresh(b: int) -> None:
-        items = members[b]
-        ranked = sorted(items, key=lambda i: (size[i], i))[:2]
-        for i in items:
-            other[i] = -1 if len(items) == 1 else ranked[0] if i != ranked[0] else ranked[1]
-
-    def put(i: int, b: int) -> None:
-        a = int(home[i])
-        members[a].discard(i)
-        fill[a] -= size[i]
-        members[b].add(i)
-        fill[b] += size[i]
-        home[i] = b
-
-    def better(source: int) -> bool:
-        """One exchange that moves tokens from ``source`` to a fuller bin."""
-        for x in sorted(members[source], key=lambda i: (-size[i], i)):
-            room = CAPACITY - fill
-            open_bins = np.flatnonzero((room >= size[x]) & (fill >= fill[source]) & (fill > 0))
-            open_bins = open_bins[open_bins != source]
-            if len(open_bins):
-                target = int(open_bins[np.argmin(room[open_bins])])
-                put(x, target)
-                for b in (source, target):
-                    refresh(b)
-                return True
-            away = (home != source) & (fill[home] >= fill[source])
-            for two in (False, True):
-                out = size + np.where(other >= 0, size[other], 0) * two
-                gain = size[x] - out
-                able = np.flatnonzero(away & (gain > 0) & (gain <= room[home]) & ((other >= 0) | (not two)))
-                if len(able):
-                    left = room[home[able]] - gain[able]  # the fullest bin wins, then the largest gain
-                    y = int(able[np.lexsort((-gain[able], left))[0]])
-                    target, back = int(home[y]), [y, int(other[y])] if two else [y]
-                    for i in back:
-                        put(i, source)
-                    put(x, target)
-                    for b in (source, target):
-                        refresh(b)
-                    return True
-        return False
-
-    # Every exchange raises the sum of squared fills, so this ends.
-    while int((fill > 0).sum()) > least:
-        sources = np.flatnonzero((fill > 0) & (fill < CAPACITY))
-        sources = sources[np.argsort(fill[sources], kind="stable")][:SOURCES]
-        if not any(better(int(b)) for b in sources):
-            break
-    return [sorted(m) for m in members if m]
+    """Bins after all exchanges that raise the sum of squared fills, while there are more bins than any packing needs."""
+    return bin_search.improve(lengths, bins, CAPACITY)
 
 
 def pack(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -39,12 +39,24 @@ def slices(texts: Iterable[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         yield first, part
 
 
-def hash_words(raw: list[bytes], lower: bool = False, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per word of all texts in order: hash, first byte, end (both in the joined bytes); the joined bytes; and words per text.
+def hash_runs(data: np.ndarray, lengths: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash for each of the runs of bytes that ``data`` is made of.
 
-    Eight bytes at a time are mixed with their place in the word, the sum is mixed with its length. Equal words have equal
+    Eight bytes at a time are mixed with their place in the run, the sum is mixed with its length. Equal runs have equal
     hashes; different ones, however alike, share theirs with a chance of about 2**-64. The two seeds give independent hashes.
     """
+    ends = np.cumsum(lengths)
+    place = (np.arange(len(data)) - np.repeat(ends - lengths, lengths)).astype(np.uint64)
+    lane = place & np.uint64(7)
+    head = np.flatnonzero(lane == 0)
+    blocks = np.add.reduceat(data.astype(np.uint64) << (lane << np.uint64(3)), head)
+    mixed = mix(blocks ^ mix((place[head] >> np.uint64(3)) * _STEP + _SEEDS[seed]))
+    n_blocks = (lengths + 7) >> 3
+    return mix(np.add.reduceat(mixed, np.cumsum(n_blocks) - n_blocks) + lengths.astype(np.uint64) * _STEP)
+
+
+def hash_words(raw: list[bytes], lower: bool = False, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per word of all texts in order: hash, first byte, end (both in the joined bytes); the joined bytes; and words per text."""
     data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(space.astype(np.int8), prepend=1))
@@ -54,15 +66,7 @@ def hash_words(raw: list[bytes], lower: bool = False, seed: int = 0) -> tuple[np
     if len(starts) == 0:
         return np.zeros(0, np.uint64), starts, ends, data, np.zeros(len(raw), np.int64)
     own = data if not lower else _LOWER[data]
-    lengths = ends - starts
-    inside = ~space
-    place = (np.arange(len(data))[inside] - np.repeat(starts, lengths)).astype(np.uint64)
-    lane = place & np.uint64(7)
-    head = np.flatnonzero(lane == 0)
-    blocks = np.add.reduceat(own[inside].astype(np.uint64) << (lane << np.uint64(3)), head)
-    mixed = mix(blocks ^ mix((place[head] >> np.uint64(3)) * _STEP + _SEEDS[seed]))
-    first = np.cumsum((lengths + 7) >> 3) - ((lengths + 7) >> 3)
-    hashes = mix(np.add.reduceat(mixed, first) + lengths.astype(np.uint64) * _STEP)
+    hashes = hash_runs(own[~space], ends - starts, seed)
     limits = np.cumsum([len(r) + 1 for r in raw])
     counts = np.diff(np.searchsorted(starts, limits), prepend=0)
     return hashes, starts, ends, data, counts
