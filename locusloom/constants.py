@@ -26,6 +26,10 @@ PHRED_OFFSET = 33
 # SAM flag bits.
 FLAG_UNMAPPED = 4
 FLAG_REVERSE = 16
+FLAG_FIRST_MATE = 64
+FLAG_SECOND_MATE = 128
+FLAG_NOT_PRIMARY = 256
+FLAG_SUPPLEMENTARY = 2048
 FLAG_DUPLICATE = 1024
 
 # Read group written on every read.

@@ -6,10 +6,17 @@ folds copies before the shuffle) and joined back with hot groups sliced; no wind
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import DEDUP_MIN_LINES, FLAG_DUPLICATE
+from ..constants import (
+    DEDUP_MIN_LINES,
+    FLAG_DUPLICATE,
+    FLAG_FIRST_MATE,
+    FLAG_NOT_PRIMARY,
+    FLAG_SECOND_MATE,
+    FLAG_SUPPLEMENTARY,
+)
 from ..functions import cigar as C
 from ..functions.keys import div
 from ..functions.quality import duplicate_score
@@ -87,6 +94,71 @@ def mark_duplicates(
     return joined.withColumn("flag", F.coalesce(flag, F.col("flag"))).select(*reads.columns)
 
 
+def _has(flag: Column, bit: int) -> Column:
+    return flag.bitwiseAND(F.lit(bit)) != 0
+
+
+def _cell(position: Column) -> Column:
+    return F.coalesce(div(position, HOT_CELL), F.lit(-1))
+
+
+def mark_duplicate_pairs(
+    reads: DataFrame, min_hot_rows: int = MIN_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """Set flag 1024 on duplicates among pairs and among reads without an aligned mate.
+
+    Only primary alignments count; secondary, supplementary and unmapped ones pass unchanged. Two of them with one library and
+    name, one the first and one the second mate, are a pair; every other one is a fragment. An end is contig, unclipped
+    5' position and strand. Pairs of a library are duplicates when both their ends agree, whichever mate has which; the one
+    with the highest summed score (then the first name) is kept, and both mates of the others are marked. Fragments
+    at an end that some pair of the library has are all marked; else all but the best of them are. Names in one
+    library are those of one template: copies of a read under its own name are fragments and kept or marked together.
+
+    Mates meet by an aggregate over names, best ones by an aggregate over ends, and crowded stretches of the genome are
+    sliced where these are joined back; no window runs over a group.
+    """
+    flag = F.col("flag")
+    keyed = with_duplicate_key(reads)
+    counts = C.is_aligned(flag, F.col("cigar")) & ~_has(flag, FLAG_NOT_PRIMARY | FLAG_SUPPLEMENTARY)
+    keyed = keyed.withColumn("_counts", F.coalesce(counts, F.lit(False))).withColumn("_cell", _cell(F.col("five_prime")))
+    name = ["library", "qname"]
+    ends = keyed.where("_counts").withColumn("_score", F.coalesce(duplicate_score(F.col("qual")), F.lit(0)))
+    ends = ends.select(*name, "rname", "five_prime", "reverse", "_cell", "_score", "flag")
+    end = F.struct("rname", "five_prime", "reverse")
+    pairs = (
+        ends.groupBy(*name)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.count_if(_has(flag, FLAG_FIRST_MATE) & ~_has(flag, FLAG_SECOND_MATE)).alias("_first"),
+            F.count_if(_has(flag, FLAG_SECOND_MATE) & ~_has(flag, FLAG_FIRST_MATE)).alias("_second"),
+            F.min(end).alias("_low"),
+            F.max(end).alias("_high"),
+            F.sum("_score").alias("_score"),
+        )
+        .where("_n = 2 AND _first = 1 AND _second = 1")
+        .select(*name, "_low", "_high", "_score", F.col("_low.rname").alias("rname"), _cell(F.col("_low.five_prime")).alias("_cell"))
+    )
+    worse = F.struct((-F.col("_score")).alias("worse"), "qname")
+    cell = ["rname", "_cell"]
+    pair_key = ["library", *cell, "_low", "_high"]
+    best_pairs = pairs.groupBy(*pair_key).agg(F.min(worse)["qname"].alias("_best"))
+    hot = hot_keys(ends.select(*cell), cell, min_hot_rows, max_hot_keys)
+    judged = salted_join(pairs, best_pairs, pair_key, spread=["qname"], hot=hot).select(*name, (F.col("qname") != F.col("_best")).alias("_pair_copy"))
+
+    end_key = [*DUPLICATE_KEY, "_cell"]
+    best = ends.join(pairs.select(*name), name, "left_anti").groupBy(*end_key).agg(F.min(worse)["qname"].alias("_best"))
+    of_pairs = pairs.select("library", F.explode(F.array("_low", "_high")).alias("_end")).select("library", "_end.*")
+    of_pairs = of_pairs.distinct().select(*DUPLICATE_KEY, _cell(F.col("five_prime")).alias("_cell"), F.lit(True).alias("_by_pair"))
+    best = best.join(of_pairs, end_key, "left")
+
+    named = keyed.join(judged, name, "left")
+    joined = salted_join(named, best, end_key, "left", spread=["qname"], hot=hot)
+    alone = F.col("_pair_copy").isNull()
+    copy = F.when(alone, F.col("_by_pair") | (F.col("qname") != F.col("_best"))).otherwise(F.col("_pair_copy"))
+    marked = F.when(F.col("_counts") & F.coalesce(copy, F.lit(False)), flag.bitwiseOR(F.lit(FLAG_DUPLICATE))).otherwise(flag)
+    return joined.withColumn("flag", marked).select(*reads.columns)
+
+
 def duplicate_metrics(marked: DataFrame) -> DataFrame:
     """Per library: mapped reads examined, duplicates among them, and their share."""
     duplicate = F.col("flag").bitwiseAND(F.lit(FLAG_DUPLICATE)) != 0

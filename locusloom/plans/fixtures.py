@@ -94,6 +94,14 @@ SELECT doc_id AS rec_no, 2 AS mate, concat('d', doc_id) AS name,
 }
 
 # Views that only the registered queries need.
+VIEWS["paired_reads"] = """
+SELECT qname, flag | 65 AS flag, concat('LIB', chunk % 4) AS library, rname, pos, cigar, qual FROM {reads}
+UNION ALL
+SELECT qname, (CASE WHEN (flag & 16) <> 0 THEN 0 ELSE 16 END) | 129 | (CASE WHEN mapq % 11 = 0 THEN 256 ELSE 0 END) AS flag,
+  concat('LIB', chunk % 4) AS library, CASE WHEN rname = '*' THEN concat('NATION_', mapq % 25) ELSE rname END AS rname,
+  pnext + mapq % 2 AS pos, CASE WHEN mapq % 3 = 0 THEN '30M2S' ELSE '32M' END AS cigar, qual
+FROM {reads} WHERE mapq % 7 <> 0
+"""
 VIEWS["ignore_list"] = "SELECT contig FROM {contigs} WHERE ignored"
 VIEWS["mapped"] = """
 SELECT r.*, c.contig_index FROM {reads} r JOIN {contigs} c ON c.contig = r.rname

@@ -177,6 +177,32 @@ def mark_duplicates(inp: Inputs) -> DataFrame:
     return marked_reads(inp).select("qname", "library", "flag")
 
 
+@query(
+    f"""WITH scored AS (
+      SELECT qname, flag, library, rname, pos, cigar, {SCORE} AS score, (flag & 4) = 0 AND (flag & 2304) = 0 AS counts,
+        (flag & 16) <> 0 AS reverse,
+        CASE WHEN (flag & 16) <> 0
+             THEN pos - 1 + {SPAN} + coalesce(TRY_CAST(regexp_extract(cigar, '(\\d+)[SH]$', 1) AS BIGINT), 0)
+             ELSE pos - coalesce(TRY_CAST(regexp_extract(cigar, '^(\\d+)[SH]', 1) AS BIGINT), 0) END AS five
+      FROM {{paired_reads}}),
+    e AS (SELECT *, struct_pack(c := rname, f := five, r := reverse) AS e FROM scored WHERE counts),
+    pairs AS (SELECT library, qname, min(e) AS low, max(e) AS high, sum(score) AS score FROM e GROUP BY library, qname
+              HAVING count(*) = 2 AND count(*) FILTER ((flag & 192) = 64) = 1 AND count(*) FILTER ((flag & 192) = 128) = 1),
+    pair_place AS (SELECT library, qname, row_number() OVER (PARTITION BY library, low, high ORDER BY score DESC, qname) > 1 AS copy FROM pairs),
+    at_pair AS (SELECT library, low AS e FROM pairs UNION SELECT library, high FROM pairs),
+    single AS (SELECT e.library, e.qname, e.e, row_number() OVER (PARTITION BY e.library, e.e ORDER BY e.score DESC, e.qname) > 1 AS copy
+               FROM e ANTI JOIN pairs p ON p.library = e.library AND p.qname = e.qname),
+    single_copy AS (SELECT s.library, s.qname, s.e FROM single s WHERE s.copy
+                    UNION SELECT s.library, s.qname, s.e FROM single s JOIN at_pair a ON a.library = s.library AND a.e = s.e)
+    SELECT r.qname, r.library, r.rname, r.pos,
+      CASE WHEN r.counts AND (coalesce(p.copy, false) OR s.qname IS NOT NULL) THEN r.flag | 1024 ELSE r.flag END AS flag
+    FROM scored r LEFT JOIN pair_place p ON p.library = r.library AND p.qname = r.qname
+    LEFT JOIN single_copy s ON s.library = r.library AND s.qname = r.qname AND s.e = struct_pack(c := r.rname, f := r.five, r := r.reverse)"""
+)
+def mark_duplicate_pairs(inp: Inputs) -> DataFrame:
+    return duplicates.mark_duplicate_pairs(inp["paired_reads"]).select("qname", "library", "rname", "pos", "flag")
+
+
 @query(
     f"""WITH {MARKED} SELECT library, count(*) AS n_examined, count(*) FILTER ((flag & 1024) <> 0) AS n_duplicates,
       round(count(*) FILTER ((flag & 1024) <> 0) / count(*), 4) AS duplicate_rate

@@ -143,3 +143,32 @@ def test_a_read_without_qualities_is_not_the_best_copy(spark):
     df = reads(spark, [read("a"), read("b")]).withColumn("library", F.lit("l"))
     marked = duplicates.mark_duplicates(df.withColumn("qual", F.when(F.col("qname") == "b", F.col("qual"))))
     assert dict(rows(marked, "qname", "flag")) == {"a": 1024, "b": 0}
+
+
+@pytest.mark.parametrize("hot", [(1_000_000, 1_000_000), (3, 20)])
+def test_mark_duplicate_pairs(spark, hot):
+    def mates(name, one, two, q=20, flags=(0, 16), contig="chr1", library="L"):
+        quals = chr(33 + q) * 10
+        return [(name, 65 | flags[0], library, contig, one, "10M", quals), (name, 129 | flags[1], library, contig, two, "10M", quals)]
+
+    data = [
+        *mates("best", 100, 300, 30), *mates("copy", 100, 300, 20), *mates("clipped", 100, 300, 25),
+        *[(n, f ^ 192, *rest) for n, f, *rest in mates("swapped", 100, 300, 20)],  # the other mate first
+        *mates("other_end", 100, 301, 20), *mates("other_strand", 100, 300, 20, (0, 0)), *mates("other_contig", 100, 300, contig="chr2"),
+        *mates("other_library", 100, 300, library="M"),
+        ("at_pair", 0, "L", "chr1", 100, "10M", "~" * 10),  # a fragment beside a pair's end, however good
+        ("frag_best", 0, "L", "chr3", 50, "10M", "I" * 10), ("frag_copy", 0, "L", "chr3", 52, "2S8M", "5" * 10),
+        ("half", 65, "L", "chr3", 50, "10M", "5" * 10), ("half", 129 | 4, "L", "*", 0, "*", "I" * 10),  # its mate is unmapped
+        ("best", 65 | 256, "L", "chr1", 100, "10M", "I" * 10), ("best", 65 | 2048, "L", "chr3", 50, "10M", "I" * 10),
+        ("twice", 0, "L", "chr4", 9, "10M", "I" * 10), ("twice", 0, "L", "chr4", 9, "10M", "I" * 10), ("tie_b", 0, "L", "chr5", 9, "10M", "I" * 10), ("tie_a", 0, "L", "chr5", 9, "10M", "I" * 10),
+        ("nobody", 0, None, "chr1", 100, "10M", "I" * 10),
+    ]
+    data = [(n, f, lib, c, p + 3 if n == "clipped" and p == 100 else p, "3S7M" if n == "clipped" and p == 100 else g, q) for n, f, lib, c, p, g, q in data]
+    df = spark.createDataFrame(data, "qname string, flag int, library string, rname string, pos bigint, cigar string, qual string")
+    marked = duplicates.mark_duplicate_pairs(df, *hot)
+    assert marked.columns == df.columns and marked.count() == len(data)
+    got = sorted((r.qname, r.flag & 1023) for r in marked.where("flag & 1024 <> 0").collect())
+    want = [(n, 65) for n in ("clipped", "copy")] + [(n, 129 | 16) for n in ("clipped", "copy")] + [("swapped", 129), ("swapped", 65 | 16)]
+    want += [("at_pair", 0), ("frag_copy", 0), ("half", 65), ("tie_b", 0)]
+    assert got == sorted(want)
+    assert duplicates.mark_duplicate_pairs(df.where("false")).collect() == []
