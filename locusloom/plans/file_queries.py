@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import sinks
 from ..operators import filters, histogram, lookups, ordering
 from ..session import materialize, scratch_dir
-from ..sources import dictionary, fastq, intervals, lines, sam, vcf
+from ..sources import dictionary, fastq, intervals, lines, read_index, sam, vcf
 from ..streaming import chunks
 from .fixtures import Inputs
 from .interval_queries import KEYED_LINES
@@ -160,6 +160,37 @@ def sink_sorted_reads(inp: Inputs) -> DataFrame:
     return inp.spark.read.parquet(folder)
 
 
+def stored_sorted_reads(inp: Inputs) -> str:
+    folder = scratch_dir(inp.spark, "sorted")
+    sinks.sink_sorted_reads(region_reads(inp).select("region", "contig_index", "pos", "qname", "flag", "cigar"), folder)
+    return folder
+
+
+ALIGNED_END = """pos - 1 + CAST(list_sum(list_transform(regexp_extract_all(cigar, '(\\d+)[MDN=X]', 1), lambda x: CAST(x AS BIGINT))) AS BIGINT)"""
+INTERVAL = (7, 300_000, 420_000)  # contig, start, end
+
+
+@query(
+    f"""WITH ends AS (SELECT contig_index, pos, {ALIGNED_END} AS aend FROM {{mapped}}),
+    windows AS (SELECT contig_index, pos, unnest(range((pos - 1) // {read_index.WINDOW}, (aend - 1) // {read_index.WINDOW} + 1)) AS w FROM ends)
+    SELECT CAST(contig_index AS INT) AS contig_index, w AS "window", min(pos) AS first_pos, max(pos) AS last_pos, count(*) AS n FROM windows GROUP BY contig_index, w"""
+)
+def read_index_windows(inp: Inputs) -> DataFrame:
+    index = read_index.build_read_index(inp.spark, stored_sorted_reads(inp))
+    per_window = index.groupBy(F.col("contig_index").cast("int").alias("contig_index"), "window")
+    return per_window.agg(F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos"), F.sum("n").alias("n"))
+
+
+@query(
+    f"""SELECT contig_index, pos, qname FROM (SELECT *, {ALIGNED_END} AS aend FROM {{mapped}}) m
+    WHERE contig_index = {INTERVAL[0]} AND pos - 1 < {INTERVAL[2]} AND aend > {INTERVAL[1]}"""
+)
+def scan_interval(inp: Inputs) -> DataFrame:
+    folder = stored_sorted_reads(inp)
+    index = materialize(read_index.build_read_index(inp.spark, folder), "read-index")
+    return read_index.scan_interval(inp.spark, folder, index, *INTERVAL).select("contig_index", "pos", "qname")
+
+
 # --- variant files -----------------------------------------------------------------------------
 
 
