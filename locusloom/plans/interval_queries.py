@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..operators import bases, duplicates, filters, intervals, lookups, ordering, overlaps, pairs, pileup, recal
-from ..session import materialize
+from ..session import materialize, scratch_dir
 from . import pipeline
 from .fixtures import FORMULA_BASE_SQL, Inputs, formula_base
 from .read_queries import REGION_MAP, mapped_reads, region_reads
@@ -384,11 +387,21 @@ def merge_vcf(inp: Inputs) -> DataFrame:
 # --- mates -------------------------------------------------------------------------------------
 
 
-@query(
-    """SELECT a.rec_no, b.mate, b.name, b.seq, b.qual FROM
+PAIRED = """SELECT a.rec_no, b.mate, b.name, b.seq, b.qual FROM
       (SELECT rec_no FROM {fastq} WHERE mate = 1 INTERSECT SELECT rec_no FROM {fastq} WHERE mate = 2) a
       JOIN {fastq} b ON b.rec_no = a.rec_no"""
-)
+
+
+@query(PAIRED)
 def interleave_pairs(inp: Inputs) -> DataFrame:
     fastq = inp["fastq"]
     return pairs.interleave_pairs(fastq.where("mate = 1"), fastq.where("mate = 2")).orderBy("rec_no", "mate")
+
+
+@query(PAIRED)
+def interleave_stored(inp: Inputs) -> DataFrame:
+    fastq, names = inp["fastq"], [f"mates_{uuid.uuid4().hex}" for _ in range(2)]
+    n_buckets = max(4, pairs.buckets_for(fastq.where("mate = 1").count()))
+    for mate, name in enumerate(names, 1):
+        sinks.sink_mates(fastq.where(F.col("mate") == mate), name, scratch_dir(inp.spark, "mates"), n_buckets)
+    return pairs.interleave_stored(inp.spark, *names)

@@ -52,6 +52,16 @@ def sink_vcf_single(keyed_lines: DataFrame, path: str) -> None:
     merge_vcf(keyed_lines).select("line").write.text(path)
 
 
+def sink_mates(reads: DataFrame, name: str, path: str, n_buckets: int) -> None:
+    """One file of a pair (rec_no, name, seq, qual) as a table that lies by record ordinal, for ``pairs.interleave_stored``.
+
+    Both files take the same ``n_buckets`` (``pairs.buckets_for``). Records are shuffled once, here, to a task per bucket, so a
+    bucket is one sorted file; every later join of the mates needs no shuffle.
+    """
+    by_bucket = reads.select("rec_no", "name", "seq", "qual").repartition(n_buckets, "rec_no")
+    by_bucket.write.bucketBy(n_buckets, "rec_no").sortBy("rec_no").option("path", path).saveAsTable(name)
+
+
 def sink_fastq(reads: DataFrame, path: str, compression: str = "gzip") -> None:
     """Interleaved mates, one ``<chunk>.fq`` folder per chunk: columns chunk, rec_no, mate, name, seq, qual.
 
