@@ -1,11 +1,13 @@
 """Quality rules as weak supervision: each rule votes good, bad or abstains; EM weighs the votes.
 
 ``signals`` measures a text inside its row, with array functions: no row per word, no shuffle. Documents
-with equal votes are alike to the model, so EM runs on the table of vote patterns (at most 3 to the power of
-the number of rules rows, whatever the number of documents): the E step gives each pattern its probability of
-being good, the M step each rule's hit rates from the pattern counts. A document is kept when its
-posterior reaches ``KEEP``. The hit rates are bounded so tightly that one bad vote mostly outweighs all good ones;
-the README has the figures that speak against estimating them freely.
+with equal votes are alike to the model, so EM runs on the table of vote patterns, one row per pattern that occurs (at most 3 to
+the power of the number of rules, whatever the number of documents): the E step gives each pattern its probability of
+being good, the M step each rule's hit rates from the pattern counts, on good and on bad documents, which are free between a coin's
+and certainty. A rule learns what it is worth from how it agrees with the others, so every fault of a text is looked
+at by several rules (menus: symbols, single letters, short words; shouting: marks, capitals; and so on): a bad vote
+that stands alone among good ones is mostly outvoted, two that agree mostly aren't, and a rule that misfires on many
+clean documents loses its weight. A document is kept when its posterior reaches ``KEEP``.
 
 Defined cases: null text has no words; a null ``doc_id`` is kept as it is; repeated rows each get their row; an
 empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
@@ -24,17 +26,18 @@ from .common import SPACES, documents, let, words
 
 WINDOW = 8
 KEEP = 0.5
-ROUNDS = 100
-SMOOTH = 2.0
-# What EM may believe of a rule. On good documents: the rules' limits lie outside ordinary prose, so they accuse
-# hardly any of these. On bad ones a rule sees only its own fault among many, so its good vote is weak evidence.
-GOOD_LEAST, GOOD_MOST = 0.998, 0.999
-BAD_LEAST, BAD_MOST = 0.05, 0.4
-START = (0.998, 0.3)
-# Documents judged bad before any vote; EM moves it within these bounds.
-PRIOR, PRIOR_LEAST, PRIOR_MOST = 0.8, 0.5, 0.98
+ROUNDS = 300
+# EM begins with each rule right on this share of the good and of the bad documents that it votes on, and believes so with
+# the weight of ``SMOOTH`` documents; from there on the rates are free within the limits.
+SMOOTH = 10.0
+START = (0.98, 0.3)
+GOOD_LEAST, GOOD_MOST = 0.5, 0.9999
+BAD_LEAST, BAD_MOST = 0.01, 0.999
+PRIOR, PRIOR_LEAST, PRIOR_MOST = 0.8, 0.02, 0.98
+# The chance of good that EM begins with for patterns without, with one, and with more bad votes.
+AT_FIRST = (0.95, 0.5, 0.05)
 
-MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_distinct bigint, n_marks bigint, n_lines bigint"
+MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_distinct bigint, n_marks bigint, n_lines bigint, n_capitals bigint, n_digits bigint, n_short bigint, n_single bigint"
 
 
 def repeat_words(ones: Column) -> Column:
@@ -74,7 +77,10 @@ def signals(text: Column) -> Column:
     def without(c: Column, pattern: str) -> Column:
         return F.length(F.regexp_replace(c, pattern, ""))
 
-    def of_letters(letters: Column, ones: Column) -> Column:
+    def no_longer(items: Column, n: int) -> Column:
+        return F.size(F.filter(items, lambda w: F.length(w) <= n)).cast("long")
+
+    def of_letters(letters: Column, ones: Column, items: Column) -> Column:
         lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
         n = F.length(letters)
         return let(lines, lambda kept: F.struct(
@@ -86,9 +92,13 @@ def signals(text: Column) -> Column:
             F.size(F.array_distinct(ones)).cast("long").alias("n_distinct"),
             (n - without(letters, "[!?]{2,}+")).cast("long").alias("n_marks"),
             F.size(kept).cast("long").alias("n_lines"),
+            (n - without(letters, r"\p{Lu}++")).cast("long").alias("n_capitals"),
+            (n - without(letters, "[0-9]++")).cast("long").alias("n_digits"),
+            no_longer(items, 3).alias("n_short"),
+            no_longer(items, 1).alias("n_single"),
         ))
 
-    return let(words(text), lambda items: let(F.transform(items, lambda w: F.xxhash64(w)), lambda ones: let(F.array_join(items, ""), lambda letters: of_letters(letters, ones))))
+    return let(words(text), lambda items: let(F.transform(items, lambda w: F.xxhash64(w)), lambda ones: let(F.array_join(items, ""), lambda letters: of_letters(letters, ones, items))))
 
 
 def votes() -> dict[str, Column]:
@@ -104,38 +114,50 @@ def votes() -> dict[str, Column]:
     def vote(good: Column, bad: Column) -> Column:
         return F.when(bad, -1).when(good, 1).otherwise(0)
 
+    def share(name: str, of: Column) -> Column:
+        return F.col(name) / F.greatest(of, F.lit(1))
+
+    def from_words(least: int, of: Column) -> Column:
+        return F.when(n < least, 0).otherwise(of)
+
+    capitals, digits = share("n_capitals", chars), share("n_digits", chars)
+    short, single = share("n_short", n), share("n_single", n)
+    rich = variety * F.sqrt(n / 50.0)
     return {
-        "length": vote(n >= 40, n < 15),
-        "word_length": vote(mean.between(3, 8), (mean < 2.5) | (mean > 12)),
-        "symbols": vote(symbols < 0.02, symbols > 0.08),
-        "marks": vote(marks < 0.02, marks > 0.08),
-        "repeats": vote(repeats < 0.15, repeats > 0.3),
+        "length": vote(n >= 40, n < 20),
+        "word_length": from_words(20, vote(mean.between(4.2, 5.9), (mean < 3.9) | (mean > 6.4))),
+        "symbols": vote(symbols < 0.02, symbols > 0.05),
+        "marks": vote(marks < 0.02, marks > 0.05),
+        "capitals": from_words(20, vote(capitals < 0.08, capitals > 0.2)),
+        "digits": vote(digits < 0.03, digits > 0.1),
+        "short_words": from_words(20, vote(short.between(0.2, 0.42), (short < 0.12) | (short > 0.46))),
+        "single_letters": from_words(20, vote(single < 0.06, single > 0.15)),
+        "repeats": vote(repeats < 0.1, repeats > 0.3),
         "lines": F.when(lines < 3, 0).otherwise(vote(twice < 0.1, twice > 0.4)),
-        "variety": F.when(n < 30, 0).otherwise(vote(variety * F.sqrt(n / 50.0) > 0.35, variety * F.sqrt(n / 50.0) < 0.2)),
+        "variety": from_words(30, vote(rich > 0.6, rich < 0.35)),
     }
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[tuple[float, float]]]:
     """Prior of good, and per rule the chances of a right vote on good and on bad documents, given that it votes."""
     n_rules = len(patterns[0][0]) if patterns else 0
+    total = sum(n for _, n in patterns)
+    good = [AT_FIRST[min(2, sum(v < 0 for v in p))] for p, _ in patterns]
     prior, rates = PRIOR, [START] * n_rules
     for _ in range(ROUNDS):
-        good = [posterior(p, prior, rates) for p, _ in patterns]
-        total = sum(n for _, n in patterns)
-        new_prior = (sum(g * n for g, (_, n) in zip(good, patterns, strict=True)) + SMOOTH * PRIOR) / (total + SMOOTH)
-        new_prior = min(PRIOR_MOST, max(PRIOR_LEAST, new_prior))
-        new = []
+        weight = [(p, g * n, (1 - g) * n) for g, (p, n) in zip(good, patterns, strict=True)]
+        prior = (sum(w for _, w, _ in weight) + SMOOTH * PRIOR) / (total + SMOOTH)
+        prior = min(PRIOR_MOST, max(PRIOR_LEAST, prior))
+        rates = []
         for j in range(n_rules):
-            up, said, down, said_bad = 0.0, 0.0, 0.0, 0.0
-            for g, (p, n) in zip(good, patterns, strict=True):
-                if p[j]:
-                    said, said_bad = said + g * n, said_bad + (1 - g) * n
-                    up, down = up + g * n * (p[j] > 0), down + (1 - g) * n * (p[j] < 0)
+            said, up = (sum(w for p, w, _ in weight if p[j] in votes) for votes in ((1, -1), (1,)))
+            said_bad, down = (sum(w for p, _, w in weight if p[j] in votes) for votes in ((1, -1), (-1,)))
             hit = (up + START[0] * SMOOTH) / (said + SMOOTH), (down + START[1] * SMOOTH) / (said_bad + SMOOTH)
-            new.append((min(GOOD_MOST, max(GOOD_LEAST, hit[0])), min(BAD_MOST, max(BAD_LEAST, hit[1]))))
-        moved = abs(new_prior - prior) + sum(abs(a[0] - b[0]) + abs(a[1] - b[1]) for a, b in zip(new, rates, strict=True))
-        prior, rates = new_prior, new
-        if moved < 1e-7:
+            rates.append((min(GOOD_MOST, max(GOOD_LEAST, hit[0])), min(BAD_MOST, max(BAD_LEAST, hit[1]))))
+        new = [posterior(p, prior, rates) for p, _ in patterns]
+        moved = max((abs(a - b) for a, b in zip(new, good, strict=True)), default=0.0)
+        good = new
+        if moved < 1e-9:
             break
     return prior, rates
 
