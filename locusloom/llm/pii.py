@@ -6,15 +6,14 @@ Candidates with equal features fall into one cell, so all that the corpus has to
 table of counts per cell; the trees are fitted to that table on the driver. Its size is bounded by the
 features' levels, whatever the number of documents. The fitted trees are plain ``CASE`` expressions again.
 
-There are no labelled spans, so the label is distant: a candidate counts as personal if it is a strict
-match or lies within one. Cells are counted in two folds of documents; one fits the trees, the other sets
-each generator's threshold, the lowest score above which nearly all candidates of that generator are
-personal. Strict matches are always kept, whatever their score.
-
-What the strict rules can't see would be labelled as not personal, so three generators have a precision prior that is
-not learnt (``EVIDENT``): an address spelled with a bracketed "at" is personal by its format alone, a local phone
-number or a person's number where a word shortly before says so. Such candidates are always kept as well; they don't
-change the labels that trees and thresholds are fitted to.
+There are no labelled spans, so the label is distant: a candidate counts as personal if a strict rule proves it, or if a
+word shortly before names it (``EVIDENT``: a phone number after "call", a person's number after "ssn"; an address spelled
+with a bracketed "at" names itself). These are always kept. The naming words are no features, so trees must
+tell the others by their format and the rest of their surroundings: where candidates of such a look are mostly named, those
+without a name go too, and where they mostly aren't (part numbers, say), they stay. Cells are counted in two folds of
+documents; one fits the trees, the other sets each generator's threshold, the lowest score from which on at least
+``TRUST`` of its candidates are named, among ``SUPPORT`` at least; without so many there is none, and only named ones
+go. Candidates inside a strict match are part of it and not looked at.
 
 Defined cases: null text is an empty text without spans; a null ``doc_id`` is kept as it is; repeated rows each get
 their row; an empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored by
@@ -48,10 +47,11 @@ LOOSE = {
     "number": r"[0-9](?:[\x20.-]?[0-9]){7,}+",
     "person_id": r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
 }
-# Candidates of these kinds are taken as personal where the text shortly before them, in lower case, matches.
+# Candidates of these kinds are personal where the text shortly before them, in lower case, matches: the distant labels.
 EVIDENT = {
     "mail_words": "",
     "local_phone": r"phone|\b(?:tel|call|cell|fax)\b|mobil|whatsapp",
+    "number": r"\biban\b|\baccount\b|\bcard\b",
     "person_id": r"\bssn\b|social security|passport",
 }
 KINDS = [*STRICT, *LOOSE]
@@ -59,7 +59,9 @@ NEAR = 24  # code points before a candidate that count as its surroundings
 
 # Features: name, number of levels. Levels are 0 .. n - 1.
 LEVELS = {"kind": len(KINDS), "digits": 8, "signs": 4, "luhn": 2, "plus": 2, "word": 5, "before": 3, "after": 3}
-ROUNDS, RATE, PRECISION = 25, 0.4, 0.98
+ROUNDS, RATE = 25, 0.4
+# Share of named candidates from a threshold on, and how many candidates must speak for one.
+TRUST, SUPPORT = 0.6, 20
 
 CANDIDATE = "start:int,kind:int,end:int,strict:boolean,evident:boolean," + ",".join(f"{n}:int" for n in LEVELS if n != "kind")
 
@@ -102,11 +104,12 @@ def _candidate(text: Column, kind: str, m: Column) -> Column:
     digits = _digits(value)
     n = F.length(digits)
     near = F.lower(F.substring(text, F.greatest(start - NEAR + 1, F.lit(1)), F.least(start, F.lit(NEAR))))
+    # What leads to the candidate, naming words left out.
     word = (
-        F.when(near.rlike(r"phone|tel|call|mobil|fax|whatsapp"), 1)
-        .when(near.rlike(r"card|visa|pay|credit|iban|account"), 2)
-        .when(near.rlike(r"mail|contact|write to"), 3)
-        .when(near.rlike(r"ssn|social|passport|born|licen[cs]e no"), 4)
+        F.when(near.rlike(r"(?:\b(?:part|lot|order|item|model|serial|invoice|ref|no|nr|id|version|isbn)\b[.#:\x20]*)$"), 3)
+        .when(near.rlike(r"\b(?:is|at|on|to|my|me|or|under)[\x20:]*$"), 1)
+        .when(near.rlike(r"[:=#][\x20]*$"), 2)
+        .when(near.rlike(r"[a-z][\x20]*$"), 4)
         .otherwise(0)
     )
 
@@ -146,15 +149,20 @@ def candidates(text: Column) -> Column:
 
 
 def cells(found: DataFrame) -> list[dict]:
-    """Counts of candidates and of personal ones per feature cell and fold; bounded by the levels, not by the data."""
-    inside = F.transform(
-        "found", lambda c: F.struct(c.alias("c"), F.exists("found", lambda s: s["strict"] & (s["start"] <= c["start"]) & (s["end"] >= c["end"])).alias("y"))
-    )
-    rows = found.select((F.pmod(F.xxhash64("doc_id"), F.lit(2))).cast("int").alias("fold"), F.explode(inside).alias("x"))
+    """Counts of candidates and of proved or named ones per feature cell and fold; bounded by the levels, not by the data."""
+    labelled = F.transform(_apart("found"), lambda c: F.struct(c.alias("c"), (c["strict"] | c["evident"]).alias("y")))
+    rows = found.select((F.pmod(F.xxhash64("doc_id"), F.lit(2))).cast("int").alias("fold"), F.explode(labelled).alias("x"))
     names = [F.col(f"x.c.{n}").alias(n) for n in LEVELS]
     return [r.asDict() for r in rows.select("fold", *names, F.col("x.y").cast("int").alias("y")).groupBy("fold", *LEVELS).agg(F.count("*").alias("n"), F.sum("y").alias("y")).collect()]
 
 
+def _apart(found: Column | str) -> Column:
+    """Candidates without those of the loose kinds that lie inside a strict match."""
+    found = F.col(found) if isinstance(found, str) else found
+    strict = F.filter(found, lambda s: s["strict"])
+    return F.filter(found, lambda c: (c["kind"] < len(STRICT)) | ~F.exists(strict, lambda s: (s["start"] <= c["start"]) & (s["end"] >= c["end"])))
+
+
 def _leaf(rows: list[tuple]) -> tuple[float, float, float]:
     """Newton step, its gain, and the weight of rows (features, n, gradient, curvature)."""
     g, h = sum(r[2] for r in rows), sum(r[3] for r in rows)
@@ -224,7 +232,7 @@ def fit(table: list[dict]) -> tuple[list, dict[int, float]]:
         best = math.inf
         for s, rows_n, rows_y in sorted(scored, reverse=True):
             n, y = n + rows_n, y + rows_y
-            if y >= PRECISION * n:
+            if n >= SUPPORT and y >= TRUST * n:
                 best = s
         thresholds[kind] = best
     return trees, thresholds
@@ -242,7 +250,7 @@ def _score(trees: list, c: Column) -> Column:
 
 
 def select(found: Column, model: tuple[list, dict[int, float]]) -> Column:
-    """The spans (start, kind, end) that stay: strict and evident ones, and others whose score reaches their kind's threshold."""
+    """The spans (start, kind, end) that stay: proved and named ones, and others whose score reaches their kind's threshold."""
     trees, thresholds = model
 
     def enough(c: Column) -> Column:
@@ -253,7 +261,7 @@ def select(found: Column, model: tuple[list, dict[int, float]]) -> Column:
                 bound = F.when(c["kind"] == kind, F.lit(t - 1e-9)).otherwise(bound)
         return c["strict"] | c["evident"] | (_score(trees, c) >= bound)
 
-    return F.transform(F.filter(found, enough), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
+    return F.transform(F.filter(_apart(found), enough), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
 
 
 def find(docs: DataFrame) -> DataFrame:
