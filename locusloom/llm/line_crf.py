@@ -4,9 +4,9 @@ Each line is described by numbers about its characters and words and by those of
 after it. A two-state chain turns them, with transitions between neighbours, into each line's probability of
 being good (forward-backward marginals); their mean, weighted by line length, is the text's score.
 
-The field is fitted on the driver to a bounded sample (``MAX_FIT`` documents, those with the smallest
-hash of their id) of labelled documents: a line's training label is its document's. Long texts train with evenly
-spread stretches of lines, so one text can't fill memory; scoring uses every line. Fitting is deterministic.
+The field is fitted on the driver to a bounded sample of labelled documents: a line's training label is its document's.
+A document trains with all its lines. The sample is the documents with the smallest hash of their id, at most ``MAX_FIT`` of
+them, of at most ``LONGEST_FIT`` lines each and ``MAX_FIT_LINES`` together. Fitting is deterministic. Scoring uses every line.
 
 Defined cases: null or empty text (no line with a word) is scored from the share of good documents in the
 sample, 0.5 without any labels; labels that are null or belong to no document are ignored, of several labels
@@ -23,14 +23,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches
 from .wordhash import hash_words, slices
 
+# The sample that the field is fitted to: documents, lines of one, lines of all.
 MAX_FIT = 4_000
-FIT_LINES = 48
+LONGEST_FIT = 1_000
+MAX_FIT_LINES = 100_000
 FOLDS = 5
 THRESHOLD = 0.3
 EPOCHS, RATE, RIDGE = 150, 0.1, 1e-3
@@ -154,14 +156,6 @@ def marginals(field: Field, features: np.ndarray, counts: np.ndarray) -> tuple[n
     return both[:, 1] / np.maximum(both.sum(axis=1), 1e-300), pairs
 
 
-def stretches(n_lines: int) -> list[tuple[int, int]]:
-    """Which lines (start, number) of a text train: all, or ``FIT_LINES`` in 4 stretches from its begin to its end."""
-    if n_lines <= FIT_LINES:
-        return [(0, n_lines)] if n_lines else []
-    width = FIT_LINES // 4
-    return [(int(k * (n_lines - width) / 3), width) for k in range(4)]
-
-
 def fit(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, prior: float) -> Field:
     """Gradient ascent (Adam) on the conditional likelihood of chains of lines, every chain weighing alike."""
     weights = np.zeros(N_OWN * 3 + 1)
@@ -206,7 +200,7 @@ def held_out() -> Column:
 def train(docs: DataFrame, labels: DataFrame) -> Field:
     """A field from at most ``MAX_FIT`` labelled documents outside the held-out fold.
 
-    The driver gets at most MAX_FIT * FIT_LINES rows of features, about 30 MB.
+    The driver gets at most ``MAX_FIT_LINES`` rows of features, 15 MB.
     """
     small_batches(docs.sparkSession)
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -217,22 +211,25 @@ def train(docs: DataFrame, labels: DataFrame) -> Field:
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             features, _, counts = line_features(batch["text"].tolist())
-            starts = np.concatenate(([0], np.cumsum(counts)))
-            chains = [[(starts[i] + a, n) for a, n in stretches(int(c))] for i, c in enumerate(counts)]
+            ends = np.cumsum(counts)
+            fits = counts <= LONGEST_FIT
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"],
                 "quality": batch["quality"],
-                "sizes": [[int(n) for _, n in c] for c in chains],
-                "features": [b"".join(features[a : a + n].tobytes() for a, n in c) for c in chains],
-            })
+                "n_lines": counts,
+                "features": [features[e - n : e].tobytes() for e, n in zip(ends, counts, strict=True)],
+            })[fits]
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = sample.mapInPandas(describe, f"doc_id {kind}, quality int, sizes array<int>, features binary").collect()
+    described = sample.mapInPandas(describe, f"doc_id {kind}, quality int, n_lines bigint, features binary")
+    upto = F.sum("n_lines").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # over the sample's rows
+    rows = described.withColumn("_upto", upto).where(F.col("_upto") <= MAX_FIT_LINES).collect()
     rows.sort(key=lambda r: r.doc_id)
     x = np.frombuffer(b"".join(r.features for r in rows), np.float32).reshape(-1, N_OWN * 3 + 1)
-    counts = np.array([n for r in rows for n in r.sizes], np.int64)
-    y = np.array([r.quality for r in rows for _ in r.sizes], np.int64)
-    return fit(x, counts, y, sum(r.quality for r in rows) / len(rows) if rows else 0.5)
+    counts = np.array([r.n_lines for r in rows], np.int64)
+    y = np.array([r.quality for r in rows], np.int64)
+    lines = counts > 0
+    return fit(x, counts[lines], y[lines], sum(r.quality for r in rows) / len(rows) if rows else 0.5)
 
 
 def score(docs: DataFrame, labels: DataFrame, field: Field | None = None) -> DataFrame:

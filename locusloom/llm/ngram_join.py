@@ -458,7 +458,44 @@ def join(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest id; rows with a null id all stay."""
-    stay = materialize(join(docs, width, like).where("doc_id = component_id").select("doc_id").distinct(), "kept-ids")
-    one = docs.where(F.col("doc_id").isNotNull()).join(stay.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one document of each component, that with the smallest id; rows with a null id all stay.
+
+    Here rows with one id are documents of their own if their texts differ: each stays unless it is linked with an earlier one,
+    by id, then by text. Rows with equal id and text are one; of these the one whose other columns come first in order stays.
+    """
+    known = docs.where(F.col("doc_id").isNotNull())
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    several = known.select("doc_id", text.alias("_sha")).groupBy("doc_id").agg((F.min("_sha") != F.max("_sha")).alias("_several"))
+    several = materialize(several.where("_several").select("doc_id"), "repeated-ids")
+    if several.isEmpty():
+        return _first_rows(known, _kept_ids(known, width, like), docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    # Documents of a repeated id get ids below all others, and their own id back where it is asked which comes first.
+    kind = docs.schema["doc_id"].dataType
+    low = known.agg(F.min(F.col("doc_id").cast("long")).alias("_low"))  # one row
+    apart = known.join(several, "doc_id", "left_semi")
+    named = apart.select("doc_id", text.alias("_sha")).distinct().withColumn("_n", F.monotonically_increasing_id())
+    named = materialize(named.crossJoin(F.broadcast(low)).select("doc_id", "_sha", (F.col("_low") - 1 - F.col("_n")).alias("_vertex")), "named-texts")
+    apart = apart.withColumn("_sha", text).join(named, ["doc_id", "_sha"])
+    alone = known.join(several, "doc_id", "left_anti")
+    vertices = alone.select(F.col("doc_id").cast("long").alias("doc_id"), "text").unionByName(apart.select(F.col("_vertex").alias("doc_id"), "text"))
+    components = materialize(join(vertices, width, like).select(F.col("doc_id").alias("_vertex"), "component_id").distinct(), "named-components")
+    placed = components.join(named.select("_vertex", F.col("doc_id").cast("long").alias("_id"), "_sha"), "_vertex", "left")
+    order = F.struct(F.coalesce("_id", "_vertex").alias("id"), F.coalesce("_sha", F.lit("")).alias("sha"), F.col("_vertex").alias("vertex"))
+    stay = materialize(placed.groupBy("component_id").agg(F.min(order)["vertex"].alias("_vertex")).select("_vertex"), "kept-ids")
+    kept = _first_rows(alone, stay.select(F.col("_vertex").cast(kind).alias("doc_id")), docs.columns)
+    kept_apart = _first_rows(apart.drop("_sha"), stay, docs.columns, "_vertex")
+    return kept.unionByName(kept_apart).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def _kept_ids(docs: DataFrame, width: int, like: int) -> DataFrame:
+    return materialize(join(docs, width, like).where("doc_id = component_id").select("doc_id").distinct(), "kept-ids")
+
+
+def _first_rows(docs: DataFrame, stay: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
+    """Of the rows of each key that stays, the first in the order of its columns (those that can be ordered)."""
+    ordered = [c for c, kind in docs.select(*columns).dtypes if "map<" not in kind and kind != "variant"]
+    rest = [c for c in columns if c not in ordered]
+    own = docs.join(stay.hint("merge"), key, "left_semi")
+    row = F.struct(*ordered, *rest)
+    least = F.min(F.struct(*ordered)) if not rest else F.min_by(row, F.struct(*ordered))
+    return own.groupBy(F.col(key).alias("_key")).agg(least.alias("_row")).select("_row.*").select(*columns)

@@ -67,3 +67,28 @@ def test_stage_on_the_documents_of_the_stage_before(spark):
     rows = [(r.doc_id, r.text) for r in good.collect()]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == kept(rows)
+
+
+def test_unlike_texts_of_one_id_are_documents_of_their_own(spark):
+    words = lambda tag, n=40: " ".join(f"{tag}{k}" for k in range(n))
+    rows = [
+        (5, words("a"), "x"), (1, words("a") + " end", "y"),  # 5 is linked with 1 by this text
+        (5, words("b"), "x"),  # and stays with this one
+        (7, words("c"), "q"), (7, words("c"), "p"), (7, words("d"), "p"), (8, words("d"), "p"), (9, words("c") + " end", "r"),
+        (10, None, "n"), (10, "", "m"), (11, None, "n"), (None, words("a"), "z"), (None, words("a"), "z"), (3, words("e"), None), (3, words("e"), "s"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, (r.text or "")[:2], r._row) for r in kept.collect()), key=str)
+    want = [(1, "a0", "y"), (5, "b0", "x"), (7, "c0", "p"), (7, "d0", "p"), (10, "", "n"), (11, "", "n"), (None, "a0", "z"), (None, "a0", "z"), (3, "e0", None)]
+    assert got == sorted(want, key=str)
+    again = sorted(((r.doc_id, (r.text or "")[:2], r._row) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(7), "").collect()), key=str)
+    assert again == got
+
+
+def test_rows_of_one_id_and_text_are_one(spark):
+    rows = [(2, "one two three four five six", "b", {"k": 1}), (2, "one two three four five six", "a", {"k": 2}), (4, "other words here", "c", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string, tags map<string, int>")
+    got = sorted((r.doc_id, r.lang, r.tags) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == [(2, "a", {"k": 2}), (4, "c", None)]
