@@ -12,11 +12,19 @@ def _quoted(text: str) -> str:
 
 
 def _secret_scan() -> str:
+    """Base matches are leftmost and not overlapping; ones with a short value are dropped after matching."""
     each = []
-    for kind, rule in enumerate(secret_scan.RULES):
-        pattern = _quoted(rule.pattern)
-        each.append(f"SELECT doc_id, {kind} AS kind, '{rule.name}' AS name, regexp_extract_all(text, {pattern}) AS found, string_split_regex(text, {pattern}) AS gaps FROM d")
-    n_base = len(secret_scan.BASE_RULES)
+    for kind, rule in enumerate([*secret_scan.RULES, secret_scan.RULES[0]]):
+        inside = kind == len(secret_scan.RULES)
+        value = rule.whole.removeprefix(rule.head).replace("++", "+") if rule.head and not inside else None
+        pattern = _quoted(f"{rule.head}({value})" if value else rule.pattern)
+        values = f"regexp_extract_all(text, {pattern}, 1)" if value else "NULL"
+        name = secret_scan.INSIDE if inside else rule.name
+        each.append(
+            f"SELECT doc_id, {kind} AS kind, '{name}' AS name, {rule.least if value else 0} AS least, regexp_extract_all(text, {pattern}) AS found, "
+            f"{values} AS vals, string_split_regex(text, {pattern}) AS gaps FROM d"
+        )
+    n_base, n_inside = len(secret_scan.BASE_RULES), len(secret_scan.RULES)
     counts = ", ".join(f"count(*) FILTER (kind = {k}) AS n_{r.name}" for k, r in enumerate(secret_scan.BASE_RULES))
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -24,8 +32,9 @@ m AS ({" UNION ALL ".join(each)}),
 s AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m WHERE len(found) > 0),
 p AS (SELECT doc_id, kind, name,
              CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a,
-             length(found[i]) AS n FROM s),
-t AS (SELECT doc_id, kind, a, concat(name, ':', a, ':', a + n) AS span FROM p)
+             length(found[i]) AS n FROM s WHERE vals IS NULL OR length(vals[i]) >= least),
+t AS (SELECT doc_id, kind, a, concat(name, ':', a, ':', a + n) AS span FROM p
+      WHERE kind < {n_inside} OR NOT EXISTS (SELECT 1 FROM p q WHERE q.kind = 0 AND q.doc_id = p.doc_id AND q.a = p.a))
 SELECT d.doc_id, {counts},
        sha256(coalesce(string_agg(span, ',' ORDER BY a, kind) FILTER (kind < {n_base}), '')) AS base_sha256,
        coalesce(string_agg(span, ',' ORDER BY a, kind), '') AS spans

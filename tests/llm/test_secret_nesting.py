@@ -22,3 +22,15 @@ def test_nested_keywords(spark):
         assert (r.n_assign, r.base_sha256) == (sum(s[0] == "assign" for s in want), brute.digest(want, ["assign", "access", "hex"]))
     assert rows[0].n_assign == 0 and rows[0].spans == "assign_inside:7:31"
     assert rows[3].spans == "assign:16:35"
+
+
+def test_the_sql_states_the_same(spark):
+    import duckdb
+
+    from locusloom.llm.sql import ORACLES
+
+    docs = spark.createDataFrame(list(enumerate([*TEXTS, None, "plain"])), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = sorted(con.execute(ORACLES["op1_secret_scan"]).fetchall())
+    assert sorted(tuple(r) for r in secret_scan.report(docs).collect()) == want
