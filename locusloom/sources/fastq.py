@@ -19,23 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import div
-from .lines import MAX_BROADCAST_SPLITS
+from .lines import MAX_BROADCAST_SPLITS, split_lines, split_runs
 
 RECORD = 4
 RECORDS = "file string, _rec bigint, name string, seq string, qual string"
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
-    """Stretches of rows of one split: (file, first byte), first row, row behind the last."""
-    if batch.num_rows == 0:
-        return
-    files = batch.column("file").dictionary_encode()
-    number, block = files.indices.to_numpy(), batch.column("block").to_numpy()
-    edge = np.flatnonzero((number[1:] != number[:-1]) | (block[1:] != block[:-1])) + 1
-    for begin, end in zip([0, *edge.tolist()], [*edge.tolist(), batch.num_rows], strict=True):
-        yield (files.dictionary[int(number[begin])].as_py(), int(block[begin])), begin, end
-
-
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per split its number of lines, its first three and its last three."""
     key, n, heads, tails = None, 0, [], []
@@ -44,7 +33,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pylist([{"file": key[0], "block": key[1], "n": n, "heads": heads, "tails": tails}], _EDGE_SCHEMA)
 
     for batch in batches:
-        for found, begin, end in _runs(batch):
+        for found, begin, end in split_runs(batch):
             if found != key:
                 if key is not None:
                     yield row()
@@ -72,7 +61,7 @@ def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return pa.RecordBatch.from_arrays(columns, ["file", "_rec", "name", "seq", "qual"])
 
     for batch in batches:
-        for found, begin, end in _runs(batch):
+        for found, begin, end in split_runs(batch):
             if found != key:
                 if alone and len(held):
                     yield records(held)
@@ -111,23 +100,14 @@ def scan_fastq(spark: SparkSession, folder: str, interleaved: bool = True) -> Da
     Returns (chunk, file, rec_no, mate, name, seq, qual). ``rec_no`` counts records of a file from 0;
     with ``interleaved`` two records in a row are the mates 1 and 2 of one ``rec_no``. A last record that lacks lines has nulls.
     """
-    about = F.col("_metadata")
-    text = spark.read.option("recursiveFileLookup", "true").text(os.path.join(folder, "*.fq*"))
-    lines = text.select(
-        about["file_path"].alias("file"),
-        about["file_block_start"].alias("block"),
-        (about["file_block_length"] >= about["file_size"]).alias("alone"),
-        F.col("value").alias("line"),
-    )
-    # Compressed files of a kind that is never split are not even opened here: the name is known from the listing.
-    cut = text.where(~about["file_name"].endswith(".gz") & (about["file_block_length"] < about["file_size"]))
-    cut = cut.select(about["file_path"].alias("file"), about["file_block_start"].alias("block"), F.col("value").alias("line"))
+    path = os.path.join(folder, "*.fq*")
+    lines, cut = split_lines(spark, path, recursiveFileLookup="true")
     splits = cut.mapInArrow(_edges, "file string, block bigint, n bigint, heads array<string>, tails array<string>")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
     splits = splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
 
     before = splits.select("file", "block", "before")
-    if text.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
+    if lines.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
         before = F.broadcast(before)
     inside = lines.join(before, ["file", "block"], "left").mapInArrow(_whole_records, RECORDS)
     records = (
