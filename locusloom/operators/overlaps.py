@@ -93,7 +93,9 @@ def _meet(left: DataFrame, right: DataFrame, width: int, min_rows: int, max_keys
     levels = levels_in_use(right, "_rs", "_re", width)
     keys = ["contig", "_slot", "_bin"]
     hot = hot_keys(binned_left(left.select("contig", "_ls", "_le"), levels, "_ls", "_le", width), keys, min_rows, max_keys)
-    pairs = salted_join(binned_left(left, levels, "_ls", "_le", width), binned_right(right, "_rs", "_re", width), keys, hot=hot)
+    # Rows of bins are many times the file that they come from: they are shuffled, never sent to the driver and broadcast.
+    bins = binned_left(left, levels, "_ls", "_le", width), binned_right(right, "_rs", "_re", width)
+    pairs = salted_join(*bins, keys, hot=hot, hint="merge")
     wide = F.element_at(F.array(*[F.lit(w) for w in _widths(width)]), _level_of(F.col("_slot")) + 1)
     return (
         pairs.where((F.col("_ls") < F.col("_re")) & (F.col("_rs") < F.col("_le")))
