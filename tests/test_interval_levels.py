@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from helpers import rows
@@ -81,3 +82,14 @@ def test_probes_of_both_sides_do_not_meet(spark):
     met = O.binned_left(a, O.levels_in_use(b, "_rs", "_re", width), "_ls", "_le", width).join(O.binned_right(b, "_rs", "_re", width), keys).count()
     assert met < 3 * 2 * n
     assert O.interval_intersect(left, right).count() == 2 * n + 1
+
+
+def test_bins_are_never_broadcast(spark, tmp_path):
+    """The file is small, its rows of bins need not be: their join must not rest on the size of the file."""
+    frame(spark, mixed(random.Random(3), 200, "r", [100, 3_000]), "r").write.parquet(str(tmp_path / "r"))
+    left = frame(spark, mixed(random.Random(4), 200, "l", [100]), "l")
+    found = O.interval_intersect(left, spark.read.parquet(str(tmp_path / "r")))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = set(re.findall(r"(\w+Join)\S* \[contig#\d+, _slot#\d+, _bin#\d+L, _slice#\d+\]", plan))
+    assert joins == {"SortMergeJoin"}
