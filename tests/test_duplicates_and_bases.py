@@ -172,3 +172,16 @@ def test_mark_duplicate_pairs(spark, hot):
     want += [("at_pair", 0), ("frag_copy", 0), ("half", 65), ("tie_b", 0)]
     assert got == sorted(want)
     assert duplicates.mark_duplicate_pairs(df.where("false")).collect() == []
+
+
+def test_mark_duplicate_pairs_deals_reads_twice(spark):
+    columns = "qname string, flag int, library string, rname string, pos bigint, cigar string, qual string"
+    data = [("a", 65, "L", "c", 9, "10M", "I" * 10), ("a", 145, "L", "c", 90, "10M", "I" * 10), ("b", 65, "L", "c", 9, "10M", "5" * 10), ("b", 145, "L", "c", 90, "10M", "5" * 10)]
+    data += [(None, 0, "L", "d", 9, "10M", "I" * 10), ("c", 0, "L", "d", 9, "10M", "5" * 10), (None, 65, "L", "e", 9, "10M", "I"), (None, 145, "L", "e", 90, "10M", "I")]
+    marked = duplicates.mark_duplicate_pairs(spark.createDataFrame(data, columns))
+    # A read without a name competes, but is never marked.
+    assert sorted((r.qname, r.flag & 1023) for r in marked.where("flag & 1024 <> 0").collect()) == [("b", 65), ("b", 145), ("c", 0)]
+    plan = marked._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves().size()
+    joins = marked._jdf.queryExecution().sparkPlan().toString().count("Join")
+    assert (leaves, joins) == (2, 1)  # the reads to tell them apart, the reads to be marked; the kept names meet them once
