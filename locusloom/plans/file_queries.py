@@ -240,13 +240,23 @@ def stream_chunks(inp: Inputs) -> DataFrame:
     return histogram.chunk_histogram(inp.spark.read.parquet(out))
 
 
+# A compressed file is read by one task, so a chunk that is large is written as several; there are never more.
+PIECES = 64
+
+
 @query(f"WITH keyed AS ({MAPPED_KEYED}) SELECT chunk, key, count(*) AS n FROM keyed GROUP BY chunk, key")
 def stream_text_chunks(inp: Inputs) -> DataFrame:
     """Alignment lines that arrive as compressed text: parsed, validated, keyed and counted."""
     folder = scratch_dir(inp.spark, "arriving-text")
-    ranged = inp["sam_lines"].select(F.col("chunk").alias("file_chunk"), F.col("line").alias("value")).repartitionByRange("file_chunk", "value")
-    ranged.write.partitionBy("file_chunk").option("compression", "gzip").text(folder)
-    stream = chunks.stream_lines(inp.spark, folder, r"file_chunk=(\d+)", chunks_per_batch=4)
+    # Dealt by a hash, since ranges would work all lines out once more to sample them; a chunk has up to PIECES files.
+    dealt = inp["sam_lines"].select(F.col("chunk").alias("file_chunk"), F.col("line").alias("value")).repartition(
+        "file_chunk", F.pmod(F.xxhash64("value"), F.lit(PIECES))
+    )
+    dealt.write.partitionBy("file_chunk").option("compression", "gzip").text(folder)
+    # Four chunks a batch, whatever number of files they were written as.
+    pattern = r"file_chunk=(\d+)"
+    per_batch = 4 * chunks.files_per_chunk(inp.spark, folder, pattern)
+    stream = chunks.stream_lines(inp.spark, folder, pattern, chunks_per_batch=per_batch)
     keyed = lookups.with_bucket_key(filters.good_reads(stream, inp["contigs"])).select("chunk", "qname", "key")
     out = scratch_dir(inp.spark, "streamed-text")
     chunks.write_chunks(keyed, out, scratch_dir(inp.spark, "state")).awaitTermination()

@@ -42,6 +42,16 @@ def stream_lines(spark: SparkSession, folder: str, chunk_pattern: str, chunks_pe
     return lines.select(chunk.alias("chunk"), F.col("value").alias("line"))
 
 
+def files_per_chunk(spark: SparkSession, folder: str, chunk_pattern: str) -> int:
+    """Files of the chunk that has the most, where large chunks come as several; the files aren't opened.
+
+    Batches count files: with so many times the chunks of a batch, a larger input makes larger batches and not more of them.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    counts = files.groupBy(F.regexp_extract("path", chunk_pattern, 1)).count()
+    return counts.agg(F.max("count")).first()[0] or 1
+
+
 def _start(stream: DataFrame, checkpoint: str, available_now: bool, poll: str) -> object:
     trigger = {"availableNow": True} if available_now else {"processingTime": poll}
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger)

@@ -300,3 +300,15 @@ def test_stream_writes_each_read_once(spark, tmp_path):
         job.awaitTermination()
     back = spark.read.parquet(str(tmp_path / "out"))
     assert rows(back, "qname", "key") == rows(lookups.with_bucket_key(df), "qname", "key")
+
+
+def test_a_chunk_of_many_files_is_one_chunk(spark, tmp_path):
+    """Batches grow with the files of a chunk, so their number doesn't."""
+    lines = spark.range(90).select((F.col("id") % 3).alias("file_chunk"), F.col("id").cast("string").alias("value"))
+    lines.repartition(5).write.partitionBy("file_chunk").text(str(tmp_path / "in"))
+    n = chunks.files_per_chunk(spark, str(tmp_path / "in"), r"file_chunk=(\d+)")
+    assert n == 5 and chunks.files_per_chunk(spark, str(tmp_path / "in" / "file_chunk=1"), r"file_chunk=(\d+)") == 5
+    stream = chunks.stream_lines(spark, str(tmp_path / "in"), r"file_chunk=(\d+)", chunks_per_batch=n)
+    query = chunks.write_chunks(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+    query.awaitTermination()
+    assert query.lastProgress["batchId"] <= 3 and spark.read.parquet(str(tmp_path / "out")).count() == 90
