@@ -64,11 +64,6 @@ def recal_levels(table: DataFrame) -> DataFrame:
     )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _dense(cells: Column, kind: str) -> Column:
     """Array with ``e`` of each (at, e) at the place ``at`` and nulls in between; ``cells`` are sorted and their places distinct."""
     none = F.lit(None).cast(kind)
@@ -82,18 +77,18 @@ def _dense(cells: Column, kind: str) -> Column:
 
 def _pair(first: Column, second: Column) -> Column:
     """Number of a pair of bases that are numbered 1 to 4; null where one of them is another letter or missing."""
-    return F.when((first > 0) & (second > 0), first * 5 + second)
+    return first * 5 + second
 
 
 def _base_number(letter: Column) -> Column:
-    return F.instr(F.lit("ACGT"), letter)
+    return F.nullif(F.instr(F.lit("ACGT"), letter), F.lit(0))
 
 
 def packed_levels(table: DataFrame) -> DataFrame:
     """A row per read group (read_group, _base, _cycles, _contexts).
 
-    ``_base`` has the empirical quality by reported one, ``_cycles`` and ``_contexts`` the corrections by quality and, inside,
-    by cycle and by number of the pair of bases.
+    ``_base`` has the empirical quality by reported one, ``_cycles`` the same with the correction by cycle, and ``_contexts`` the
+    corrections by number of the pair of bases; both are by quality and, inside, by cycle or pair.
     """
     at, e = F.col("level"), F.col("empirical_quality")
     pair = _pair(*[_base_number(F.substring("context", k, 1)) for k in (1, 2)])
@@ -113,7 +108,7 @@ def packed_levels(table: DataFrame) -> DataFrame:
             listed("cycle", F.col("cycle").cast("int")).alias("_cycles"),
             listed("context", F.when(F.length("context") == 2, pair)).alias("_contexts"),
         )
-        .withColumn("_cycles", corrections("_cycles"))
+        .withColumn("_cycles", F.transform(corrections("_cycles"), lambda x: F.struct(x["at"], (F.col("_e") + x["e"]).alias("e"))))
         .withColumn("_contexts", corrections("_contexts"))
     )
     parts = {"_base": F.col("_e"), "_cycles": _dense(F.col("_cycles"), "double"), "_contexts": _dense(F.col("_contexts"), "double")}
@@ -126,30 +121,31 @@ def packed_levels(table: DataFrame) -> DataFrame:
 
 
 def _renewed() -> Column:
-    """New Phred string of a read that stands beside the levels of its read group (nulls where there are none)."""
+    """New Phred string of a read that stands beside the levels of its read group (nulls where there are none).
+
+    Reads of the reverse strand are turned round first and back again afterwards, so that no base has to ask for its strand.
+    """
     reverse = F.coalesce(C.is_reverse(F.col("flag")), F.lit(False))
-    n = F.length("qual")
+    in_turn = F.when(reverse, F.reverse("qual")).otherwise(F.col("qual"))
     # Sequences as long as their qualities; others ('*') get no context. On the reverse strand the complement is read.
-    strand = F.when(F.length("seq") == n, F.when(reverse, F.translate("seq", "ACGT", "TGCA")).otherwise(F.col("seq")))
-    letters = F.transform(F.split(strand, ""), _base_number)
-    qualities = F.transform(F.split("qual", ""), lambda c: F.ascii(c) - PHRED_OFFSET)
-    earlier = F.when(reverse, 1).otherwise(-1)
-
-    def renew(quality: Column, i: Column, letters: Column) -> Column:
-        cycle = F.when(reverse, n - i).otherwise(i + 1)
-        pair = _pair(F.get(letters, i + earlier), F.get(letters, i))
-        by_cycle = F.get(F.get(F.col("_cycles"), quality), cycle)
-        by_context = F.get(F.get(F.col("_contexts"), quality), pair)
-
-        def rounded(e: Column) -> Column:
-            value = F.floor(e + F.coalesce(by_cycle, F.lit(0.0)) + F.coalesce(by_context, F.lit(0.0)) + 0.5)
-            limited = F.least(F.lit(RECAL_MAX_QUALITY), F.greatest(F.lit(RECAL_MIN_QUALITY), value))
-            return F.chr(F.when(e.isNull(), quality).otherwise(limited) + PHRED_OFFSET)
-
-        return _let(F.get(F.col("_base"), quality), rounded)
-
-    renewed = _let(letters, lambda letters: F.array_join(F.transform(qualities, lambda q, i: renew(q, i, letters)), ""))
-    return F.when(n > 0, renewed).otherwise(F.col("qual"))
+    strand = F.when(reverse, F.reverse(F.translate("seq", "ACGT", "TGCA"))).otherwise(F.col("seq"))
+    letters = F.transform(F.split(F.when(F.length("seq") == F.length("qual"), strand), ""), _base_number)
+    qualities = F.transform(F.split(in_turn, ""), lambda c: F.ascii(c) - PHRED_OFFSET)
+
+    def renew(quality: Column, i: Column, pairs: Column) -> Column:
+        base = F.get(F.col("_base"), quality)
+        by_cycle = F.coalesce(F.get(F.get(F.col("_cycles"), quality), i + 1), base)
+        by_context = F.coalesce(F.get(F.get(F.col("_contexts"), quality), F.get(pairs, i)), F.lit(0.0))
+        value = F.floor(by_cycle + by_context + 0.5)
+        limited = F.least(F.lit(RECAL_MAX_QUALITY), F.greatest(F.lit(RECAL_MIN_QUALITY), value))
+        return F.chr(F.when(base.isNull(), quality).otherwise(limited) + PHRED_OFFSET)
+
+    def string(letters: Column) -> Column:
+        pairs = F.zip_with(F.concat(F.array(F.lit(None).cast("int")), letters), letters, _pair)
+        return F.transform(F.array(pairs), lambda p: F.array_join(F.transform(qualities, lambda q, i: renew(q, i, p)), ""))[0]
+
+    renewed = F.transform(F.array(letters), string)[0]
+    return F.when(F.length("qual") > 0, F.when(reverse, F.reverse(renewed)).otherwise(renewed)).otherwise(F.col("qual"))
 
 
 def apply_recal(

@@ -93,3 +93,11 @@ def test_levels_are_one_pass(spark):
         ("context", "", 0, "AC", 3, 0), ("context", "G", 0, "AC", 7, 2), ("cycle", "", 2, "", 3, 0), ("cycle", "G", 1, "", 5, 1), ("cycle", "G", 2, "", 7, 2),
         ("quality", "", 0, "", 3, 0), ("quality", "G", 0, "", 12, 3),
     ]
+
+
+def test_strand_is_not_asked_base_by_base(spark):
+    """The strand and the length of a read are looked at once, not within the walk over its bases."""
+    text = recal._renewed()._jc.toString()
+    walk = text[text.index("-> chr(") :]
+    walk = walk[: walk.index("''")]
+    assert "_cycles" in walk and "flag" not in walk and "length" not in walk
