@@ -185,3 +185,13 @@ def test_mark_duplicate_pairs_deals_reads_twice(spark):
     leaves = plan.collectLeaves().size()
     joins = marked._jdf.queryExecution().sparkPlan().toString().count("Join")
     assert (leaves, joins) == (2, 1)  # the reads to tell them apart, the reads to be marked; the kept names meet them once
+
+
+@pytest.mark.parametrize("max_large", [1_000_000, 0])
+def test_dedup_bucket_shuffles_large_groups_only(spark, max_large):
+    data = [(c, 7, f"q{i}", 100 + i % 3, 30, "10M", "=", 5) for c in (0, 1) for i in range(9 if c else 3)] + [(None, 7, "n", 1, 1, "1M", "=", 1)]
+    df = spark.createDataFrame(data, "chunk bigint, key bigint, qname string, pos bigint, mapq int, cigar string, rnext string, pnext bigint")
+    kept = duplicates.dedup_bucket(df, 3, max_large_groups=max_large)
+    assert sorted((r.chunk or 0, r.qname) for r in kept.collect()) == [(0, "n"), *[(0, f"q{i}") for i in range(3)], *[(1, f"q{i}") for i in range(3)]]
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert ("_slice#" not in plan) == (max_large > 0)  # no reads are dealt by block where the list of blocks is short
