@@ -195,3 +195,33 @@ def test_dedup_bucket_shuffles_large_groups_only(spark, max_large):
     assert sorted((r.chunk or 0, r.qname) for r in kept.collect()) == [(0, "n"), *[(0, f"q{i}") for i in range(3)], *[(1, f"q{i}") for i in range(3)]]
     plan = kept._jdf.queryExecution().sparkPlan().toString()
     assert ("_slice#" not in plan) == (max_large > 0)  # no reads are dealt by block where the list of blocks is short
+
+
+def test_pileup_makes_no_rows_of_bases(spark):
+    """Pieces of reads are counted as they are: nothing is generated per base, and counts are right for odd CIGARs and letters."""
+    data = [
+        read("m", pos=1), read("d", pos=3, cigar="2M2D2M", seq="ACGT"), read("i", pos=3, cigar="2S2M1I3M", seq="TTACGNNN"),
+        read("none", pos=5, cigar="3M", seq="*"),
+        read("odd", pos=5, cigar="3=1X", seq="éCGa"), read("n", pos=2, cigar="1M6N1M", seq="AC"), read("other", "chr2", pos=4, cigar="4M", seq="GGGG"),
+    ]
+    df = reads(spark, data + [(*read("null", pos=6, cigar="2M")[:9], None, None, 0)])
+    targets = spark.createDataFrame([("chr1", 1, 9), ("chr1", 4, 20), ("chr2", 0, 5)], "contig string, start bigint, end bigint")
+    got = pileup.pileup_counts(df, targets)
+    bases_of = {}
+    for contig, low, high in [("chr1", 1, 20), ("chr2", 0, 5)]:
+        for r in bases.explode_bases(df.where(F.col("rname") == contig), F.lit(low + 1), F.lit(high)).select("ref_pos", "base").collect():
+            bases_of.setdefault((contig, r.ref_pos), []).append(r.base)
+    want = sorted((*at, len(found), *[found.count(b) for b in "ACGT"]) for at, found in bases_of.items())
+    assert rows(got) == want and len(want) > 10
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "ref_pos" not in plan and "MapInArrow" in plan
+
+
+def test_pileup_lays_out_long_reads_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(pileup, "CHUNK_BASES", 7)
+    df = reads(spark, [read(f"r{i}", pos=1 + 1000 * (i % 2), cigar="5M1D20M", seq="ACGTA" * 5) for i in range(6)])
+    targets = spark.createDataFrame([("chr1", 2, 1024)], "contig string, start bigint, end bigint")
+    got = {p: tuple(n) for p, *n in rows(pileup.pileup_counts(df, targets), "pos", "depth", "n_a", "n_c", "n_g", "n_t")}
+    seq = {1 + i: b for i, b in enumerate("ACGTA")} | {7 + i: b for i, b in enumerate("ACGTA" * 4)}
+    want = {p + k: (3, *[3 * (b == x) for x in "ACGT"]) for p, b in seq.items() for k in (0, 1000) if 2 < p + k <= 1024}
+    assert got == want
