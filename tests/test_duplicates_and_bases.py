@@ -6,6 +6,7 @@ import pytest
 from helpers import read, reads, rows
 from pyspark.sql import functions as F
 
+from locusloom.functions.quality import duplicate_score
 from locusloom.operators import bases, duplicates, pileup, recal
 
 HOT = [(1_000_000, 10_000), (1, 100)]
@@ -197,6 +198,24 @@ def test_dedup_bucket_shuffles_large_groups_only(spark, max_large):
     assert ("_slice#" not in plan) == (max_large > 0)  # no reads are dealt by block where the list of blocks is short
 
 
+def test_duplicate_scores(spark):
+    quals = ["", None, "!!!", "0/1", "".join(map(chr, range(33, 127))), "Ié0", "IIII"]
+    got = spark.createDataFrame([(i, q) for i, q in enumerate(quals)], "i int, q string").select("i", duplicate_score(F.col("q")).alias("s"))
+    want = [None if q is None else sum(ord(c) - 33 for c in q if ord(c) - 33 >= 15) for q in quals]
+    assert rows(got) == list(enumerate(want))
+
+
+@pytest.mark.parametrize("hot", HOT)
+def test_mark_duplicates_reads_its_input_twice(spark, hot, tmp_path):
+    """Once for the best of each group with its size, once to be marked; hot groups are not counted apart."""
+    data = [read(f"r{i:03}", pos=100 + i // 30) for i in range(120)]
+    reads(spark, data).withColumn("library", F.lit("L")).write.parquet(str(tmp_path / "r"))
+    marked = duplicates.mark_duplicates(spark.read.parquet(str(tmp_path / "r")), *hot)
+    assert {q for q, f in rows(marked, "qname", "flag") if not f & 1024} == {"r000", "r030", "r060", "r090"}
+    plan = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert sum("FileScan" in line and f"{tmp_path.name}/r" in line for line in plan.splitlines()) == 1  # the other pass is over
+
+
 def test_pileup_makes_no_rows_of_bases(spark):
     """Pieces of reads are counted as they are: nothing is generated per base, and counts are right for odd CIGARs and letters."""
     data = [
