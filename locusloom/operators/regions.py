@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import div, key_contig
 from .ordering import READ_ORDER
-from .skew import lookup_join
+from .skew import MIN_HOT_ROWS, lookup_join
 
 # The functions below travel to executors whole, so those need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -237,10 +237,20 @@ def place_regions(region_map: DataFrame, n_partitions: int) -> DataFrame:
     return sizes.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(place, "region int, n_reads bigint, partition int, load bigint")
 
 
-def placed_reads(region_reads: DataFrame, placement: DataFrame, n_partitions: int) -> DataFrame:
-    """Reads on the partitions of their regions, each region's in coordinate order, for work that needs whole regions.
+def placed_reads(
+    region_reads: DataFrame, placement: DataFrame, n_partitions: int, max_task_rows: int | None = MIN_HOT_ROWS
+) -> DataFrame:
+    """Reads on the partitions of their regions (column ``partition``), each region's in coordinate order.
 
-    (``ordering.regroup_reads`` cuts large regions instead.)
+    As long as no partition has more than ``max_task_rows`` reads, each is a task, of that number: so work may rely on whole
+    regions (None: always). Beyond that, partitions are cut by ranges over (partition, region, position, name) into tasks of about so many
+    reads: taken in the order of the tasks, the reads are still in the order of partitions, regions and coordinates.
+
+    ``placement`` is read twice, so pass a materialized one.
     """
     tagged = lookup_join(region_reads, placement.select("region", "partition"), ["region"])
-    return tagged.repartitionById(n_partitions, F.col("partition")).sortWithinPartitions("region", *READ_ORDER)
+    largest, total = placement.agg(F.max("load"), F.sum("n_reads")).first()
+    if max_task_rows is None or (largest or 0) <= max_task_rows:
+        return tagged.repartitionById(n_partitions, F.col("partition")).sortWithinPartitions("region", *READ_ORDER)
+    order = ["partition", "region", *READ_ORDER]
+    return tagged.repartitionByRange(max(n_partitions, -(-total // max_task_rows)), *order).sortWithinPartitions(*order)

@@ -41,7 +41,7 @@ def plan_regions(lines: DataFrame, contigs: DataFrame, n_regions: int, dedup: bo
 def regions_at_work(plan: RegionPlan, n_partitions: int) -> DataFrame:
     """The reads of whole regions, sorted, on the partitions that work on them; the largest regions start first."""
     placement = materialize(regions.place_regions(plan.region_map, n_partitions), "placement")
-    return regions.placed_reads(plan.reads, placement, n_partitions)
+    return regions.placed_reads(plan.reads, placement, n_partitions, max_task_rows=None)
 
 
 def region_intervals(region_reads: DataFrame, targets: DataFrame | None = None) -> DataFrame:

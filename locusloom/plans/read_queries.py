@@ -368,7 +368,7 @@ def region_placement(inp: Inputs) -> DataFrame:
 def placed_reads(inp: Inputs) -> DataFrame:
     tagged = region_reads(inp).select("region", "contig_index", "pos", "qname")
     placed = regions.placed_reads(tagged, materialize(region_placement(inp), "placement"), N_PARTITIONS)
-    return placed.select(F.spark_partition_id().alias("partition"), "qname", "region")
+    return placed.select("partition", "qname", "region")
 
 
 @query(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from helpers import rows, walk_regions
@@ -99,3 +100,21 @@ def test_largest_regions_are_placed_first(spark):
     for task in range(3):
         mine = [(r.region, r.pos, r.qname) for r in found if r.task == task]
         assert mine == sorted(mine)
+
+
+def test_large_partitions_are_cut_into_tasks(spark):
+    """No task has a whole partition beyond the limit, and a crowded position is cut too; order and places stay."""
+    region_map = spark.createDataFrame([(k, 100, k) for k in range(6)], "key bigint, n bigint, region int")
+    placed = R.place_regions(region_map, 2)
+    home = dict(placed.select("region", "partition").collect())
+    reads = spark.range(600).select(
+        (F.col("id") % 6).cast("int").alias("region"), F.lit(0).alias("contig_index"),
+        F.when(F.col("id") % 6 == 0, 7).otherwise(F.col("id") * 37 % 101).alias("pos"), F.concat(F.lit("r"), "id").alias("qname"),
+    )
+    for limit, most in [(50, 100), (300, 300), (None, 300)]:
+        found = R.placed_reads(reads, placed, 2, limit).select(F.spark_partition_id().alias("task"), "partition", "region", "pos", "qname").collect()
+        assert len({r.qname for r in found}) == len(found) == 600 and all(r.partition == home[r.region] for r in found)
+        assert max(Counter(r.task for r in found).values()) <= most
+        in_order = sorted(found, key=lambda r: r.task)  # (stable)
+        assert [tuple(r[1:]) for r in in_order] == sorted(tuple(r[1:]) for r in found)
+        assert (limit == 50) or all(r.task == r.partition for r in found)
