@@ -244,3 +244,12 @@ def test_pileup_lays_out_long_reads_in_parts(spark, monkeypatch):
     seq = {1 + i: b for i, b in enumerate("ACGTA")} | {7 + i: b for i, b in enumerate("ACGTA" * 4)}
     want = {p + k: (3, *[3 * (b == x) for x in "ACGT"]) for p, b in seq.items() for k in (0, 1000) if 2 < p + k <= 1024}
     assert got == want
+
+
+def test_variant_calls_of_reads_make_no_rows_of_bases(spark, contigs):
+    df = reads(spark, [read(f"r{i}", pos=10, cigar="4M", seq="ACGT") for i in range(30)])
+    targets = spark.createDataFrame([("chr1", 0, 100)], "contig string, start bigint, end bigint")
+    calls = pileup.variant_calls(pileup.pileup_counts(df, targets), contigs, lambda index, pos: F.lit("A"), 15.0)
+    assert rows(calls, "pos", "alt", "depth", "genotype") == [(11, "C", 30, "1/1"), (12, "G", 30, "1/1"), (13, "T", 30, "1/1")]
+    plan = calls._jdf.queryExecution().optimizedPlan().toString()
+    assert "ref_pos" not in plan and "MapInArrow" in plan
