@@ -253,3 +253,13 @@ def test_variant_calls_of_reads_make_no_rows_of_bases(spark, contigs):
     assert rows(calls, "pos", "alt", "depth", "genotype") == [(11, "C", 30, "1/1"), (12, "G", 30, "1/1"), (13, "T", 30, "1/1")]
     plan = calls._jdf.queryExecution().optimizedPlan().toString()
     assert "ref_pos" not in plan and "MapInArrow" in plan
+
+
+def test_duplicate_metrics_go_over_marked_reads_once(spark, tmp_path):
+    """Marking has found the groups by then: the reads are read once more, for marking and counting together."""
+    data = [read(f"r{i:03}", pos=100 + i // 30) for i in range(120)] + [read("un", "*", 0, "*", flag=4)]
+    reads(spark, data).withColumn("library", F.lit("L")).write.parquet(str(tmp_path / "r"))
+    metrics = duplicates.duplicate_metrics(duplicates.mark_duplicates(spark.read.parquet(str(tmp_path / "r"))))
+    assert rows(metrics, "library", "n_examined", "n_duplicates") == [("L", 120, 116)]
+    plan = metrics._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert sum("FileScan" in line and f"{tmp_path.name}/r" in line for line in plan.splitlines()) == 1
