@@ -26,6 +26,8 @@ OVERLAP_BIN = 10_000
 # Levels of bins, and how many bins of a level make one of the next.
 LEVELS = 8
 FANOUT = 8
+# A list of intervals of which no more than this were counted may be broadcast (eight rows of bins for most of them).
+FEW_INTERVALS = 50_000
 
 
 def read_intervals(reads: DataFrame) -> DataFrame:
@@ -88,14 +90,17 @@ def binned_right(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
     return _to_bins(_in_slots(each, [level, F.when(level > 0, level + LEVELS), *probes]), start, end, width)
 
 
-def _meet(left: DataFrame, right: DataFrame, width: int, min_rows: int, max_keys: int) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, width: int, min_rows: int, max_keys: int, few: bool = False) -> DataFrame:
     """Every overlapping pair once; ``left`` has (contig, _ls, _le), ``right`` (contig, _rs, _re), and both columns of their own."""
     levels = levels_in_use(right, "_rs", "_re", width)
     keys = ["contig", "_slot", "_bin"]
-    hot = hot_keys(binned_left(left.select("contig", "_ls", "_le"), levels, "_ls", "_le", width), keys, min_rows, max_keys)
-    # Rows of bins are many times the file that they come from: they are shuffled, never sent to the driver and broadcast.
     bins = binned_left(left, levels, "_ls", "_le", width), binned_right(right, "_rs", "_re", width)
-    pairs = salted_join(*bins, keys, hot=hot, hint="merge")
+    if few:
+        pairs = bins[0].join(F.broadcast(bins[1]), keys)
+    else:
+        # Rows of bins are many times the file that they come from: they are shuffled, never sent to the driver and broadcast.
+        hot = hot_keys(binned_left(left.select("contig", "_ls", "_le"), levels, "_ls", "_le", width), keys, min_rows, max_keys)
+        pairs = salted_join(*bins, keys, hot=hot, hint="merge")
     wide = F.element_at(F.array(*[F.lit(w) for w in _widths(width)]), _level_of(F.col("_slot")) + 1)
     return (
         pairs.where((F.col("_ls") < F.col("_re")) & (F.col("_rs") < F.col("_le")))
@@ -110,17 +115,19 @@ def interval_intersect(
     bin_width: int = OVERLAP_BIN,
     min_hot_rows: int = MIN_HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    few: bool = False,
 ) -> DataFrame:
     """Overlapping part of every pair of overlapping intervals.
 
     Both sides have (contig, start, end) plus columns of their own, with different names. The result
     has the columns of both, ``start``/``end`` being the overlap. Pass the larger side as ``left``:
-    its hot bins are sliced.
+    its hot bins are sliced. ``few`` says that ``right`` was counted and has at most ``FEW_INTERVALS`` rows: then it
+    is broadcast, and ``left`` stays where it is.
     """
     left = left.withColumnRenamed("start", "_ls").withColumnRenamed("end", "_le")
     right = right.withColumnRenamed("start", "_rs").withColumnRenamed("end", "_re")
     return (
-        _meet(left, right, bin_width, min_hot_rows, max_hot_keys)
+        _meet(left, right, bin_width, min_hot_rows, max_hot_keys, few)
         .withColumn("start", F.greatest("_ls", "_rs"))
         .withColumn("end", F.least("_le", "_re"))
         .drop("_ls", "_le", "_rs", "_re")

@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BASE_ERROR
+from ..functions.keys import div
+from ..session import materialize
 from .intervals import merge_spans
-from .overlaps import OVERLAP_BIN, interval_intersect, read_intervals
+from .overlaps import FEW_INTERVALS, OVERLAP_BIN, interval_intersect, read_intervals
 from .recal import ReferenceBase
 from .skew import MAX_HOT_KEYS, MIN_HOT_ROWS
 
@@ -108,15 +110,25 @@ def pileup_counts(
     bin_width: int = OVERLAP_BIN,
     min_hot_rows: int = MIN_HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    max_few: int = FEW_INTERVALS,
 ) -> DataFrame:
     """Depth and base counts at every covered locus of the targets (half-open contig, start, end).
 
     Reads are cut to the merged targets first. Only the overlapping bases are laid out, in arrays of a batch and never as
-    rows, and they are counted by locus before they are shuffled: reads come out of the join by bins, so a batch has few loci.
+    rows, and they are counted by locus before they are shuffled: pieces of reads come by bins, so a batch has few loci.
+    Up to ``max_few`` merged targets (counted) are broadcast; then reads are gone over once, only pieces in targets are dealt
+    to bins, and adaptive execution cuts a bin of very many pieces, since counts of a locus are added up afterwards anyway.
     """
     spans = read_intervals(reads).select("contig", "start", "end", "pos", "cigar", "seq")
-    disjoint = merge_spans(targets.select("contig", "start", "end")).select("contig", "start", "end")
-    pieces = interval_intersect(spans, disjoint, bin_width, min_hot_rows, max_hot_keys).select(*spans.columns)
+    # Stored, since it is counted, asked for its levels and joined.
+    disjoint = materialize(merge_spans(targets.select("contig", "start", "end")).select("contig", "start", "end"), "targets")
+    few = disjoint.limit(max_few + 1).count() <= max_few
+    # Inlining one struct keeps Catalyst from moving null checks of ends below them, where ends are worked out a second time.
+    left = spans.select(F.inline(F.array(F.struct(*spans.columns)))) if few else spans
+    pieces = interval_intersect(left, disjoint, bin_width, min_hot_rows, max_hot_keys, few).select(*spans.columns)
+    if few:
+        by_bin = pieces.withColumn("_tile", F.xxhash64("contig", div(F.col("start"), bin_width))).hint("rebalance", "_tile")
+        pieces = by_bin.sortWithinPartitions("_tile").drop("_tile")
     counted = pieces.mapInArrow(_count_pieces, "contig string, pos bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
     return counted.groupBy("contig", "pos").agg(*[F.sum(c).alias(c) for c in COUNTS])
 

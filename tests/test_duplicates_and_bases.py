@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from helpers import read, reads, rows
@@ -263,3 +264,35 @@ def test_duplicate_metrics_go_over_marked_reads_once(spark, tmp_path):
     assert rows(metrics, "library", "n_examined", "n_duplicates") == [("L", 120, 116)]
     plan = metrics._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert sum("FileScan" in line and f"{tmp_path.name}/r" in line for line in plan.splitlines()) == 1
+
+
+@pytest.mark.parametrize("max_few", [50_000, 1])
+def test_pileup_with_few_targets_goes_over_reads_once(spark, tmp_path, max_few):
+    """Few targets come to the reads, and only pieces in targets are dealt; more of them are met by bins, which are counted first."""
+    data = [read(f"r{i}", pos=8 + i % 3, cigar="2M1D4M", seq="ACGTAC") for i in range(90)] + [read("far", pos=500), read("long", pos=3, cigar="9N30M", seq="T" * 30)]
+    reads(spark, data).write.parquet(str(tmp_path / "r"))
+    targets = spark.createDataFrame([("chr1", 6, 10), ("chr1", 9, 14), ("chr1", 20, 21), ("chr2", 0, 9)], "contig string, start bigint, end bigint")
+    counts = pileup.pileup_counts(spark.read.parquet(str(tmp_path / "r")), targets, 4, max_few=max_few)
+    bases_of = {}
+    for low, high in [(6, 14), (20, 21)]:
+        for r in bases.explode_bases(reads(spark, data), F.lit(low + 1), F.lit(high)).select("ref_pos", "base").collect():
+            bases_of.setdefault(("chr1", r.ref_pos), []).append(r.base)
+    want = sorted((*at, len(found), *[found.count(b) for b in "ACGT"]) for at, found in bases_of.items())
+    assert rows(counts) == want and len(want) == 8
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    passes = sum("FileScan" in line and "flag#" in line for line in plan.splitlines())
+    assert (passes == 1, "SortMergeJoin" in plan) == (max_few > 1, max_few == 1)
+
+
+def test_pileup_of_one_crowded_bin_is_cut(spark):
+    """All pieces are of one bin, more than a task should get: adaptive execution cuts them, and the counts are added up."""
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    df = reads(spark, [read(f"r{i}", pos=5, cigar="4M", seq="ACGT") for i in range(20_000)])
+    targets = spark.createDataFrame([("chr1", 0, 100)], "contig string, start bigint, end bigint")
+    spark.conf.set(advisory, "1k")
+    try:
+        got = pileup.pileup_counts(df, targets)
+        assert rows(got) == [("chr1", 5 + i, 20_000, *[20_000 * (i == j) for j in range(4)]) for i in range(4)]
+        assert "AQEShuffleRead skewed" in re.sub("coalesced and ", "", got._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.unset(advisory)
