@@ -3,10 +3,12 @@ from __future__ import annotations
 import math
 import re
 
+import pyarrow as pa
 import pytest
 from helpers import read, reads, rows
 from pyspark.sql import functions as F
 
+from locusloom.functions import quality
 from locusloom.functions.quality import duplicate_score
 from locusloom.operators import bases, duplicates, pileup, recal
 
@@ -296,3 +298,12 @@ def test_pileup_of_one_crowded_bin_is_cut(spark):
         assert "AQEShuffleRead skewed" in re.sub("coalesced and ", "", got._jdf.queryExecution().executedPlan().toString())
     finally:
         spark.conf.unset(advisory)
+
+
+def test_duplicate_scores_are_added_up_in_arrow_buffers():
+    """No letters are turned into objects one by one: parts of an array, nulls and letters of several bytes are read as they lie."""
+    quals = ["", None, "!!!", "0/1", "IIII", "Ié0", None, "𝄞5", "0"]
+    want = [None if q is None else sum(ord(c) - 33 for c in q if ord(c) - 33 >= 15) for q in quals]
+    for low, high in [(0, 9), (0, 0), (1, 2), (2, 5), (4, 8)]:
+        part = pa.array(quals).slice(low, high - low)
+        assert quality._scores(part).equals(pa.array(want[low:high], pa.int64()))
