@@ -17,10 +17,13 @@ matrix with its transpose has the overlaps; it is computed only where a link is
    comparison with one another; a row too far from the pivot (Jaccard distance is a metric) needs none with
    them. What is left is tiled.
 
-The order of columns is a matter of speed only: any fixed one gives the same links. Documents are counted exactly for a
-quarter of all columns, chosen by hash, and by cells of hashes for the others. Rare columns come first, those counted
-before those that share a cell; then frequent ones by their counts. At most ``FREQUENT`` of either sort are
-sent to the tasks (16 bytes each); more pass for rare.
+The order of columns is a matter of speed only: any fixed one gives the same links. Occurrences are counted exactly for a
+quarter of all columns, chosen by hash; the others by cells of hashes, and exactly within texts of fewer than ``SHORT`` words, which
+need most of their columns for their prefix. Rare columns come first, those counted before the others; then frequent ones
+by their counts. Tasks get two tables with a byte per cell of hashes, the level of the most frequent column in it, 20 MB at any
+size of the corpus: every frequent column is known as one, and a rare one that shares its cell passes for frequent.
+Prefixes hold 40 bits of each column, so two columns may pass for one there: that adds candidates and loses no link. Rows that
+stand for no class, and texts of rows that are in no block, are told by a table of bits (``marks``) and aren't shuffled.
 
 Defined cases: null or empty text, or one without words, has the empty set and is linked with nothing; a row with a null
 ``doc_id`` is no vertex: linked with nothing, its component is null; rows with equal ``doc_id`` are one vertex; an empty
@@ -41,6 +44,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import small_batches
 from .components import components
+from .marks import is_marked, mark_table
 from .sorted_groups import list_offsets, long_lists
 from .wordhash import hash_windows, hash_words, mix, slices
 
@@ -54,7 +58,14 @@ TILE_KEYS = 500 * TILE
 PIVOT_FROM = 4 * TILE
 # Columns with a hash below this, a quarter of all, are counted: a prefix is about a sixth of a row.
 COUNTED = np.uint64(1 << 62)
-FREQUENT = 200_000
+# Texts with fewer words than this count all their columns.
+SHORT = 128
+# Cells of the two tables of levels: of columns below ``COUNTED``, by their upper bits, and of the others.
+LEVEL_BITS = (24, 22)
+# Cells of a part of a table.
+PART_BITS = 16
+# Bytes of a column in a prefix, and the bits beside them that have the size of a row.
+COLUMN_BYTES, SIZE_BITS = 5, 24
 # A task reports a cell with so many columns more than its mean one.
 STANDS_OUT = 6
 SLACK = 1e-9
@@ -91,50 +102,77 @@ def shingle_sets(raw: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return key[new], np.bincount(own[new], minlength=len(raw))
 
 
-def _cell(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(42)).astype(np.int64)
+def _cells(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each column in either table; that in the first means nothing for columns from ``COUNTED`` on."""
+    return (keys >> np.uint64(62 - LEVEL_BITS[0])) & np.uint64((1 << LEVEL_BITS[0]) - 1), keys >> np.uint64(64 - LEVEL_BITS[1])
 
 
-def frequent_columns(docs: DataFrame, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Columns below ``COUNTED``, and cells of the others, that stand out, with counts; sorted, at most ``FREQUENT`` of each.
+def frequent_columns(docs: DataFrame, width: int) -> list[np.ndarray]:
+    """The two tables of levels: 0 for cells without a frequent column, else eight levels for each doubling of the count.
 
-    Cells are counted in each task, which reports those well above its mean one.
+    Columns are counted by the upper 40 bits of their hash. Cells are counted in each task, which reports those well above
+    its mean one.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, total = np.zeros(1 << 22, np.int32), 0
+        cells, total = np.zeros(1 << LEVEL_BITS[1], np.int32), 0
         for batch in batches:
             for _, raw in slices(batch.column("text").to_pylist()):
-                hashes, _, _, _, _ = hash_words(raw, lower=True)
+                hashes, _, _, _, counts = hash_words(raw, lower=True)
                 windows = hash_windows(hashes, width)
-                found, n = np.unique(windows[windows < COUNTED], return_counts=True)
-                yield counted(0, found.view(np.int64), n)
-                found = _cell(windows[windows >= COUNTED])
+                below = windows < COUNTED
+                yield counted(0, *np.unique(windows[below] >> np.uint64(22), return_counts=True))
+                short = np.repeat(counts < SHORT, counts)[: len(windows)]
+                yield counted(2, *np.unique(windows[~below & short] >> np.uint64(24), return_counts=True))
+                found = _cells(windows[~below])[1].astype(np.int64)
                 cells += np.bincount(found, minlength=len(cells)).astype(np.int32)
                 total += len(found)
         found = np.flatnonzero(cells >= total / len(cells) + STANDS_OUT)
         yield counted(1, found, cells[found])
 
     def counted(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        arrays = [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n"])
-
-    sums = materialize(docs.select("text").mapInArrow(count, "kind int, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n")).where(F.col("n") > PAIRED), "frequent")
-    out = []
-    for kind, view in ((0, np.uint64), (1, np.int64)):
-        top = sums.where(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(FREQUENT).select("key", "n").toArrow()
-        keys, n = top.column("key").to_numpy().view(view), top.column("n").to_numpy()
-        order = np.argsort(keys)
-        out.append((keys[order], n[order]))
+        # One number, as a fifth of all columns are dealt; kinds are 0: below ``COUNTED``, 1: cells, 2: of short texts.
+        return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64) | kind << 40), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    def part(group: pa.Table) -> pa.Table:
+        levels = np.zeros(1 << PART_BITS, np.uint8)
+        levels[group.column("cell").to_numpy() & (len(levels) - 1)] = group.column("level").to_numpy()
+        return group.slice(0, 1).select(["table", "part"]).append_column("levels", pa.array([levels.tobytes()], pa.binary()))
+
+    sums = docs.select("text").mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > PAIRED)
+    kind, key = F.shiftright("key", 40), F.col("key").bitwiseAND(F.lit((1 << 40) - 1))
+    cell = F.when(kind == 0, F.shiftright(key, 40 - LEVEL_BITS[0])).when(kind == 1, key).otherwise(F.shiftright(key, 40 - LEVEL_BITS[1]))
+    level = F.least(F.lit(255), 1 + F.floor(8 * F.log2(F.col("n") / PAIRED))).cast("int")
+    cells = sums.groupBy(F.when(kind == 0, 0).otherwise(1).alias("table"), cell.alias("cell")).agg(F.max(level).alias("level"))
+    parts = cells.withColumn("part", F.shiftright("cell", PART_BITS)).groupBy("table", "part").applyInArrow(part, "table int, part bigint, levels binary")
+    found = materialize(parts, "frequent").toArrow()
+    out = [np.zeros(1 << bits, np.uint8) for bits in LEVEL_BITS]
+    for table, k, levels in zip(found["table"].to_pylist(), found["part"].to_pylist(), found["levels"].to_pylist(), strict=True):
+        out[table][k << PART_BITS : (k + 1) << PART_BITS] = np.frombuffer(levels, np.uint8)
     return out
 
 
-def _counts(keys: np.ndarray, known: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The count of each key, 0 for those not in ``known``."""
-    if len(known) == 0:
-        return np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, n[at], 0)
+def _rank(keys: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+    """0 counted and rare, 1 rare as far as it is known, more: frequent."""
+    first, second = _cells(keys)
+    counted = tables[0][first].astype(np.int64)
+    return np.where(keys < COUNTED, counted + (counted > 0), 1 + tables[1][second].astype(np.int64))
+
+
+def _packed(columns: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The lower bits of so many columns a row, ``COLUMN_BYTES`` each, as a binary value."""
+    raw = columns.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :COLUMN_BYTES].tobytes()
+    ends = np.concatenate(([0], np.cumsum(counts))) * COLUMN_BYTES
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(raw)])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Columns end to end, and how many each row has."""
+    rows = column.to_pylist()
+    raw = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, COLUMN_BYTES)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :COLUMN_BYTES] = raw
+    return out.view("<i8").ravel(), np.array([len(r) // COLUMN_BYTES for r in rows], np.int64)
 
 
 def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
@@ -142,7 +180,7 @@ def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(frequent_columns(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_key, by_cell = known.value
+        tables = known.value
         for batch in batches:
             docs = batch.column("doc")
             for first, raw in slices(batch.column("text").to_pylist()):
@@ -154,18 +192,15 @@ def prefixes(docs: DataFrame, width: int, like: int) -> DataFrame:
                 if len(keys):
                     s1[full] = np.add.reduceat(mix(keys + np.uint64(1)), begin[full])
                     s2[full] = np.add.reduceat(mix(keys ^ np.uint64(0x5851F42D4C957F2D)), begin[full])
-                # 0 counted and rare, 1 rare by cell, more: frequent
-                rank = np.where(keys < COUNTED, _counts(keys, *by_key), 1 + _counts(_cell(keys), *by_cell))
-                order = np.lexsort((keys, rank, own))
+                order = np.lexsort((keys, _rank(keys, tables), own))
                 length = np.where(full, n - least_overlap(n, like) + meetings(n, like), 0)
                 place = np.arange(len(keys)) - np.repeat(begin, n)
-                prefix = keys[order][place < np.repeat(length, n)].view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))).astype(np.int32)), pa.array(prefix))
+                prefix = _packed(keys[order][place < np.repeat(length, n)], length)
                 yield pa.RecordBatch.from_arrays(
-                    [docs.slice(first, len(raw)), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists], ["doc", "n", "s1", "s2", "prefix"]
+                    [docs.slice(first, len(raw)), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), prefix], ["doc", "n", "s1", "s2", "prefix"]
                 )
 
-    return docs.mapInArrow(run, "doc bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>")
+    return docs.mapInArrow(run, "doc bigint, n bigint, s1 bigint, s2 bigint, prefix binary")
 
 
 def _size_class(n: np.ndarray, like: int) -> np.ndarray:
@@ -176,15 +211,24 @@ def _size_class(n: np.ndarray, like: int) -> np.ndarray:
 def _columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Prefix entries by column and size; rows of a batch that agree in both become one row."""
     for batch in batches:
-        keys, counts = list_offsets(batch.column("prefix"))
+        keys, counts = _unpacked(batch.column("prefix"))
         doc, size = np.repeat(batch.column("doc").to_numpy(), counts), np.repeat(batch.column("n").to_numpy(), counts)
         order = np.lexsort((doc, size, keys))
         keys, size, doc = keys[order], size[order], doc[order]
         head = np.ones(len(keys), bool)
         head[1:] = (keys[1:] != keys[:-1]) | (size[1:] != size[:-1])
         more = np.diff(np.append(np.flatnonzero(head), len(keys))) - 1
-        arrays = [pa.array(x[head]) for x in (keys, size, doc)]
-        yield pa.RecordBatch.from_arrays([*arrays, long_lists(doc[~head], more, more == 0)], ["column", "n", "doc", "doc_more"])
+        # One number of column and size, since all rows are dealt. A size too large for its bits allows more pairs, not fewer.
+        at = keys[head] << SIZE_BITS | np.minimum(size[head], (1 << SIZE_BITS) - 1)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(doc[head]), long_lists(doc[~head], more, more == 0)], ["at", "doc", "doc_more"])
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Column and size as columns of their own."""
+    for batch in batches:
+        at = batch.column("at").to_numpy()
+        arrays = [pa.array(at >> SIZE_BITS), pa.array(at & ((1 << SIZE_BITS) - 1)), batch.column("doc"), batch.column("doc_more")]
+        yield pa.RecordBatch.from_arrays(arrays, ["column", "n", "doc", "doc_more"])
 
 
 def _pairs(like: int):
@@ -290,7 +334,8 @@ PLACE = "array<struct<block:bigint,tile:bigint,tile_2:bigint,side:int>>"
 
 
 def _placed_sets(texts: DataFrame, places: DataFrame, width: int) -> DataFrame:
-    """Sets of the rows (doc, n) of ``places`` at each of their places."""
+    """Sets of the rows (doc, n) of ``places`` at each of their places. Only texts that can be asked for are shuffled."""
+    texts = texts.where(is_marked(mark_table(places.select("doc")), "doc"))
     asked = places.groupBy("doc", "n").agg(F.collect_list(F.struct("block", "tile", "tile_2", "side")).cast(PLACE).alias("places"))
     rows = texts.join(asked.hint("merge"), "doc").select("doc", "text", "n", "places")
     return rows.mapInArrow(_sets(width), "block bigint, tile bigint, tile_2 bigint, side int, doc bigint, keys array<bigint>")
@@ -440,9 +485,12 @@ def join(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame:
     vertices = rows.where("n > 0 and doc is not null")
     classes = materialize(vertices.groupBy("s1", "s2").agg(F.min("doc").alias("doc"), F.first("n").alias("n")), "classes")
     # A row stands for its class; a doc with rows of several classes ties these.
-    first = rows.join(classes.select("doc", "s1", "s2"), ["doc", "s1", "s2"]).select("doc", "n", "prefix")
-    columns = first.mapInArrow(_columns, "column bigint, n bigint, doc bigint, doc_more array<bigint>")
-    met = columns.repartition("column").sortWithinPartitions("column", "n", "doc").mapInArrow(_pairs(like), "a bigint, b bigint, met bigint, asked bigint")
+    # Some others may pass, which adds candidates among equal sets: only rows that stand for a class become members of a block.
+    stands = is_marked(mark_table(classes.select("doc", "s1", "s2")), "doc", "s1", "s2")
+    first = rows.where("n > 0 and doc is not null").where(stands).select("doc", "n", "prefix")
+    columns = first.mapInArrow(_columns, "at bigint, doc bigint, doc_more array<bigint>")
+    sorted_columns = columns.repartition(F.shiftright("at", SIZE_BITS)).sortWithinPartitions("at", "doc")
+    met = sorted_columns.mapInArrow(lambda batches: _pairs(like)(_opened(batches)), "a bigint, b bigint, met bigint, asked bigint")
     pairs = met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("asked").alias("asked")).where("met >= asked").select("a", "b")
     blocks = components(pairs).select(F.col("node").alias("doc"), F.col("component").alias("block"))
     members = materialize(blocks.join(classes.select("doc", "n"), "doc"), "blocks")
