@@ -513,10 +513,14 @@ def keep_one(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame
     """
     known = docs.where(F.col("doc_id").isNotNull())
     text = F.sha2(F.coalesce("text", F.lit("")), 256)
-    several = known.select("doc_id", text.alias("_sha")).groupBy("doc_id").agg((F.min("_sha") != F.max("_sha")).alias("_several"))
-    several = materialize(several.where("_several").select("doc_id"), "repeated-ids")
+    repeated = known.select("doc_id", text.alias("_sha")).groupBy("doc_id").agg((F.min("_sha") != F.max("_sha")).alias("_several"), F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(repeated.where("_n > 1").select("doc_id", "_several"), "repeated-ids")
+    several = repeated.where("_several").select("doc_id")
+    once = repeated.where("not _several").select("doc_id")
     if several.isEmpty():
-        return _first_rows(known, _kept_ids(known, width, like), docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+        ids = materialize(join(known, width, like).select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("_stays")).distinct(), "kept-ids")
+        stay, gone = ids.where("_stays").select("doc_id"), ids.where("not _stays").select("doc_id")
+        return _first_rows(known, stay, gone.unionByName(once), docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
     # Documents of a repeated id get ids below all others, and their own id back where it is asked which comes first.
     kind = docs.schema["doc_id"].dataType
     low = known.agg(F.min(F.col("doc_id").cast("long")).alias("_low"))  # one row
@@ -530,16 +534,24 @@ def keep_one(docs: DataFrame, width: int = WIDTH, like: int = LIKE) -> DataFrame
     placed = components.join(named.select("_vertex", F.col("doc_id").cast("long").alias("_id"), "_sha"), "_vertex", "left")
     order = F.struct(F.coalesce("_id", "_vertex").alias("id"), F.coalesce("_sha", F.lit("")).alias("sha"), F.col("_vertex").alias("vertex"))
     stay = materialize(placed.groupBy("component_id").agg(F.min(order)["vertex"].alias("_vertex")).select("_vertex"), "kept-ids")
-    kept = _first_rows(alone, stay.select(F.col("_vertex").cast(kind).alias("doc_id")), docs.columns)
-    kept_apart = _first_rows(apart.drop("_sha"), stay, docs.columns, "_vertex")
+    gone = components.select("_vertex").join(stay.hint("merge"), "_vertex", "left_anti")
+    own_id = F.col("_vertex").cast(kind).alias("doc_id")
+    kept = _first_rows(alone, stay.select(own_id), gone.select(own_id).unionByName(once), docs.columns)
+    kept_apart = _least_rows(apart.drop("_sha"), stay, docs.columns, "_vertex")
     return kept.unionByName(kept_apart).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
-def _kept_ids(docs: DataFrame, width: int, like: int) -> DataFrame:
-    return materialize(join(docs, width, like).where("doc_id = component_id").select("doc_id").distinct(), "kept-ids")
+def _first_rows(docs: DataFrame, stay: DataFrame, doubtful: DataFrame, columns: list[str]) -> DataFrame:
+    """Of the rows of each id that stays, the first in the order of its columns.
+
+    ``doubtful`` has all ids that don't stay or that several rows have. Rows whose id isn't marked as one of them stay as they
+    lie; only the others are shuffled.
+    """
+    marked = is_marked(mark_table(doubtful), "doc_id")
+    return docs.where(~marked).select(*columns).unionByName(_least_rows(docs.where(marked), stay.where(marked), columns, "doc_id"))
 
 
-def _first_rows(docs: DataFrame, stay: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
+def _least_rows(docs: DataFrame, stay: DataFrame, columns: list[str], key: str) -> DataFrame:
     """Of the rows of each key that stays, the first in the order of its columns (those that can be ordered)."""
     ordered = [c for c, kind in docs.select(*columns).dtypes if "map<" not in kind and kind != "variant"]
     rest = [c for c in columns if c not in ordered]

@@ -72,3 +72,13 @@ def test_texts_are_shuffled_only_where_they_are_asked_for(spark):
     assert sorted(r.doc for r in placed.collect()) == [3, 4]
     plan = placed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("ArrowEvalPython") > plan.index("Join")  # below the join
+
+
+def test_documents_that_stay_are_not_shuffled(spark):
+    rows = [(d, text, "a") for d, text in sentences(7, 60, 40)]
+    rows += [(100, rows[3][1], "x"), (5, rows[5][1], "0"), (None, "n", "x"), (None, "n", "x"), (101, "", "x"), (101, None, "x")]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    want = [r for r in rows if r[0] != 100 and r not in ((5, rows[5][1], "a"), (101, "", "x"))]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 1 and plan.splitlines()[0].startswith("Union")
