@@ -191,6 +191,22 @@ def test_mark_duplicate_pairs_deals_reads_twice(spark):
     assert (leaves, joins) == (2, 1)  # the reads to tell them apart, the reads to be marked; the kept names meet them once
 
 
+@pytest.mark.parametrize("columns", [None, ["flag", "qname", "pos"]])
+def test_mark_duplicate_pairs_shuffles_reads_once(spark, columns):
+    data = [("a", 65, "L", "c", 9, "10M", "I" * 10), ("a", 145, "L", "c", 90, "10M", "I" * 10), ("b", 65, "L", "c", 9, "10M", "5" * 10), ("b", 145, "L", "c", 90, "10M", "5" * 10)]
+    # Without a library, with an empty one, without a name, with an empty one, without a position, contig or flag.
+    data += [("x", 0, None, "c", 9, "10M", "I"), ("x", 0, "", "c", 9, "10M", "I"), ("y", 0, "", "c", 9, "10M", "5"), (None, 0, "", "c", 9, "10M", "+"), ("", 0, "", "c", 9, "10M", "4")]
+    data += [("n", 0, "L", "c", None, "10M", "I"), ("m", 0, "L", "c", None, "10M", "5"), ("m", 16, "L", "c", None, "10M", "5"), ("o", 0, "L", None, 9, "10M", "I"), ("p", None, "L", "c", 9, "10M", "I")]
+    reads = spark.createDataFrame(data, "qname string, flag int, library string, rname string, pos bigint, cigar string, qual string")
+    marked = duplicates.mark_duplicate_pairs(reads, columns=columns)
+    assert marked.columns == (columns or reads.columns)
+    copies = {("b", 65), ("b", 145), ("y", 0), ("", 0), ("m", 0)}
+    want = sorted(((n, f | 1024 if (n, f) in copies else f, *rest) for n, f, *rest in data), key=str)
+    assert sorted(map(tuple, marked.collect()), key=str) == sorted([(r[1], r[0], r[4]) for r in want] if columns else want, key=str)
+    plan = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("REPARTITION_BY_COL") == 2 and "ReusedExchange" in plan  # named twice, dealt once
+
+
 @pytest.mark.parametrize("max_large", [1_000_000, 0])
 def test_dedup_bucket_shuffles_large_groups_only(spark, max_large):
     data = [(c, 7, f"q{i}", 100 + i % 3, 30, "10M", "=", 5) for c in (0, 1) for i in range(9 if c else 3)] + [(None, 7, "n", 1, 1, "1M", "=", 1)]
